@@ -1,9 +1,16 @@
 """The queries of this subpackage and their SQL, as ``__spark_entry__`` registers them."""
 
+from spindrift.llm.chat import OP2_SQL, op2_chat_format
+from spindrift.llm.lines import OP6_SQL, op6_line_dedup
 from spindrift.llm.simhash import op1_simhash
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_chat_format": op2_chat_format,
+    "op6_line_dedup": op6_line_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_chat_format": OP2_SQL,
+    "op6_line_dedup": OP6_SQL,
+}

@@ -124,7 +124,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, batches
     gone = gone.groupBy("doc_id", "row").agg(F.collect_set("pos").alias("_gone")).withColumnsRenamed({"doc_id": "_id", "row": "_row"})
     gone = scratch.keep(gone, "gone")
     lines = F.split(F.coalesce("text", F.lit("")), "\n")
-    joined = docs.join(gone, (docs["doc_id"] == gone["_id"]) & (row_hash() == gone["_row"]), "left")
+    # one plan at every size: the texts are always dealt by document, never met by a broadcast that a larger input would lose
+    joined = docs.join(gone.hint("merge"), (docs["doc_id"] == gone["_id"]) & (row_hash() == gone["_row"]), "left")
     kept = F.when(F.col("_gone").isNull(), F.coalesce("text", F.lit(""))).otherwise(F.array_join(_without(lines, F.col("_gone")), "\n"))
     return joined.select(*[docs[c] for c in docs.columns], F.size(lines).cast("long").alias("n_lines"), F.coalesce(F.array_size("_gone"), F.lit(0)).cast("long").alias("n_dropped"), kept.alias("kept"))
 

@@ -2,12 +2,16 @@
 
 from spindrift.llm.chat import OP2_SQL, op2_chat_format
 from spindrift.llm.lines import OP6_SQL, op6_line_dedup
+from spindrift.llm.mixing import op9_source_mix
 from spindrift.llm.simhash import op1_simhash
+from spindrift.llm.substrings import op3_substring_dedup
 
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_chat_format": op2_chat_format,
+    "op3_substring_dedup": op3_substring_dedup,
     "op6_line_dedup": op6_line_dedup,
+    "op9_source_mix": op9_source_mix,
 }
 
 ORACLE_SQL: dict[str, str] = {

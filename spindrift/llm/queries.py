@@ -1,20 +1,26 @@
 """The queries of this subpackage and their SQL, as ``__spark_entry__`` registers them."""
 
 from spindrift.llm.chat import OP2_SQL, op2_chat_format
+from spindrift.llm.decontaminate import OP5_SQL, op5_decontaminate
 from spindrift.llm.lines import OP6_SQL, op6_line_dedup
 from spindrift.llm.mixing import op9_source_mix
 from spindrift.llm.simhash import op1_simhash
 from spindrift.llm.substrings import op3_substring_dedup
+from spindrift.llm.warc import OP4_SQL, op4_warc
 
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_chat_format": op2_chat_format,
     "op3_substring_dedup": op3_substring_dedup,
+    "op4_warc": op4_warc,
+    "op5_decontaminate": op5_decontaminate,
     "op6_line_dedup": op6_line_dedup,
     "op9_source_mix": op9_source_mix,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_chat_format": OP2_SQL,
+    "op4_warc": OP4_SQL,
+    "op5_decontaminate": OP5_SQL,
     "op6_line_dedup": OP6_SQL,
 }

@@ -4,6 +4,7 @@ from spindrift.llm.chat import OP2_SQL, op2_chat_format
 from spindrift.llm.decontaminate import OP5_SQL, op5_decontaminate
 from spindrift.llm.embeddings import op7_embedding_dedup
 from spindrift.llm.language import op8_language_id
+from spindrift.llm.licenses import op10_license_scan
 from spindrift.llm.lines import OP6_SQL, op6_line_dedup
 from spindrift.llm.mixing import op9_source_mix
 from spindrift.llm.simhash import op1_simhash
@@ -20,6 +21,7 @@ QUERIES = {
     "op7_embedding_dedup": op7_embedding_dedup,
     "op8_language_id": op8_language_id,
     "op9_source_mix": op9_source_mix,
+    "op10_license_scan": op10_license_scan,
 }
 
 ORACLE_SQL: dict[str, str] = {

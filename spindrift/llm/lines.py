@@ -136,11 +136,11 @@ def _without(lines: Column, gone: Column) -> Column:
 
 
 def drop_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
-    """The columns of ``docs`` with repeated lines taken out of ``text``; documents left without any text go."""
+    """The columns of ``docs`` with repeated lines taken out of ``text`` (and n_chars counted anew); every document stays."""
     out = dedup_lines(docs, min_chars, min_docs)
     text = F.when(F.col("n_dropped") > 0, F.col("kept")).otherwise(F.col("text"))
     cols = [text.alias("text") if c == "text" else F.length(text).cast("long").alias(c) if c == "n_chars" else F.col(c) for c in docs.columns]
-    return out.where((F.col("n_dropped") == 0) | (F.btrim("kept", F.lit(BLANKS)) != "")).select(*cols)
+    return out.select(*cols)
 
 
 def op6_line_dedup(spark, sf_dir: str) -> DataFrame:

@@ -1,4 +1,202 @@
-"""Queries over the tabular engine and their SQL counterparts."""
+"""Queries over the barcode engine and their SQL counterparts."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from spindrift.functions import seq
+from spindrift.operators import barcodes as B
+from spindrift.operators import matrix as M
+from spindrift.plans.barcode_sql import READS, READTABLE
+from spindrift.plans.scratch import Scratch
+
+FIELDS = [("vbc_read", 0, 30), ("spikeseq", 24, 32), ("libtag", 30, 32), ("umi", 32, 44), ("ssi", 44, 52)]
+
+
+def _sql(text: str):
+    def load(spark, sf_dir: str) -> DataFrame:
+        return spark.sql(text.replace("FROM lineitem", "FROM {lineitem}"), lineitem=spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
+
+    return load
+
+
+readtable, reads = _sql(READTABLE), _sql(READS)
+
+
+def counts(spark, sf_dir: str) -> DataFrame:
+    return B.vbc_table(B.site_threshold(readtable(spark, sf_dir)))
+
+
+def filtered(spark, sf_dir: str) -> DataFrame:
+    """Reads without bad bases, split into fields."""
+    return seq.split_fields(B.filter_reads(reads(spark, sf_dir)), FIELDS)
+
+
+def barcode_dimension(spark, sf_dir: str) -> DataFrame:
+    """Sample barcodes BC0..BC13; two samples' barcodes are unknown."""
+    return spark.range(14).select(F.concat(F.lit("BC"), F.col("id").cast("string")).alias("label")).withColumn("ssi", F.substring(F.translate(F.md5("label"), "0123456789abcdef", "ACGTACGTACGTACGT"), 1, 8))
+
+
+def looked_up(spark, sf_dir: str) -> DataFrame:
+    return B.lookup_samples(filtered(spark, sf_dir).drop("label"), barcode_dimension(spark, sf_dir))
+
+
+def edges(spark, sf_dir: str) -> DataFrame:
+    return B.similarity_edges(B.unique_sequences(readtable(spark, sf_dir)))
+
+
+def _clusters(spark, sf_dir: str):
+    s = Scratch(spark, "clusters")
+    u = s.keep(B.unique_sequences(readtable(spark, sf_dir)), "sequences")
+    e = s.keep(B.similarity_edges(u), "similar")
+    return u, e, s.keep(B.cluster(e, s), "components")
+
+
+def stats(spark, sf_dir: str) -> DataFrame:
+    u, e, c = _clusters(spark, sf_dir)
+    return B.component_stats(u, c, e)
+
+
+def reps(spark, sf_dir: str) -> DataFrame:
+    u, _, c = _clusters(spark, sf_dir)
+    return B.representatives(u, c)
+
+
+def diameter(spark, sf_dir: str) -> DataFrame:
+    _, e, c = _clusters(spark, sf_dir)
+    return B.component_diameter(e, c)
+
+
+def label_groups(spark) -> DataFrame:
+    return spark.range(16).select(F.concat(F.lit("BC"), F.col("id").cast("string")).alias("label"), F.when(F.col("id") % 8 == 0, "injection").otherwise("target").alias("grp"))
+
+
+def summed(spark, sf_dir: str) -> DataFrame:
+    """Counts with one row for each brain, barcode, sample and type."""
+    return counts(spark, sf_dir)
+
+
+def _norm(spark, d: str) -> DataFrame:
+    return M.normalize(M.matrix_long(counts(spark, d), "real"), M.matrix_long(counts(spark, d), "spike"), label_groups(spark)).withColumn("value", F.round("value", 6))
+
+
+def _ratio(spark, d: str) -> DataFrame:
+    r = spark.range(16).select(F.concat(F.lit("BC"), F.col("id").cast("string")).alias("label"), (1 + F.col("id") / 4).alias("si_ratio"))
+    return M.scale_by_ratio(M.matrix_long(counts(spark, d), "real"), r)
+
+
+def _samples(spark) -> DataFrame:
+    return spark.range(12).select(F.concat(F.lit("BC"), F.col("id").cast("string")).alias("label"), (F.col("id") % 7).alias("min_reads"))
+
+
+QUERIES = {
+    "vbc_table": counts,
+    "aggregate_reads": lambda s, d: B.aggregate_reads(reads(s, d), min_reads=2),
+    "reaggregate_reads": lambda s, d: B.reaggregate_reads(reads(s, d)),
+    "filter_n_homopolymer": lambda s, d: B.filter_reads(reads(s, d), min_reads=2),
+    "split_fields": filtered,
+    "filter_fields": lambda s, d: B.filter_fields(filtered(s, d), {"libtag": "CT"}, {"umi": "[AC]"}),
+    "ssi_lookup": looked_up,
+    "classify_type": lambda s, d: B.classify(filtered(s, d).drop("type"), spikeseq="CGTCAGTC"),
+    "bad_ssi_rejects": lambda s, d: B.rejects(looked_up(s, d), ["label"]).select("source", "ssi", "umi", "read_count"),
+    "dominant_ssi": lambda s, d: B.dominant_value(filtered(s, d)),
+    "template_switch_reads": lambda s, d: B.split_template_switches(readtable(s, d).withColumn("site", F.when(F.col("label") == "BC1", "target-lone").otherwise(F.col("site"))))[1],
+    "site_read_threshold": lambda s, d: B.site_threshold(readtable(s, d), 10, 20),
+    "sample_read_threshold": lambda s, d: B.sample_threshold(readtable(s, d), _samples(s)),
+    "similarity_edges": edges,
+    "components": lambda s, d: _clusters(s, d)[2],
+    "representatives": reps,
+    "collapse_reads": lambda s, d: B.align_collapse(readtable(s, d)).groupBy("brain", "vbc_read").agg(F.count(F.lit(1)).alias("n"), F.sum("read_count").alias("reads")),
+    "component_stats": stats,
+    "component_diameter": diameter,
+    "node_degree": lambda s, d: B.node_degree(edges(s, d)),
+    "targets_any_umi": lambda s, d: B.keep_any_above(counts(s, d).where("site = 'target'"), 3),
+    "negative_threshold": lambda s, d: B.negative_threshold(counts(s, d), "target-negative", 2),
+    "require_injection": lambda s, d: B.require(counts(s, d).where("site = 'target'"), counts(s, d).where("site = 'injection'")),
+    "controls_cross_copy": lambda s, d: B.copy_controls(counts(s, d)),
+    "vbc_filter": lambda s, d: B.vbc_filter(counts(s, d), injection_min=2, target_min=2),
+    "matrix_real_long": lambda s, d: M.matrix_long(counts(s, d)),
+    "matrix_pivot": lambda s, d: M.matrix_wide(M.matrix_long(counts(s, d)), [f"BC{i}" for i in range(16) if i % 8 != 7]),
+    "spike_normalize": _norm,
+    "si_ratio_scale": _ratio,
+    "read_report": lambda s, d: M.read_report(readtable(s, d)),
+    "spikein_qc": lambda s, d: M.spikein_qc(readtable(s, d)),
+    "tag_cumulative": lambda s, d: M.cumulative(filtered(s, d), "libtag").withColumn("proportion", F.round("proportion", 6)),
+    "param_sweep": lambda s, d: M.parameter_sweep(counts(s, d), [(1, 1), (2, 2), (3, 2)]),
+    "read_matrix_dominant": lambda s, d: M.read_matrix_dominant(readtable(s, d)).withColumn("percent", F.round("percent", 6)),
+    "vbc_overlap": lambda s, d: M.vbc_overlap(counts(s, d), counts(s, d).where("site = 'target' and umi_count >= 3")),
+    "false_positive_rate": lambda s, d: M.false_positive_rate(counts(s, d), 1).withColumn("rate", F.round("rate", 6)),
+    "template_switch_rate": lambda s, d: M.template_switch_rate(counts(s, d).withColumn("site", F.when(F.col("label") == "BC1", "target-lone").otherwise(F.col("site")))).select("l1", "l2", "spk1", "spk2", "ts", F.round("ratio", 9).alias("ratio")),
+    "rank_topn": lambda s, d: M.rank_top(counts(s, d).groupBy("label", "vbc_read").agg(F.sum("read_count").alias("reads")), "label", "reads", "vbc_read", 5),
+    "freq_threshold": lambda s, d: M.freq_threshold(M.library_counts(counts(s, d)), 0.1, "umi_count"),
+    "unique_fraction": lambda s, d: M.unique_fraction(M.library_counts(counts(s, d)), [10, 100, 1000]).withColumn("p_unique", F.round("p_unique", 6)),
+    "natural_sort_labels": lambda s, d: readtable(s, d).select("label").distinct().withColumn("position", F.row_number().over(__import__("pyspark.sql", fromlist=["Window"]).Window.orderBy(seq.natural_key(F.col("label"))))),
+    "gap_groups": lambda s, d: M.gap_groups(s.read.parquet(f"{d}/supplier.parquet").select("s_suppkey", "s_acctbal"), "s_acctbal", "s_suppkey", 500.0),
+    "hamming1_neighbours": lambda s, d: readtable(s, d).select("vbc_read").distinct().select("vbc_read", F.explode(seq.neighbours(F.substring("vbc_read", 1, 4))).alias("near")),
+    "reverse_complement": lambda s, d: readtable(s, d).select("vbc_read").distinct().withColumn("rc", seq.reverse_complement(F.col("vbc_read"))),
+}
+
+_RT, _RD = f"rt AS ({READTABLE})", f"rd AS ({READS})"
+_GOOD = "sequence NOT LIKE '%N%' AND NOT regexp_matches(sequence, 'A{8}|C{8}|G{8}|T{8}')"
+_FL = f"{_RD}, fl AS (SELECT source, read_count, type, label, substr(sequence,1,30) AS vbc_read, substr(sequence,25,8) AS spikeseq, substr(sequence,31,2) AS libtag, substr(sequence,33,12) AS umi, substr(sequence,45,8) AS ssi FROM rd WHERE {_GOOD})"
+_BC = "bc AS (SELECT concat('BC', i) AS label, CAST(i AS VARCHAR) AS rtprimer, substr(translate(md5(concat('BC', i)), '0123456789abcdef', 'ACGTACGTACGTACGT'), 1, 8) AS ssi FROM range(14) t(i))"
+_LK = f"{_FL}, {_BC}, lk AS (SELECT f.* EXCLUDE (label), bc.label, bc.rtprimer FROM fl f LEFT JOIN bc ON f.ssi = bc.ssi)"
+_ST = "(site LIKE 'target%' AND read_count >= 2) OR (site LIKE 'injection%' AND read_count >= 2)"
+_CT = f"{_RT}, ct AS (SELECT vbc_read, label, type, count(DISTINCT umi) AS umi_count, CAST(sum(read_count) AS BIGINT) AS read_count, min(brain) AS brain, min(site) AS site FROM rt WHERE {_ST} GROUP BY vbc_read, label, type)"
+_US = f"{_RT}, us AS (SELECT brain AS grp, vbc_read AS seq, count(*) AS n FROM rt WHERE brain <> '' GROUP BY ALL)"
+_ED = f"{_US}, ed AS (SELECT x.grp, x.seq AS a, y.seq AS b, CAST(hamming(x.seq, y.seq) AS INT) AS distance FROM us x JOIN us y ON x.grp = y.grp AND x.seq < y.seq WHERE hamming(x.seq, y.seq) <= 3)"
+_CO = f"{_ED}, sy AS (SELECT grp, a, b FROM ed UNION ALL SELECT grp, b, a FROM ed), wk(grp, seq, root) AS (SELECT DISTINCT grp, a, a FROM sy UNION SELECT w.grp, s.b, w.root FROM wk w JOIN sy s ON w.grp = s.grp AND w.seq = s.a), co AS (SELECT grp, seq, min(root) AS comp FROM wk GROUP BY grp, seq)"
+_DG = "dg AS (SELECT grp, seq, count(*) AS degree FROM (SELECT grp, a AS seq FROM ed UNION ALL SELECT grp, b FROM ed) GROUP BY ALL)"
+_RP = "rp AS (SELECT c.grp, c.comp, (array_agg(c.seq ORDER BY u.n DESC, c.seq))[1] AS rep FROM co c JOIN us u ON c.grp = u.grp AND c.seq = u.seq GROUP BY c.grp, c.comp)"
+_CTRL = "('target-negative','target-negative-control','target-wt-control','target-water-control','injection-water-control','injection-wt-control')"
+_CC = f"{_CT}, br AS (SELECT DISTINCT brain FROM ct WHERE brain <> ''), cc AS (SELECT * FROM ct WHERE site NOT IN {_CTRL} AND brain <> '' UNION ALL SELECT DISTINCT c.vbc_read, c.label, c.type, c.umi_count, c.read_count, br.brain, c.site FROM ct c, br WHERE c.site IN {_CTRL})"
+_LONE = "(SELECT * REPLACE (CASE WHEN label = 'BC1' THEN 'target-lone' ELSE site END AS site) FROM {0})"
+_LIB = f"{_CT}, lib AS (SELECT vbc_read, CAST(sum(umi_count) AS BIGINT) AS umi_count FROM ct WHERE type = 'real' AND site = 'target' GROUP BY 1)"
+_PIV = ", ".join(f"CAST(coalesce(max(CASE WHEN label = 'BC{i}' THEN umi_count END), 0) AS DOUBLE) AS \"BC{i}\"" for i in range(16) if i % 8 != 7)
+
+ORACLE_SQL: dict[str, str] = {
+    "vbc_table": f"WITH {_CT} SELECT * FROM ct",
+    "aggregate_reads": f"WITH {_RD} SELECT sequence, source, count(*) AS read_count FROM rd GROUP BY 1, 2 HAVING count(*) >= 2",
+    "reaggregate_reads": f"WITH {_RD} SELECT sequence, CAST(sum(read_count) AS BIGINT) AS read_count FROM rd GROUP BY 1",
+    "filter_n_homopolymer": f"WITH {_RD} SELECT * FROM rd WHERE read_count >= 2 AND {_GOOD}",
+    "split_fields": f"WITH {_FL} SELECT * FROM fl",
+    "filter_fields": f"WITH {_FL} SELECT * FROM fl WHERE libtag = 'CT' AND regexp_matches(umi, '^(?:[AC])')",
+    "ssi_lookup": f"WITH {_LK} SELECT * FROM lk",
+    "classify_type": f"WITH {_FL} SELECT * REPLACE (CASE WHEN regexp_matches(libtag, '^[AG][AG]$') THEN 'lone' WHEN spikeseq = 'CGTCAGTC' THEN 'spike' WHEN regexp_matches(libtag, '^[TC][TC]$') THEN 'real' END AS type) FROM fl",
+    "bad_ssi_rejects": f"WITH {_LK} SELECT source, ssi, umi, read_count FROM lk WHERE label IS NULL",
+    "dominant_ssi": f"WITH {_FL} SELECT source, ssi, n FROM (SELECT source, ssi, count(*) AS n, row_number() OVER (PARTITION BY source ORDER BY count(*) DESC, ssi) AS r FROM fl GROUP BY 1, 2) WHERE r = 1",
+    "template_switch_reads": f"WITH {_RT} SELECT * FROM {_LONE.format('rt')} WHERE (site LIKE 'target-lone%') <> (type = 'lone')",
+    "site_read_threshold": f"WITH {_RT} SELECT * FROM rt WHERE (site LIKE 'target%' AND read_count >= 10) OR (site LIKE 'injection%' AND read_count >= 20)",
+    "sample_read_threshold": f"WITH {_RT} SELECT rt.* FROM rt JOIN (SELECT concat('BC', i) AS label, i % 7 AS m FROM range(12) t(i)) s ON rt.label = s.label WHERE read_count >= m",
+    "similarity_edges": f"WITH {_ED} SELECT * FROM ed",
+    "components": f"WITH RECURSIVE {_CO} SELECT * FROM co",
+    "representatives": f"WITH RECURSIVE {_CO}, {_RP} SELECT * FROM rp",
+    "collapse_reads": f"WITH RECURSIVE {_CO}, {_RP} SELECT rt.brain, coalesce(rp.rep, rt.vbc_read) AS vbc_read, count(*) AS n, CAST(sum(read_count) AS BIGINT) AS reads FROM rt LEFT JOIN co ON rt.brain = co.grp AND rt.vbc_read = co.seq LEFT JOIN rp ON co.grp = rp.grp AND co.comp = rp.comp GROUP BY 1, 2",
+    "component_stats": f"WITH RECURSIVE {_CO}, {_DG} SELECT co.grp, comp, count(*) AS size, CAST(sum(degree) / 2 AS BIGINT) AS n_edges, max(degree) AS max_degree, (array_agg(co.seq ORDER BY degree DESC, co.seq DESC))[1] AS max_degree_seq, max(n) AS max_count, (array_agg(co.seq ORDER BY n DESC, co.seq DESC))[1] AS max_count_seq FROM co JOIN us ON co.grp = us.grp AND co.seq = us.seq JOIN dg ON co.grp = dg.grp AND co.seq = dg.seq GROUP BY co.grp, comp",
+    "node_degree": f"WITH {_ED}, {_DG} SELECT grp, seq AS node, degree FROM dg",
+    "targets_any_umi": f"WITH {_CT} SELECT * FROM ct WHERE site = 'target' QUALIFY max(umi_count) OVER (PARTITION BY brain, vbc_read) >= 3",
+    "negative_threshold": f"WITH {_CT} SELECT brain, greatest(coalesce(max(umi_count) FILTER (WHERE site = 'target-negative'), 0), 2) AS threshold FROM ct GROUP BY 1",
+    "require_injection": f"WITH {_CT} SELECT DISTINCT * FROM ct t WHERE site = 'target' AND EXISTS (SELECT 1 FROM ct i WHERE i.site = 'injection' AND i.brain = t.brain AND i.vbc_read = t.vbc_read)",
+    "controls_cross_copy": f"WITH {_CC} SELECT * FROM cc",
+    "vbc_filter": f"WITH {_CC}, oth AS (SELECT * FROM cc WHERE type <> 'spike'), inj AS (SELECT * FROM oth WHERE site LIKE 'injection%' AND site NOT IN {_CTRL} AND umi_count >= 2), tg AS (SELECT * FROM oth WHERE site LIKE 'target%' AND site NOT IN {_CTRL} AND umi_count >= 1 QUALIFY max(umi_count) OVER (PARTITION BY brain, vbc_read) >= 2), tk AS (SELECT DISTINCT tg.* FROM tg WHERE EXISTS (SELECT 1 FROM inj WHERE inj.brain = tg.brain AND inj.vbc_read = tg.vbc_read)), ik AS (SELECT DISTINCT inj.* FROM inj WHERE EXISTS (SELECT 1 FROM tk WHERE inj.brain = tk.brain AND inj.vbc_read = tk.vbc_read)) SELECT * FROM cc WHERE type = 'spike' UNION ALL SELECT * FROM tk UNION ALL SELECT * FROM ik UNION ALL SELECT * FROM oth WHERE site IN {_CTRL} AND umi_count >= 2",
+    "matrix_real_long": f"WITH {_CT} SELECT brain, vbc_read, label, CAST(umi_count AS DOUBLE) AS value FROM ct WHERE type = 'real'",
+    "matrix_pivot": f"WITH {_CT} SELECT brain, vbc_read, {_PIV} FROM ct WHERE type = 'real' GROUP BY 1, 2",
+    "spike_normalize": f"WITH {_CT}, w AS (SELECT brain, label, CASE WHEN CAST(substr(label, 3) AS INT) % 8 = 0 THEN 'i' ELSE 't' END AS g, CAST(sum(umi_count) AS DOUBLE) AS w FROM ct WHERE type = 'spike' GROUP BY 1, 2, 3), f AS (SELECT brain, label, CASE WHEN w = 0 THEN 0 ELSE max(w) OVER (PARTITION BY brain, g) / w END AS f FROM w) SELECT ct.brain, vbc_read, ct.label, round(umi_count * coalesce(f, 0), 6) AS value FROM ct LEFT JOIN f ON ct.brain = f.brain AND ct.label = f.label WHERE type = 'real'",
+    "si_ratio_scale": f"WITH {_CT} SELECT brain, vbc_read, label, umi_count * (1 + CAST(substr(label, 3) AS DOUBLE) / 4) AS value FROM ct WHERE type = 'real'",
+    "read_report": f"WITH {_RT} SELECT label, type, count(DISTINCT vbc_read) AS n_vbc, count(DISTINCT umi) AS n_umi, CAST(sum(read_count) AS BIGINT) AS read_count FROM rt GROUP BY 1, 2",
+    "spikein_qc": f"WITH {_RT} SELECT label, count(DISTINCT vbc_read) AS n_vbc, count(DISTINCT umi) AS n_umi, count(DISTINCT concat(vbc_read, umi)) AS n_vbc_umi FROM rt WHERE type = 'spike' GROUP BY 1",
+    "tag_cumulative": f"WITH {_FL} SELECT libtag, n, round(CAST(sum(n) OVER (ORDER BY n DESC, libtag ROWS UNBOUNDED PRECEDING) AS DOUBLE) / sum(n) OVER (), 6) AS proportion FROM (SELECT libtag, count(*) AS n FROM fl GROUP BY 1)",
+    "param_sweep": f"WITH {_CT}, p(injection_min, target_min) AS (VALUES (CAST(1 AS BIGINT), CAST(1 AS BIGINT)), (2, 2), (3, 2)), x AS (SELECT p.*, ct.*, max(CASE WHEN site LIKE 'target%' THEN umi_count END) OVER (PARTITION BY injection_min, target_min, brain, vbc_read) AS t, max(CASE WHEN site = 'injection' THEN umi_count END) OVER (PARTITION BY injection_min, target_min, brain, vbc_read) AS i FROM ct, p WHERE type <> 'spike' AND brain <> '') SELECT injection_min, target_min, label, count(DISTINCT vbc_read) AS n_vbc FROM x WHERE t >= target_min AND i >= injection_min GROUP BY 1, 2, 3",
+    "read_matrix_dominant": f"WITH {_RT}, c AS (SELECT source, label, count(*) AS n FROM rt GROUP BY 1, 2) SELECT label, (array_agg(source ORDER BY n DESC, source))[1] AS source, CAST(sum(n) AS BIGINT) AS n, round(max(n) * 100 / CAST(sum(n) AS DOUBLE), 6) AS percent FROM c GROUP BY 1",
+    "vbc_overlap": f"WITH {_CT} SELECT v.vbc_read, l.label, CAST(coalesce(sum(c.umi_count), 0) AS BIGINT) AS umi_count FROM (SELECT DISTINCT vbc_read FROM ct WHERE site = 'target' AND umi_count >= 3) v CROSS JOIN (SELECT DISTINCT label FROM ct WHERE site LIKE 'injection%') l LEFT JOIN ct c ON c.vbc_read = v.vbc_read AND c.label = l.label GROUP BY 1, 2",
+    "false_positive_rate": f"WITH {_CT}, p AS (SELECT vbc_read, coalesce(max(umi_count) FILTER (WHERE site = 'injection'), 0) AS i, coalesce(max(umi_count) FILTER (WHERE site = 'target-negative'), 0) AS n, coalesce(max(umi_count) FILTER (WHERE site = 'target'), 0) AS t FROM ct GROUP BY 1), w AS (SELECT coalesce(max(umi_count), 0) AS m FROM ct WHERE site = 'target-water-control') SELECT threshold, count(*) FILTER (WHERE n > threshold) AS negative, count(*) FILTER (WHERE t > threshold) AS target, round(CASE WHEN count(*) FILTER (WHERE t > threshold) > 0 THEN CAST(count(*) FILTER (WHERE n > threshold) AS DOUBLE) / count(*) FILTER (WHERE t > threshold) END, 6) AS rate FROM p, (SELECT unnest(range(0, least(m, 10))) AS threshold FROM w) WHERE i > 1 GROUP BY 1",
+    "template_switch_rate": f"WITH {_CT}, x AS (SELECT * FROM {_LONE.format('ct')}), s AS (SELECT CAST(coalesce(sum(umi_count) FILTER (WHERE site = 'target-lone' AND type = 'lone'), 0) AS DOUBLE) AS l1, CAST(coalesce(sum(umi_count) FILTER (WHERE site <> 'target-lone' AND type = 'real'), 0) AS DOUBLE) AS l2, CAST(coalesce(sum(umi_count) FILTER (WHERE site = 'target-lone' AND type = 'spike'), 0) AS DOUBLE) AS spk1, CAST(coalesce(sum(umi_count) FILTER (WHERE site <> 'target-lone' AND type = 'spike'), 0) AS DOUBLE) AS spk2, CAST(coalesce(sum(umi_count) FILTER (WHERE (site = 'target-lone') <> (type = 'lone')), 0) AS DOUBLE) AS ts FROM x) SELECT l1, l2, spk1, spk2, ts, round(0.5 * (ts / (l2 * (spk1 + l1))) * l2 + (ts / (l2 * (spk1 + l1))) * spk2, 9) AS ratio FROM s",
+    "rank_topn": f"WITH {_CT}, r AS (SELECT label, vbc_read, CAST(sum(read_count) AS BIGINT) AS reads FROM ct GROUP BY 1, 2) SELECT label, vbc_read, reads, CAST(row_number() OVER (PARTITION BY label ORDER BY reads DESC, vbc_read) AS INT) AS rank FROM r QUALIFY rank <= 5",
+    "freq_threshold": f"WITH {_LIB} SELECT umi_count + 1 AS threshold FROM (SELECT umi_count, row_number() OVER (ORDER BY umi_count DESC) AS r, count(*) OVER () AS n FROM lib) WHERE r = CAST(floor(n * 0.1) AS BIGINT) + 1",
+    "unique_fraction": f"WITH {_LIB}, p AS (SELECT umi_count / CAST(sum(umi_count) OVER () AS DOUBLE) AS p FROM lib) SELECT k, round(1 - sum(p * (1 - pow(1 - p, k - 1))), 6) AS p_unique FROM p, (VALUES (CAST(10 AS BIGINT)), (100), (1000)) t(k) GROUP BY k",
+    "natural_sort_labels": f"WITH {_RT} SELECT label, CAST(row_number() OVER (ORDER BY CAST(substr(label, 3) AS INT)) AS INT) AS position FROM (SELECT DISTINCT label FROM rt)",
+    "gap_groups": "WITH RECURSIVE o AS (SELECT s_suppkey, s_acctbal, row_number() OVER (ORDER BY s_acctbal, s_suppkey) AS r FROM supplier), g(r, floor, group_id) AS (SELECT r, s_acctbal, 0 FROM o WHERE r = 1 UNION ALL SELECT o.r, CASE WHEN o.s_acctbal > g.floor + 500 THEN o.s_acctbal ELSE g.floor END, CASE WHEN o.s_acctbal > g.floor + 500 THEN g.group_id + 1 ELSE g.group_id END FROM g JOIN o ON o.r = g.r + 1) SELECT s_suppkey, s_acctbal, CAST(group_id AS INT) AS group_id FROM o JOIN g ON o.r = g.r",
+    "hamming1_neighbours": f"WITH {_RT}, v AS (SELECT DISTINCT vbc_read, substr(vbc_read, 1, 4) AS w FROM rt) SELECT vbc_read, concat(substr(w, 1, i - 1), c, substr(w, i + 1)) AS near FROM v, range(1, 5) t(i), (VALUES ('A'), ('C'), ('G'), ('T')) b(c) WHERE substr(w, i, 1) <> c",
+    "reverse_complement": f"WITH {_RT} SELECT DISTINCT vbc_read, translate(reverse(vbc_read), 'ACGT', 'TGCA') AS rc FROM rt",
+}

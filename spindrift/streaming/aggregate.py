@@ -1,0 +1,11 @@
+"""Incremental counting of newly landed reads (an extension of the batch engine)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def count_stream(reads: DataFrame, columns=("sequence", "source")) -> DataFrame:
+    """Running ``read_count`` of identical reads; write it in update or complete mode."""
+    return reads.na.drop(subset=list(columns)).groupBy(*columns).agg(F.count(F.lit(1)).alias("read_count"))

@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spindrift.llm.columns import set_aside
 from spindrift.plans.scratch import Scratch
 
 #: Between words, once A-Z are lower-cased; and the same before that.
@@ -87,9 +88,11 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 13, per: int
     contaminated: some word is hit, and at least one in ``per`` words.  Null and
     empty texts have no words; items without words give no window; items that
     share an item_id count as one id.  Repeated rows each get the same result;
-    rows that share a doc_id are judged each by its own text.
+    rows that share a doc_id are judged each by its own text.  Columns of ``docs``
+    with the names of the added ones are replaced.
     """
     scratch = Scratch(docs.sparkSession, "decontaminate")
+    docs, back = set_aside(docs, ("doc_id", "text"))
     row = F.xxhash64(F.coalesce("text", F.lit("")))
     own = docs.select("doc_id", row.alias("row"), "text")
     found = find_windows(own, items.select("item_id", "text"), scratch, window, bound)
@@ -99,12 +102,14 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 13, per: int
     full = docs.withColumns({"_n": n_words, "_row": row})
     out = full.join(hits, full["doc_id"].eqNullSafe(F.col("_d")) & (F.col("_row") == F.col("_r")), "left")
     out = out.withColumns({"_hit": F.coalesce("_hit", F.lit(0)).cast("long"), "_items": F.coalesce("_items", F.expr("cast(array() as array<bigint>)"))})
-    return out.select(*[full[c] for c in docs.columns], F.col("_n").alias("n_words"), F.col("_hit").alias("n_hit"), F.col("_items").alias("items"), ((F.col("_hit") > 0) & (F.col("_hit") * per >= F.col("_n"))).alias("contaminated"))
+    out = out.select(*[full[c] for c in docs.columns], F.col("_n").alias("n_words"), F.col("_hit").alias("n_hit"), F.col("_items").alias("items"), ((F.col("_hit") > 0) & (F.col("_hit") * per >= F.col("_n"))).alias("contaminated"))
+    return back(out, "n_words", "n_hit", "items", "contaminated")
 
 
 def decontaminate(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not contaminated."""
-    return contamination(docs, items).where("not contaminated").select(docs.columns)
+    inside, back = set_aside(docs, ("doc_id", "text"))
+    return back(contamination(inside, items).where("not contaminated"))
 
 
 def op5_decontaminate(spark, sf_dir: str) -> DataFrame:

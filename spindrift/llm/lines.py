@@ -23,6 +23,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spindrift.llm.columns import set_aside
 from spindrift.plans.scratch import Scratch
 
 #: Stripped at both ends of a line: space, tab, newline, vertical tab, form feed, return.
@@ -112,9 +113,11 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, batches
     the largest doc_id.  A null or empty text is one empty line; a document all
     of whose lines go has an empty ``kept``.  Rows that share a doc_id count as
     one document; each is rewritten by its own lines.  Lines of a null doc_id do
-    not count and stay.
+    not count and stay.  Columns of ``docs`` with the names of the added ones are
+    replaced.
     """
     scratch = Scratch(docs.sparkSession, "lines")
+    docs, back = set_aside(docs, ("doc_id", "text"))
     runs = LineRuns(scratch, min_chars, min_docs, fan_in)
     named = docs.select("doc_id", "text").where("doc_id is not null")
     for batch in split_batches(named, batches):
@@ -127,7 +130,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, batches
     # one plan at every size: the texts are always dealt by document, never met by a broadcast that a larger input would lose
     joined = docs.join(gone.hint("merge"), (docs["doc_id"] == gone["_id"]) & (row_hash() == gone["_row"]), "left")
     kept = F.when(F.col("_gone").isNull(), F.coalesce("text", F.lit(""))).otherwise(F.array_join(_without(lines, F.col("_gone")), "\n"))
-    return joined.select(*[docs[c] for c in docs.columns], F.size(lines).cast("long").alias("n_lines"), F.coalesce(F.array_size("_gone"), F.lit(0)).cast("long").alias("n_dropped"), kept.alias("kept"))
+    out = joined.select(*[docs[c] for c in docs.columns], F.size(lines).cast("long").alias("n_lines"), F.coalesce(F.array_size("_gone"), F.lit(0)).cast("long").alias("n_dropped"), kept.alias("kept"))
+    return back(out, "n_lines", "n_dropped", "kept")
 
 
 def _without(lines: Column, gone: Column) -> Column:
@@ -137,10 +141,11 @@ def _without(lines: Column, gone: Column) -> Column:
 
 def drop_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
     """The columns of ``docs`` with repeated lines taken out of ``text`` (and n_chars counted anew); every document stays."""
-    out = dedup_lines(docs, min_chars, min_docs)
+    inside, back = set_aside(docs, ("doc_id", "text", "n_chars"))
+    out = dedup_lines(inside, min_chars, min_docs)
     text = F.when(F.col("n_dropped") > 0, F.col("kept")).otherwise(F.col("text"))
-    cols = [text.alias("text") if c == "text" else F.length(text).cast("long").alias(c) if c == "n_chars" else F.col(c) for c in docs.columns]
-    return out.select(*cols)
+    cols = [text.alias("text") if c == "text" else F.length(text).cast("long").alias(c) if c == "n_chars" else F.col(c) for c in inside.columns]
+    return back(out.select(*cols))
 
 
 def op6_line_dedup(spark, sf_dir: str) -> DataFrame:

@@ -155,7 +155,7 @@ def test_language_forward_backward_and_accuracy(spark):
     model = language.fit(d, sample=120)
     out = language.identify(d, model).where(language.fold(F.col("doc_id")) == 1).collect()
     assert np.mean([r.lang == r.lang_pred for r in out]) > 0.95
-    odd = spark.createDataFrame([(1, None), (2, "123 !!"), (3, "")], "doc_id long, text string")
+    odd = spark.createDataFrame([(1, None), (2, "123 !!"), (3, ""), (4, "² ½")], "doc_id long, text string")
     assert {(r.lang_pred, r.score) for r in language.identify(odd, model).collect()} == {("und", 0.0)}
     assert {r.lang_pred for r in language.identify(odd, language.train([], [])).collect()} == {"und"}
 
@@ -180,5 +180,27 @@ def test_licenses(spark):
     assert got[3].n_paragraphs == 0 and got[3].score == 0
 
 
+CLASHES = ("contaminated", "items", "n_words", "n_hit", "_n", "_row", "_d", "_r", "_hit", "_items", "n_lines", "n_dropped", "kept", "_gone", "_id", "h1", "newest", "_t", "fp", "component_id", "lang_pred", "score", "row", "words", "_extra_0")
+
+
+def test_other_columns_with_an_operators_names_stay(spark):
+    """Filters return the caller's columns and values, also of empty tables, whatever they are called."""
+    rows = [(1, PASSAGE, "en"), (2, "the cat sat on the mat today", "en"), (2, "the cat sat on the mat today", "en"), (None, "the dog ran", "en"), (3, None, None)]
+    plain = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    df = plain.select("*", *[F.lit(f"own {c}").alias(c) for c in CLASHES])
+    items = spark.createDataFrame([(1, PASSAGE)], "item_id long, text string")
+    filters = (lambda d: decontaminate.decontaminate(d, items), lines.drop_lines, simhash.near_dedup, language.keep_identified)
+    for keep in filters:
+        want, got = keep(plain).collect(), keep(df)
+        assert got.columns == df.columns
+        got = got.collect()
+        assert sorted(repr(tuple(r)[:3]) for r in got) == sorted(repr(tuple(r)) for r in want)
+        assert all(r[c] == f"own {c}" for r in got for c in CLASHES)
+        assert keep(df.limit(0)).count() == 0
+    judged = decontaminate.contamination(df, items)
+    assert len(set(judged.columns)) == len(judged.columns) and judged.where("contaminated").count() == 1
+    assert lines.dedup_lines(df).where("kept = text or text is null").count() == len(rows)
+
+
 def test_digest_is_of_utf8():
     assert substrings.digest("ü") == hashlib.sha256("ü".encode()).hexdigest()

@@ -21,7 +21,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,12 +48,37 @@ def usable(v: str = "embedding"):
     return x.isNotNull() & (F.size(x) > 0) & ~bad & F.exists(x, lambda c: c != 0)
 
 
-def _unit(vs) -> np.ndarray:
-    x = np.stack([np.asarray(v, dtype=np.float64) for v in vs])
+def _unit(x: np.ndarray) -> np.ndarray:
+    x = x.astype(np.float64)
     x = x / np.abs(x).max(axis=1, keepdims=True)  # so that squares neither overflow nor vanish
     return x / np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
 
 
+def _by_size(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(dimension, rows, matrix) of a batch's vectors, one for each dimension."""
+    lists = batch.column("embedding")
+    sizes = lists.value_lengths().to_numpy()
+    for d in np.unique(sizes):
+        rows = np.flatnonzero(sizes == d)
+        yield int(d), rows, lists.take(pa.array(rows)).flatten().to_numpy(zero_copy_only=False).reshape(len(rows), d)
+
+
+def _as_binary(x: np.ndarray) -> pa.Array:
+    """A row of a matrix as one binary value."""
+    x = np.ascontiguousarray(x)
+    offsets = np.arange(len(x) + 1, dtype=np.int32) * np.int32(x.shape[1] * x.itemsize)
+    return pa.Array.from_buffers(pa.binary(), len(x), [None, pa.py_buffer(offsets), pa.py_buffer(x)])
+
+
+def _from_binary(column: pa.ChunkedArray, d: int, dtype: str) -> np.ndarray:
+    parts = []
+    for c in column.chunks:
+        width = d * np.dtype(dtype).itemsize
+        first = np.frombuffer(c.buffers()[1], np.int32, 1, 4 * c.offset)[0] if len(c) else 0
+        parts.append(np.frombuffer(c.buffers()[2], dtype, len(c) * d, first).reshape(len(c), d) if len(c) and width else np.empty((0, d), dtype))
+    return np.concatenate(parts)
+
+
 def pairs_within(x: np.ndarray, y: np.ndarray, bounds, block: int, budget: float, min_cos: float, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index pairs of unit vectors with cosine of at least ``min_cos`` whose first block within its budget is ``block``.
 
@@ -61,13 +86,14 @@ def pairs_within(x: np.ndarray, y: np.ndarray, bounds, block: int, budget: float
     """
     dims = x.shape[1] // 2
     lo, hi = bounds[block]
-    share = np.float32(budget * (hi - lo) / dims * (1 + 1e-5) + 1e-6)
-    a, b = x[:, dims + lo : dims + hi].astype(np.float32), y[:, dims + lo : dims + hi].astype(np.float32)
-    bb = np.einsum("ij,ij->i", b, b)
-    for i in range(0, len(a), 512):
-        t = a[i : i + 512]
-        near = np.einsum("ij,ij->i", t, t)[:, None] + bb[None, :] - 2 * (t @ b.T) <= share
-        for p, q in _parts(*np.nonzero(near)):
+    share = np.float32(budget * (hi - lo) / dims * (1 + 1e-5) + 4e-6)
+    a, b = x[:, dims + lo : dims + hi], y[:, dims + lo : dims + hi]
+    # one product gives the squared distance: (-2a, |a|^2, 1) . (b, 1, |b|^2)
+    left = np.column_stack([-2 * a, np.einsum("ij,ij->i", a, a), np.ones(len(a))]).astype(np.float32)
+    right = np.column_stack([b, np.ones(len(b)), np.einsum("ij,ij->i", b, b)]).astype(np.float32).T.copy()
+    for i in range(0, len(a), 256):
+        for part in _parts(np.flatnonzero(left[i : i + 256] @ right <= share)):
+            p, q = np.divmod(part, len(b))
             p = p + i
             if same:
                 p, q = p[p < q], q[p < q]
@@ -82,9 +108,9 @@ def pairs_within(x: np.ndarray, y: np.ndarray, bounds, block: int, budget: float
             yield p[first], q[first]
 
 
-def _parts(p: np.ndarray, q: np.ndarray, n: int = 1 << 17) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _parts(p: np.ndarray, n: int = 1 << 17) -> Iterator[np.ndarray]:
     for i in range(0, len(p), n):
-        yield p[i : i + n], q[i : i + n]
+        yield p[i : i + n]
 
 
 class Forest:
@@ -115,46 +141,53 @@ def embedding_links(vectors: DataFrame, scratch: Scratch, min_cos: float = 0.9,
     sizes = [r["d"] for r in vectors.select(F.size("embedding").alias("d")).distinct().collect()]  # one row per dimension
     radii = {(d, k): float(np.sqrt(budget * (hi - lo) / d)) + 1e-4 for d in sizes for k, (lo, hi) in enumerate(block_bounds(d, blocks))}
 
-    def firsts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for d, g in b.groupby(b["embedding"].map(len)):
-                r = _unit(g["embedding"]) @ rotation(d)
+            for d, _, x in _by_size(b):
+                r = _unit(x) @ rotation(d)
                 for k, (lo, _) in enumerate(block_bounds(d, blocks)):
-                    yield pd.DataFrame({"id": g["id"].to_numpy(), "d": d, "k": k, "x": r[:, lo], "copies": g["copies"].to_numpy()})
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(r), d, np.int32)), pa.array(np.full(len(r), k, np.int32)), pa.array(r[:, lo])], names=["d", "k", "x"])
 
-    at = scratch.keep(vectors.select("id", "embedding", "copies").mapInPandas(firsts, "id long, d int, k int, x double, copies long"), "coordinates")
+    at = scratch.keep(vectors.select("embedding").mapInArrow(firsts, "d int, k int, x double"), "coordinates")
     n = at.groupBy("d", "k").agg(F.count(F.lit(1)).alias("n")).collect()
     cuts = {}
     for row in n:
         slabs = max(1, -(-row["n"] // slab_rows))
         here = at.where((F.col("d") == row["d"]) & (F.col("k") == row["k"]))
-        q = here.select(F.percentile_approx("x", [i / slabs for i in range(1, slabs)], 10_000)).first()[0] if slabs > 1 else []
+        q = here.select(F.percentile_approx("x", [i / slabs for i in range(1, slabs)], max(10_000, 10 * slabs))).first()[0] if slabs > 1 else []
         cuts[row["d"], row["k"]] = np.array(sorted(set(q)), dtype=np.float64)
 
-    def dealt(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for d, g in b.groupby(b["embedding"].map(len)):
-                r = _unit(g["embedding"]) @ rotation(d)
+            ids, copies = b.column("id").to_numpy(), b.column("copies").to_numpy()
+            for d, rows, x in _by_size(b):
+                r = _unit(x) @ rotation(d)
                 for k, (lo, _) in enumerate(block_bounds(d, blocks)):
                     c, radius = cuts[d, k], radii[d, k]
                     home = np.searchsorted(c, r[:, lo], side="right")
-                    left = np.searchsorted(c, r[:, lo] - radius, side="right")
-                    right = np.searchsorted(c, r[:, lo] + radius, side="right")
-                    many = np.repeat(np.arange(len(g)), right - left + 1)
-                    other = left[many] + np.arange(len(many)) - np.repeat(np.cumsum(right - left + 1) - (right - left + 1), right - left + 1)
-                    yield pd.DataFrame({"d": d, "k": k, "i": np.minimum(home[many], other), "j": np.maximum(home[many], other), "home": home[many], "id": g["id"].to_numpy()[many], "copies": g["copies"].to_numpy()[many], "embedding": [g["embedding"].iloc[m] for m in many]})
-
-    tiles = vectors.select("id", "embedding", "copies").mapInPandas(dealt, "d int, k int, i int, j int, home int, id long, copies long, embedding array<float>" if dict(vectors.dtypes)["embedding"] == "array<float>" else "d int, k int, i int, j int, home int, id long, copies long, embedding array<double>")
-
-    def meet(key, g: pd.DataFrame) -> pd.DataFrame:
-        d, k, i, j = key
-        g = g.sort_values("id", kind="stable").reset_index(drop=True)
-        u = _unit(g["embedding"])
+                    low = np.searchsorted(c, r[:, lo] - radius, side="right")
+                    met = np.searchsorted(c, r[:, lo] + radius, side="right") - low + 1
+                    many = np.repeat(np.arange(len(x)), met)
+                    other = low[many] + np.arange(len(many)) - np.repeat(np.cumsum(met) - met, met)
+                    for s in range(0, len(many), 4096):
+                        m, o = many[s : s + 4096], other[s : s + 4096]
+                        h = home[m]
+                        ints = [np.full(len(m), d), np.full(len(m), k), np.minimum(h, o), np.maximum(h, o), h]
+                        yield pa.RecordBatch.from_arrays([*(pa.array(v.astype(np.int32)) for v in ints), pa.array(ids[rows[m]]), pa.array(copies[rows[m]]), _as_binary(x[m])], names=["d", "k", "i", "j", "home", "id", "copies", "vector"])
+
+    dtype = "f8" if dict(vectors.dtypes)["embedding"] == "array<double>" else "f4"
+    tiles = vectors.select("id", "embedding", "copies").mapInArrow(dealt, "d int, k int, i int, j int, home int, id long, copies long, vector binary")
+
+    def meet(key: tuple[pa.Scalar, ...], g: pa.Table) -> pa.Table:
+        d, k, i, j = (x.as_py() for x in key)
+        ids = g.column("id").to_numpy()
+        order = np.argsort(ids, kind="stable")
+        ids, home, copies = ids[order], g.column("home").to_numpy()[order], g.column("copies").to_numpy()[order]
+        u = _unit(_from_binary(g.column("vector"), d, dtype)[order])
         both = np.hstack([u, u @ rotation(d)])
-        home, ids, copies = g["home"].to_numpy(), g["id"].to_numpy(), g["copies"].to_numpy()
         a = np.flatnonzero(home == i)
         b = a if i == j else np.flatnonzero(home == j)
-        links, forest = np.zeros(len(g), dtype=np.int64), Forest(len(g))
+        links, forest = np.zeros(len(ids), dtype=np.int64), Forest(len(ids))
         if len(a) and len(b):
             for p, q in pairs_within(both[a], both[b], block_bounds(d, blocks), k, budget, min_cos, i == j):
                 p, q = a[p], b[q]
@@ -163,9 +196,9 @@ def embedding_links(vectors: DataFrame, scratch: Scratch, min_cos: float = 0.9,
                 forest.join(p, q)
         some = np.flatnonzero(links)
         root = np.array([forest.find(x) for x in some], dtype=np.int64)
-        return pd.DataFrame({"id": ids[some], "n": links[some], "b": ids[root] if len(some) else ids[:0]})
+        return pa.table({"id": ids[some], "n": links[some], "b": ids[root] if len(some) else ids[:0]})
 
-    found = scratch.keep(tiles.groupBy("d", "k", "i", "j").applyInPandas(meet, "id long, n long, b long"), "links")
+    found = scratch.keep(tiles.groupBy("d", "k", "i", "j").applyInArrow(meet, "id long, n long, b long"), "links")
     return found.groupBy("id").agg(F.sum("n").alias("n")), found.where("id <> b").select(F.col("id").alias("a"), "b")
 
 

@@ -44,7 +44,6 @@ def test_simhash(docs, spark):
                 if (fps[a] ^ fps[b]).bit_count() <= 4:
                     part[a] = part[b] = min(part[a], part[b])
     assert {r.doc_id: r.component_id for r in got} == part
-    assert sorted(r.doc_id for r in simhash.near_dedup(docs, size=4).collect()) == sorted(set(part.values()))
     base = [RNG.getrandbits(64) for _ in range(40)]
     near = base + [x ^ sum(1 << b for b in RNG.sample(range(64), k)) for x in base for k in (1, 2, 3, 4, 5)]
     signed = lambda x: x - (1 << 64) if x >> 63 else x
@@ -54,6 +53,34 @@ def test_simhash(docs, spark):
     assert len(links) == len(want) and {(r.a, r.b) for r in links} == want
 
 
+def test_near_dedup(docs, spark):
+    kept = simhash.near_dedup(docs)
+    assert kept.columns == docs.columns
+    fps = {d: simhash.wide_fingerprint(t) for d, t in DOCS}
+    # a brute force over the pairs that share a deletion variant
+    segments = [((1 << w) - 1) << f for f, w in simhash.SEGMENTS]
+    meet = lambda a, b: any(((a[0] ^ b[0]) & m).bit_count() <= 1 for m in segments) and sum((x ^ y).bit_count() for x, y in zip(a, b)) <= 20
+    part = {d: d for d in fps}
+    for _ in fps:
+        for a in fps:
+            for b in fps:
+                if meet(fps[a], fps[b]):
+                    part[a] = part[b] = min(part[a], part[b])
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(part.values()))
+    rng = random.Random(3)
+    rows = []
+    for g in range(12):  # a text and 30 near copies with two words changed, 300 words each
+        words = [f"{g}x{rng.randrange(10**6)}" for _ in range(300)]
+        for c in range(31):
+            copy = list(words)
+            for at in rng.sample(range(300), 2 if c else 0):
+                copy[at] = f"new{rng.random()}"
+            rows.append((g * 100 + c, " ".join(copy)))
+    got = simhash.near_dedup(spark.createDataFrame([*rows, (None, "alone"), (None, "alone")], "doc_id long, text string"))
+    assert sorted(r.doc_id or -1 for r in got.collect()) == [-1, -1, -1, *(g * 100 for g in range(1, 12))]
+    assert simhash.near_dedup(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
 def test_chat(spark):
     texts = ["<|im_end|>", "<\\|x", "", None, "a\nb", "<|im_start|>assistant ok"]
     rows = [(1, i, r, t) for i, (r, t) in enumerate(zip(["user", "assistant", "we\\n\n<|ird", None, "assistant", "assistant"], texts))]

@@ -81,6 +81,28 @@ def test_near_dedup(docs, spark):
     assert simhash.near_dedup(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_near_dedup_equals_brute_force_jaccard(spark):
+    """Pairs around the similarity of 0.8, of which a few bits of a fingerprint say little."""
+    rng = random.Random(5)
+    rows = []
+    for g in range(60):
+        words = [f"{g}y{rng.randrange(10**6)}" for _ in range(rng.randint(20, 400))]
+        for c in range(4):
+            copy = list(words)
+            for at in rng.sample(range(len(words)), len(words) * rng.randint(1, 4) // 100 + 1 if c else 0):
+                copy[at] = f"new{rng.random()}"
+            rows.append((g * 10 + c, " ".join(copy) + (" " + PASSAGE if g % 3 == 0 else "")))
+    rng.shuffle(rows)
+    sets = {d: set(simhash.shingle_hashes(t, 5).tolist()) for d, t in rows}
+    near = {d: [e for e in sets if 5 * len(sets[d] & sets[e]) >= 4 * len(sets[d] | sets[e])] for d in sets}
+    part = {d: d for d in sets}
+    for _ in range(6):
+        part = {d: min(part[e] for e in near[d]) for d in sets}
+    kept = sorted(r.doc_id for r in simhash.near_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert 60 < len(set(part.values())) < 200
+    assert kept == sorted(set(part.values()))
+
+
 def test_chat(spark):
     texts = ["<|im_end|>", "<\\|x", "", None, "a\nb", "<|im_start|>assistant ok"]
     rows = [(1, i, r, t) for i, (r, t) in enumerate(zip(["user", "assistant", "we\\n\n<|ird", None, "assistant", "assistant"], texts))]

@@ -3,9 +3,9 @@
 Paragraphs are described by hashed word n-grams.  A multinomial logistic
 regression with an *unknown* class is trained on perturbed license notices and on
 text that isn't one; its probabilities are calibrated with a temperature on
-held-out paragraphs.  A prediction counts when the class is known, its calibrated
-probability is high enough, and the paragraph contains most word trigrams of one
-of the family's templates in a window of the template's size.
+held-out paragraphs.  A family counts where a paragraph contains most word trigrams
+of one of its templates in a window of the template's size, and its calibrated
+probability there is high enough; so one paragraph can state several.
 """
 
 from __future__ import annotations
@@ -122,49 +122,62 @@ def train(examples: int = 3000, epochs: int = 4, seed: int = 11) -> LicenseModel
     return m
 
 
-def confirm(words: list[str], family: str, least: float = 0.8) -> float:
-    """Best share of a template's word trigrams found in a window of about its size; 0 below ``least``."""
-    best = 0.0
-    for t in TEMPLATES[family]:
-        tw = tokens(t)
-        n = min(3, len(tw))
-        want = {tuple(tw[i : i + n]) for i in range(len(tw) - n + 1)}
+def _grams(words: list[str]) -> tuple[int, list[tuple[str, ...]]]:
+    """The length of a template's n-grams, trigrams where it has three words, and the n-grams."""
+    n = min(3, len(words))
+    return n, [tuple(words[i : i + n]) for i in range(len(words) - n + 1)]
+
+
+_TEMPLATE_GRAMS = {f: [(len(tw), n, frozenset(grams)) for tw in map(tokens, ts) for n, grams in [_grams(tw)]] for f, ts in TEMPLATES.items()}
+_ALL_GRAMS = frozenset(g for ts in _TEMPLATE_GRAMS.values() for _, _, want in ts for g in want)
+_CUES = frozenset(w for g in _ALL_GRAMS for w in g) - frozenset(FILLER)
+
+
+def places(words: list[str], family: str, least: float = 0.8) -> Iterator[tuple[int, int]]:
+    """Spans of words that hold at least this share of a template's n-grams, in a window of about its size."""
+    for size, n, want in _TEMPLATE_GRAMS[family]:
         at = [i for i in range(len(words) - n + 1) if tuple(words[i : i + n]) in want]
         lo = 0
         for hi in range(len(at)):
-            while at[hi] - at[lo] > len(tw) + 4:
+            while at[hi] - at[lo] > size + 4:
                 lo += 1
-            found = {tuple(words[i : i + n]) for i in at[lo : hi + 1]}
-            best = max(best, len(found) / len(want))
-    return best if best >= least else 0.0
+            if len({tuple(words[i : i + n]) for i in at[lo : hi + 1]}) >= least * len(want):
+                yield at[lo], at[hi] + n
+
+
+def paragraphs_of(text: str | None) -> list[str]:
+    """Runs of non-blank lines, each joined by spaces."""
+    out: list[list[str]] = [[]]
+    for line in (text or "").split("\n"):
+        if line.strip():
+            out[-1].append(line)
+        elif out[-1]:
+            out.append([])
+    return [" ".join(p) for p in out if p]
 
 
 def scan_text(model: LicenseModel, text: str | None, least: float = 0.5) -> tuple[int, list[tuple[int, str, float]]]:
-    """(number of paragraphs, [(paragraph, family, probability)]); a paragraph is a non-blank line."""
-    paragraphs = [p for p in (text or "").split("\n") if p.strip()]
+    """(number of paragraphs, [(paragraph, family, probability)]); a paragraph is a run of non-blank lines."""
+    paragraphs = paragraphs_of(text)
     out = []
     for i, p in enumerate(paragraphs):
         words = tokens(p)
         if not _may_state(words):
             continue
-        # long paragraphs are judged in windows that overlap by half, so a notice isn't drowned
-        for at in range(0, max(1, len(words) - 20), 20):
-            part = words[at : at + 40]
-            prob = model.probabilities(part)
-            k = int(prob.argmax())
-            if k and prob[k] >= least and confirm(part, model.families[k - 1]):
-                hit = (i, model.families[k - 1], float(prob[k]))
-                if not any(h[:2] == hit[:2] for h in out):
-                    out.append(hit)
+        for k, family in enumerate(model.families, 1):
+            for start, end in places(words, family):
+                # the notice by itself, then with the words around it
+                pad = max(0, 40 - (end - start)) // 2
+                prob = max(model.probabilities(words[start:end])[k], model.probabilities(words[max(0, start - pad) : end + pad])[k])
+                if prob >= least:
+                    out.append((i, family, float(prob)))
+                    break
     return len(paragraphs), out
 
 
-_CUES = frozenset(w for ts in TEMPLATES.values() for t in ts for w in tokens(t)) - frozenset(FILLER)
-
-
 def _may_state(words: list[str]) -> bool:
-    """A confirmed notice shares at least a trigram with a template, so it has one of these words."""
-    return not _CUES.isdisjoint(words)
+    """A notice shares n-grams with a template, so it has one of these words and one of these n-grams."""
+    return not _CUES.isdisjoint(words) and not (_ALL_GRAMS.isdisjoint(zip(words, words[1:], words[2:])) and _ALL_GRAMS.isdisjoint(zip(words, words[1:])))
 
 
 def license_scan(docs: DataFrame, model: LicenseModel | None = None, least: float = 0.5) -> DataFrame:

@@ -229,6 +229,17 @@ def test_licenses(spark):
     assert got[3].n_paragraphs == 0 and got[3].score == 0
 
 
+def test_wrapped_and_dual_licenses(spark):
+    mit = "# Permission is hereby granted, free of charge, to any person\n# obtaining a copy of this software and associated\n# documentation files (the \"Software\"), to deal"
+    bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions\nare met:"
+    gpl = "    This program is free software: you can redistribute it and/or modify\n    it under the terms of the GNU General Public License as published by\n    the Free Software Foundation, either version 3"
+    prose = "word \n" * 37
+    texts = [mit, bsd, gpl, prose + gpl + "\n" + prose, "Licensed under the MIT License. Licensed under CC BY 4.0.", mit.replace("\n", "\n\n"), "one\n \t\ntwo\n\n\nthree\nfour"]
+    got = {r.doc_id: r for r in licenses.license_scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert [got[i].licenses for i in range(7)] == [["mit"], ["bsd"], ["gpl"], ["gpl"], ["cc-by", "mit"], [], []]
+    assert [got[i].n_paragraphs for i in range(7)] == [1, 1, 1, 1, 1, 3, 3]
+
+
 CLASHES = ("contaminated", "items", "n_words", "n_hit", "_n", "_row", "_d", "_r", "_hit", "_items", "n_lines", "n_dropped", "kept", "_gone", "_id", "h1", "newest", "_t", "fp", "component_id", "lang_pred", "score", "row", "words", "_extra_0")
 
 

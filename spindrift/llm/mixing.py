@@ -3,10 +3,12 @@
 The mix is a sequence of slots of equally many words.  Slot ``j`` takes the point
 ``frac((j + 1) / golden ratio)``, and the source whose share of the unit interval
 holds the point; consecutive slots therefore follow the target shares closely at
-every prefix of the schedule.  A source's slots are ranked, and slot rank ``r``
-takes the source's ``r``-th block: its documents stand in a shuffled order (by
-hash), their words form one stream that may be repeated up to ``max_repeats``
-times, and the stream is cut into blocks of equally many words.
+every prefix of the schedule.  A source with too few points for its target shares
+further slots, spread evenly, with their own sources.  A source's slots are
+ranked, and slot rank ``r`` takes the source's ``r``-th block: its documents stand
+in a shuffled order (by hash), their words form one stream that may be repeated up
+to ``max_repeats`` times, and the stream up to the target is cut into as many
+equal blocks as the source has slots.  Every target is met to a word.
 
 Prefix sums are two-level (source and hash bucket), so a source with most of the
 rows is spread over many tasks.
@@ -86,7 +88,7 @@ def mix(
     size is the number of ``[^\\x20\\x09-\\x0D]+`` in the text, 0 for null.  A null
     source is a source of its own.  Rows that share a doc_id are mixed each for
     itself.  Without any words nothing is taken.  ``slots`` sets the schedule's
-    resolution: targets are met to a few slots.  The sources' totals (at most
+    resolution, not how well targets are met.  The sources' totals (at most
     ``max_sources``, one row each) are the only thing the driver reads; more
     sources raise an error.
     """
@@ -110,15 +112,23 @@ def mix(
     rows, at = [], 0.0
     for i, x in enumerate(shares):
         end = at + (x.target / total if total else 0.0)
-        rows.append((i, x.source, x.size, x.target, at, 2.0 if i == len(shares) - 1 else end))
+        rows.append((i, x.source, x.size, x.target, math.floor(x.target + 0.5), at, 2.0 if i == len(shares) - 1 else end))
         at = end
-    table = spark.createDataFrame(rows, "_s int, _source string, source_size long, target double, lo double, hi double")
+    table = spark.createDataFrame(rows, "_s int, _source string, source_size long, target double, words long, lo double, hi double")
     shared = F.broadcast(table)  # at most max_sources rows
-    known = sized.join(shared, F.col("source").eqNullSafe(F.col("_source"))).select("doc_id", "source", "size", "_row", "_s", "source_size", "target")
+    known = sized.join(shared, F.col("source").eqNullSafe(F.col("_source"))).select("doc_id", "source", "size", "_row", "_s", "source_size", "target", "words")
 
     point = F.expr(f"(cast(id + 1 as double) * {GOLDEN!r}) % 1.0D")
     schedule = spark.range(n_slots).withColumn("u", point)
-    schedule = schedule.join(F.broadcast(table.select("_s", "lo", "hi")), (F.col("u") >= F.col("lo")) & (F.col("u") < F.col("hi")))
+    schedule = schedule.join(F.broadcast(table.select("_s", "lo", "hi")), (F.col("u") >= F.col("lo")) & (F.col("u") < F.col("hi"))).select("id", "_s")
+    # points miss a target by a few slots: what is still needed, at most a block of words a slot, is added
+    had = schedule.groupBy("_s").agg(F.count(F.lit(1)).alias("_had"))
+    need = F.expr(f"(words + {block - 1}) div {block}")
+    per = table.join(had, "_s", "left").select("_s", "words", "lo", F.coalesce("_had", F.lit(0)).cast("long").alias("_had"), need.alias("_need"))
+    per = scratch.keep(per, "slots")
+    more = per.where("_need > _had").withColumn("i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_need") - F.col("_had"))))
+    more = more.select(F.expr(f"least(cast(((lo + i * {GOLDEN!r}) % 1.0D) * {n_slots} as long), {max(n_slots - 1, 0)}L)").alias("id"), "_s")
+    schedule = scratch.keep(schedule.unionByName(more), "schedule")
     # ranks are two-level too: a source's slots are counted by runs of slots first
     run = 1 << 14
     schedule = schedule.withColumn("_g", F.expr(f"id div {run}"))
@@ -131,9 +141,11 @@ def mix(
     placed = scratch.keep(_prefix_sums(known.where("size > 0"), scratch, buckets), "placed")
     copies = placed.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(max_repeats - 1))))
     copies = copies.withColumn("lo", F.col("at") + F.col("copy") * F.col("source_size")).withColumn("hi", F.col("lo") + F.col("size"))
-    # a slot of a source is `block` words of its repeated stream; targets bound how far it is read
-    copies = copies.where(F.col("lo") < F.col("target") + F.lit(64 * block))
-    pieces = copies.withColumn("rank", F.explode(F.expr(f"sequence(lo div {block}, (hi - 1) div {block})")))
+    # rank r of c takes the words from words * r div c of the repeated stream
+    cuts = F.broadcast(per.select("_s", F.greatest("_had", "_need").alias("_c")))  # at most max_sources rows
+    copies = copies.where("lo < words").withColumn("hi", F.least("hi", "words")).join(cuts, "_s")
+    pieces = copies.withColumn("rank", F.explode(F.expr("sequence(((lo + 1) * _c - 1) div words, (hi * _c - 1) div words)")))
+    first_word, end_word = F.expr("words * rank div _c"), F.expr("words * (rank + 1) div _c")
     used = pieces.join(ranked, ["_s", "rank"]).select(
         "slot",
         "source",
@@ -143,8 +155,8 @@ def mix(
         "_s",
         "at",
         "copy",
-        (F.greatest("lo", F.col("rank") * block) - F.col("lo")).alias("start"),
-        (F.least("hi", (F.col("rank") + 1) * block) - F.greatest("lo", F.col("rank") * block)).alias("length"),
+        (F.greatest("lo", first_word) - F.col("lo")).alias("start"),
+        (F.least("hi", end_word) - F.greatest("lo", first_word)).alias("length"),
     )
     taken = used.groupBy("_s", "at").agg(F.sum("length").alias("_taken")).withColumnsRenamed({"_s": "_s2", "at": "_at"})
     some = placed.join(taken, (F.col("_s") == F.col("_s2")) & (F.col("at") == F.col("_at")), "left")

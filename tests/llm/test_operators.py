@@ -222,6 +222,28 @@ def test_mixing(docs, spark):
     assert [x.target for x in small] == [3.0, 98.0, 0.0]
 
 
+@pytest.mark.parametrize("slots", [1, 7, 40, 1 << 20])
+def test_mixing_meets_small_targets(spark, slots):
+    """Blocks of many words: sources of a fraction of a block, and of a few blocks."""
+    sizes = {"a": [400] * 9, "b": [3], "c": [20, 21], "d": [150, 1], "e": [1], None: [60, 0]}
+    rows = [(n, s, " ".join(["w"] * k)) for n, (s, k) in enumerate((s, k) for s, ks in sizes.items() for k in ks)]
+    out, schedule = mixing.mix(spark.createDataFrame(rows, "doc_id long, source string, text string"), slots=slots)
+    got, pieces = out.collect(), schedule.collect()
+    block = -(-sum(map(sum, sizes.values())) // slots)
+    assert len(got) == len(rows) and all(r.taken <= 3 * r.size for r in got)
+    for share in mixing.fill_targets([(s, sum(k)) for s, k in sizes.items()]):
+        assert abs(sum(r.taken for r in got if r.source == share.source) - share.target) <= 0.5
+        slot_words = {}
+        for p in pieces:
+            if p.source == share.source:
+                slot_words[p.rank] = slot_words.get(p.rank, 0) + p.length
+        assert all(0 < n <= block for n in slot_words.values())
+    size = {n: len(t.split()) for n, _, t in rows}
+    words = sorted((p.doc_id, p.copy, p.start + i) for p in pieces for i in range(p.length))
+    assert len(words) == len(set(words)) and all(i < size[d] for d, _, i in words)
+    assert {p.slot for p in pieces} <= set(range(-(-sum(size.values()) // block)))
+
+
 def test_licenses(spark):
     rows = [(1, "Hello\nLicensed under the Apache License, Version 2.0.\n"), (2, "a driving license is required"), (3, None), (4, "word " * 3000 + "Released under the MIT License. " + "word " * 3000)]
     got = {r.doc_id: r for r in licenses.license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}

@@ -92,14 +92,26 @@ def read_matrix_dominant(df: DataFrame, source: str = "source") -> DataFrame:
     return top.select("label", F.col("top").alias(source), "n", (F.col("n_top") * 100 / F.col("n")).alias("percent"))
 
 
-def false_positive_rate(df: DataFrame, injection_min: int = 5, negative: str = "target-negative", up_to: int = 10) -> DataFrame:
-    """(threshold, negative, target, rate) for thresholds from 0 up to the water controls' largest count."""
-    top = lambda cond: F.coalesce(F.max(F.when(cond, F.col("umi_count"))), F.lit(0))
+def false_positive_rate(df: DataFrame, injection_min: int = 5, negative: str = "target-negative") -> DataFrame:
+    """(threshold, negative, target, rate) for thresholds from 0 up to the water controls' largest count.
+
+    A barcode's maxima are counted once and the histogram summed from the top, so
+    work doesn't grow with barcodes times thresholds.
+    """
+    top = lambda cond: F.coalesce(F.max(F.when(cond, F.col("umi_count"))), F.lit(0)).cast("long")
     per = df.groupBy("vbc_read").agg(top(F.col("site") == "injection").alias("inj"), top(F.col("site") == negative).alias("neg"), top(F.col("site") == "target").alias("tgt"))
-    water = df.where("site = 'target-water-control'").agg(F.coalesce(F.max("umi_count"), F.lit(0)).alias("m"))
-    steps = water.select(F.explode(F.when(F.col("m") > 0, F.sequence(F.lit(0).cast("long"), F.col("m").cast("long") - 1))).alias("threshold"))
-    hit = per.where(F.col("inj") > injection_min).crossJoin(F.broadcast(steps.where(F.col("threshold") < up_to)))  # at most up_to rows
-    return hit.groupBy("threshold").agg(F.count_if(F.col("neg") > F.col("threshold")).alias("negative"), F.count_if(F.col("tgt") > F.col("threshold")).alias("target")).withColumn("rate", F.when(F.col("target") > 0, F.col("negative") / F.col("target")))
+    water = df.where("site = 'target-water-control'").agg(F.coalesce(F.max("umi_count"), F.lit(0)).cast("long").alias("m"))
+    steps = water.select(F.explode(F.when(F.col("m") > 0, F.sequence(F.lit(0).cast("long"), F.col("m") - 1))).alias("threshold"))
+    # a maximum of x counts at the thresholds below x, that is up to x - 1 or the last one
+    some = per.where(F.col("inj") > injection_min).crossJoin(F.broadcast(water))  # one row
+    ends = F.array(*[F.struct(F.least(F.col(c) - 1, F.col("m") - 1).alias("threshold"), F.lit(c == "neg").cast("long").alias("neg"), F.lit(c == "tgt").cast("long").alias("tgt")) for c in ("neg", "tgt")])
+    ends = some.select(F.explode(ends).alias("e")).select("e.*")
+    # thresholds without an end count too, where any barcode passed
+    ends = ends.unionByName(steps.crossJoin(F.broadcast(some.select(F.lit(0).cast("long").alias("neg"), F.lit(0).cast("long").alias("tgt")).limit(1))))
+    counted = ends.where("threshold >= 0").groupBy("threshold").agg(F.sum("neg").alias("neg"), F.sum("tgt").alias("tgt"))
+    above = Window.orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0)  # one row a threshold
+    out = counted.select("threshold", F.sum("neg").over(above).alias("negative"), F.sum("tgt").over(above).alias("target"))
+    return out.withColumn("rate", F.when(F.col("target") > 0, F.col("negative") / F.col("target")))
 
 
 def template_switch_rate(df: DataFrame) -> DataFrame:

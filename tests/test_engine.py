@@ -30,6 +30,16 @@ def test_query_matches_sql(spark, name):
     assert sorted(map(repr, (show(x) for x in df.select(cols).collect()))) == sorted(map(repr, (show([x[i] for i in at]) for x in r.fetchall())))
 
 
+def test_false_positive_rate_reaches_the_largest_water_count(spark):
+    rng = random.Random(8)
+    sites = ["injection", "target", "target-negative"]
+    rows = [(f"v{i}", rng.choice(sites), rng.randint(1, 30)) for i in range(200) for _ in range(3)] + [("w", "target-water-control", 25)]
+    got = M.false_positive_rate(spark.createDataFrame(rows, "vbc_read string, site string, umi_count long"), 2).collect()
+    top = lambda v, s: max([n for x, y, n in rows if (x, y) == (v, s)], default=0)
+    passed = [(top(v, "target-negative"), top(v, "target")) for v in {r[0] for r in rows} if top(v, "injection") > 2]
+    assert sorted((r.threshold, r.negative, r.target) for r in got) == [(t, sum(n > t for n, _ in passed), sum(g > t for _, g in passed)) for t in range(25)]
+
+
 def test_normalisation_golden_case(spark):
     real = [("b", f"r{i}", k, float(v)) for i, row in enumerate([(2, 0, 0, 5, 17), (0, 50, 5, 10, 0), (20, 5, 90, 40, 0)]) for k, v in zip("ABCDE", row)]
     spikes = [("b", f"s{i}", k, float(v)) for i, row in enumerate([(5, 20, 40, 60, 50), (5, 20, 40, 120, 50), (5, 20, 40, 180, 50)]) for k, v in zip("ABCDE", row)]

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spindrift.functions.seq import natural_key
+from spindrift.operators.barcodes import vbc_filter
 
 
 def label_order(df: DataFrame, column: str = "label") -> list[str]:
@@ -138,14 +139,14 @@ def vbc_overlap(controls: DataFrame, vbcs: DataFrame) -> DataFrame:
 
 
 def parameter_sweep(df: DataFrame, params: list[tuple[int, int]]) -> DataFrame:
-    """(injection_min, target_min, label, n_vbc) for every pair of thresholds, in one plan."""
-    spark = df.sparkSession
-    p = spark.createDataFrame(params, "injection_min long, target_min long")
-    x = df.where("type <> 'spike' and brain <> ''").crossJoin(F.broadcast(p))  # params: the caller's short list
-    top = F.max(F.when(F.col("site").startswith("target"), F.col("umi_count"))).over(Window.partitionBy("injection_min", "target_min", "brain", "vbc_read"))
-    inj = F.max(F.when(F.col("site") == "injection", F.col("umi_count"))).over(Window.partitionBy("injection_min", "target_min", "brain", "vbc_read"))
-    ok = x.withColumns({"_t": top, "_i": inj}).where("_t >= target_min and _i >= injection_min")
-    return ok.groupBy("injection_min", "target_min", "label").agg(F.countDistinct("vbc_read").alias("n_vbc"))
+    """(injection_min, target_min, label, n_vbc): the reals' distinct barcodes that the whole VBC filter leaves at each pair of thresholds, in one plan."""
+    out = None
+    for injection_min, target_min in params:  # the caller's short list
+        real = vbc_filter(df, injection_min, target_min).where("type = 'real'")
+        one = real.groupBy("label").agg(F.countDistinct("vbc_read").alias("n_vbc"))
+        one = one.select(F.lit(injection_min).cast("long").alias("injection_min"), F.lit(target_min).cast("long").alias("target_min"), "label", "n_vbc")
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 # --- library -------------------------------------------------------------------

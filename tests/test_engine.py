@@ -40,6 +40,13 @@ def test_false_positive_rate_reaches_the_largest_water_count(spark):
     assert sorted((r.threshold, r.negative, r.target) for r in got) == [(t, sum(n > t for n, _ in passed), sum(g > t for _, g in passed)) for t in range(25)]
 
 
+def test_parameter_sweep_applies_the_whole_filter(spark):
+    rows = [("v1", "T", "real", 3, "b1", "target"), ("v1", "I", "real", 4, "b1", "injection"), ("v1", "J", "real", 1, "b1", "injection"), ("v2", "T", "lone", 9, "b1", "target"), ("v2", "I", "lone", 9, "b1", "injection"), ("v3", "W", "real", 2, "", "target-water-control"), ("v4", "W", "real", 1, "", "target-water-control")]
+    df = spark.createDataFrame([(v, k, t, n, n, b, s) for v, k, t, n, b, s in rows], "vbc_read string, label string, type string, umi_count long, read_count long, brain string, site string")
+    got = sorted(tuple(r) for r in M.parameter_sweep(df, [(1, 1), (2, 2), (5, 2)]).collect())
+    assert got == [(1, 1, "I", 1), (1, 1, "J", 1), (1, 1, "T", 1), (1, 1, "W", 2), (2, 2, "I", 1), (2, 2, "T", 1), (2, 2, "W", 1), (5, 2, "W", 1)]
+
+
 def test_normalisation_golden_case(spark):
     real = [("b", f"r{i}", k, float(v)) for i, row in enumerate([(2, 0, 0, 5, 17), (0, 50, 5, 10, 0), (20, 5, 90, 40, 0)]) for k, v in zip("ABCDE", row)]
     spikes = [("b", f"s{i}", k, float(v)) for i, row in enumerate([(5, 20, 40, 60, 50), (5, 20, 40, 120, 50), (5, 20, 40, 180, 50)]) for k, v in zip("ABCDE", row)]

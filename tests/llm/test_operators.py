@@ -53,20 +53,28 @@ def test_simhash(docs, spark):
     assert len(links) == len(want) and {(r.a, r.b) for r in links} == want
 
 
+def jaccard(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def plain_near_groups(texts):
+    """Brute force: texts link if a segment differs in at most one bit and their sets' similarity is 0.8 or more."""
+    sets = simhash.word_sets([t for _, t in texts], 5)
+    bits = simhash.wide_bits(sets, simhash.PARTS * 2 * simhash.HALF).reshape(len(texts), simhash.PARTS, -1)
+    sets = [set(h.tolist()) for h in sets]
+    part = {d: d for d, _ in texts}
+    links = [(i, j) for i in range(len(texts)) for j in range(i) if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]) and ((bits[i] != bits[j]).sum(axis=1) <= 1).any()]
+    for _ in range(12):
+        for i, j in links:
+            x, y = texts[i][0], texts[j][0]
+            part[x] = part[y] = min(part[x], part[y])
+    return part
+
+
 def test_near_dedup(docs, spark):
     kept = simhash.near_dedup(docs)
     assert kept.columns == docs.columns
-    fps = {d: simhash.wide_fingerprint(t) for d, t in DOCS}
-    # a brute force over the pairs that share a deletion variant
-    segments = [((1 << w) - 1) << f for f, w in simhash.SEGMENTS]
-    meet = lambda a, b: any(((a[0] ^ b[0]) & m).bit_count() <= 1 for m in segments) and sum((x ^ y).bit_count() for x, y in zip(a, b)) <= 20
-    part = {d: d for d in fps}
-    for _ in fps:
-        for a in fps:
-            for b in fps:
-                if meet(fps[a], fps[b]):
-                    part[a] = part[b] = min(part[a], part[b])
-    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(part.values()))
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(plain_near_groups(sorted({d: t for d, t in DOCS}.items())).values()))
     rng = random.Random(3)
     rows = []
     for g in range(12):  # a text and 30 near copies with two words changed, 300 words each
@@ -81,8 +89,10 @@ def test_near_dedup(docs, spark):
     assert simhash.near_dedup(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
-def test_near_dedup_equals_brute_force_jaccard(spark):
-    """Pairs around the similarity of 0.8, of which a few bits of a fingerprint say little."""
+@pytest.mark.parametrize("group_rows", [1 << 18, 8])
+def test_near_dedup_equals_brute_force(spark, monkeypatch, group_rows):
+    """Chains around the similarity of 0.8; also with groups that are passed on to the cluster."""
+    monkeypatch.setattr(simhash, "GROUP_ROWS", group_rows)
     rng = random.Random(5)
     rows = []
     for g in range(60):
@@ -93,16 +103,32 @@ def test_near_dedup_equals_brute_force_jaccard(spark):
                 copy[at] = f"new{rng.random()}"
             rows.append((g * 10 + c, " ".join(copy) + (" " + PASSAGE if g % 3 == 0 else "")))
     rng.shuffle(rows)
-    sets = {d: set(simhash.shingle_hashes(t, 5).tolist()) for d, t in rows}
-    near = {d: [e for e in sets if 5 * len(sets[d] & sets[e]) >= 4 * len(sets[d] | sets[e])] for d in sets}
-    part = {d: d for d in sets}
-    for _ in range(6):
-        part = {d: min(part[e] for e in near[d]) for d in sets}
+    part = plain_near_groups(rows)
     kept = sorted(r.doc_id for r in simhash.near_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect())
     assert 60 < len(set(part.values())) < 200
     assert kept == sorted(set(part.values()))
 
 
+def test_near_dedup_recall_of_isolated_pairs(spark):
+    """Of pairs of 200-word texts in each range of similarity, at least nine in ten are found; none below 0.8."""
+    rng, rows, sims = random.Random(11), [], {}
+    for g in range(900):
+        words = [f"{rng.randrange(10**7)}" for _ in range(200)]
+        copy = list(words)
+        for at in rng.sample(range(200), rng.randint(0, 7)):
+            copy[at] = f"new{rng.random()}"
+        cut = rng.randint(0, 6)
+        copy = copy[cut:]
+        rows += [(2 * g, " ".join(words)), (2 * g + 1, " ".join(copy))]
+        x, y = (set(h.tolist()) for h in simhash.word_sets([" ".join(words), " ".join(copy)], 5))
+        sims[g] = jaccard(x, y)
+    kept = {r.doc_id for r in simhash.near_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(2 * g in kept for g in sims) and all(2 * g + 1 in kept for g, s in sims.items() if s < 0.8)
+    for lo in (0.8, 0.85, 0.9, 0.95):
+        found = [2 * g + 1 not in kept for g, s in sims.items() if lo <= s < lo + 0.05]
+        assert len(found) > 40 and np.mean(found) >= 0.9, (lo, len(found), np.mean(found))
+
+
 def test_chat(spark):
     texts = ["<|im_end|>", "<\\|x", "", None, "a\nb", "<|im_start|>assistant ok"]
     rows = [(1, i, r, t) for i, (r, t) in enumerate(zip(["user", "assistant", "we\\n\n<|ird", None, "assistant", "assistant"], texts))]
@@ -202,6 +228,11 @@ def test_language_forward_backward_and_accuracy(spark):
     assert np.allclose(m[:, 0], want / total) and np.isclose(logz[0], np.log(total))
     d = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     model = language.fit(d, sample=120)
+    long = [language.letters(" ".join(r.text for r in d.where("text is not null").orderBy("doc_id").limit(6).collect()))]
+    assert np.allclose(model.document_scores(long, 10**9), model.document_scores(long, 37)) and len(long[0]) > 500
+    assert language.letters("x" * 70) == ["x" * 32, "x" * 32, "x" * 6]
+    switched = " ".join(r.text for lang in ("de", "en") for r in d.where(F.col("lang") == lang).orderBy("doc_id").limit(1).collect())
+    assert 0.3 < model.document_scores([language.letters(switched)]).max() < 0.9
     out = language.identify(d, model).where(language.fold(F.col("doc_id")) == 1).collect()
     assert np.mean([r.lang == r.lang_pred for r in out]) > 0.95
     odd = spark.createDataFrame([(1, None), (2, "123 !!"), (3, ""), (4, "² ½")], "doc_id long, text string")

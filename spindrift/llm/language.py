@@ -28,14 +28,15 @@ from pyspark.sql import functions as F
 
 from spindrift.llm.columns import set_aside
 
-WORD = re.compile(r"[^\W\d_]+")
+#: A word: a run of letters; longer runs, as in scripts without spaces, are consecutive words of 32 letters.
+WORD = re.compile(r"[^\W\d_]{1,32}")
 HASH_BITS = 16
 UNKNOWN = "und"
 
 
 def word_features(word: str) -> list[int]:
     """Hashed prefixes, suffixes and n-grams of a lower-case word, over its UTF-8 bytes."""
-    w, crc, top = word.encode()[:96], zlib.crc32, (1 << HASH_BITS) - 1
+    w, crc, top = word.encode(), zlib.crc32, (1 << HASH_BITS) - 1
     p = b"^" + w + b"$"
     n = len(p)
     keys = [crc(w[:2], 1), crc(w[:3], 1), crc(w[:4], 1), crc(w[-2:], 2), crc(w[-3:], 2), crc(w[-4:], 2)]
@@ -87,6 +88,29 @@ def chain_marginals(emit: np.ndarray, trans: np.ndarray, lengths: np.ndarray, pa
     return out * inside[:, :, None], logz
 
 
+def stretch_marginals(emit: np.ndarray, trans: np.ndarray, before: np.ndarray | None, after: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Forward-backward over one stretch (time, labels) of a longer chain.
+
+    ``before`` is the forward message of the word before it, ``after`` the
+    backward message that its last word gets.  Returns the marginals, the last
+    forward message and the backward message for the word before.
+    """
+    t = np.exp(trans)
+    e = np.exp(emit - emit.max(axis=1, keepdims=True))
+    alpha, a = np.empty_like(e), before
+    for s in range(len(e)):
+        a = e[s] if a is None else (a @ t) * e[s]
+        a = a / a.sum()
+        alpha[s] = a
+    b = np.ones(e.shape[1]) if after is None else after
+    out = np.empty_like(e)
+    for s in range(len(e) - 1, -1, -1):
+        out[s] = alpha[s] * b
+        b = t @ (e[s] * b)
+        b = b / b.sum()
+    return out / out.sum(axis=1, keepdims=True), a, b
+
+
 class WordIndex(dict):
     """word -> row; words asked for the first time get the next row and are noted in ``new``."""
 
@@ -113,7 +137,7 @@ class Crf:
 
     def rows_of(self, chains: list[list[str]]) -> list[np.ndarray]:
         """Rows of ``table`` that hold each chain's emission scores; new words are scored first."""
-        if len(self.index) > 600_000:  # bounds a worker's memory, not what is scored
+        if len(self.index) > 200_000:  # bounds a worker's memory, not what is scored
             self.index.clear()
         have = len(self.index)
         rows = [np.fromiter(map(self.index.__getitem__, words), dtype=np.int64, count=len(words)) for words in chains]
@@ -134,15 +158,35 @@ class Crf:
             new.clear()
         return rows
 
+    def long_mass(self, words: list[str], stretch: int) -> np.ndarray:
+        """Probability mass of each language over one long chain, a stretch at a time.
+
+        The forward messages at the cuts are kept, and each stretch is run again
+        from the last to the first with both messages, so the result is that of
+        the whole chain.
+        """
+        cuts = range(0, len(words), stretch)
+        before: list[np.ndarray | None] = [None]
+        emit = lambda at: self.table[self.rows_of([words[at : at + stretch]])[0]]
+        for at in cuts[:-1]:
+            before.append(stretch_marginals(emit(at), self.trans, before[-1], None)[1])
+        mass, after = np.zeros(len(self.labels)), None
+        for at, a in zip(reversed(cuts), reversed(before)):
+            marginals, _, after = stretch_marginals(emit(at), self.trans, a, after)
+            mass += marginals.sum(axis=0)
+        return mass
+
     def document_scores(self, texts: list[list[str]], stretch: int = 100_000) -> np.ndarray:
         """Share of each language's probability mass in each text's words; zero for no words.
 
-        Chains longer than ``stretch`` words are scored stretch by stretch and
-        added up, so a very long text needs no more memory than that.
+        Texts of more than ``stretch`` words are read a stretch at a time, which
+        bounds memory and changes nothing else.
         """
         out = np.zeros((len(texts), len(self.labels)))
-        pieces = [(i, t[at : at + stretch]) for i, t in enumerate(texts) for at in range(0, len(t), stretch)]
-        pieces.sort(key=lambda x: len(x[1]))
+        for i, t in enumerate(texts):
+            if len(t) > stretch:
+                out[i] = self.long_mass(t, stretch)
+        pieces = sorted(((i, t) for i, t in enumerate(texts) if 0 < len(t) <= stretch), key=lambda x: len(x[1]))
         at = 0
         while at < len(pieces):
             stop = at + 1
@@ -155,7 +199,7 @@ class Crf:
                 emit[: len(rows), c] = self.table[rows]
             mass = chain_marginals(emit, self.trans, lengths)[0].sum(axis=0)
             for (i, _), m in zip(pieces[at:stop], mass):
-                out[i] += m
+                out[i] = m
             at = stop
         return out / np.maximum(1, np.array([len(t) for t in texts]))[:, None]
 

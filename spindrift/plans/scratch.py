@@ -7,21 +7,44 @@ history, and the columns stay compressed and prunable.
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Scratch folders by path, deleted when the driver ends.
+_open: dict[str, Scratch] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a local one only where the session names none (tests)."""
+    """The cluster's shared folder, ``spark.checkpoint.dir``.
+
+    Where it is unset, a session whose driver and executors are one process gets a
+    folder of its own; on a cluster that would be each machine's own disk, so it is
+    an error there.
+    """
     have = spark.conf.get("spark.checkpoint.dir", None)
     if not have:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        import tempfile
+
         have = "file://" + tempfile.mkdtemp(prefix="spindrift-")
         spark.conf.set("spark.checkpoint.dir", have)
     return have.rstrip("/")
 
 
+@atexit.register
+def _delete_open() -> None:
+    """A query's result reads its tables lazily, so they stay until the driver ends."""
+    for s in list(_open.values()):
+        try:
+            s._delete(s.root)
+        except Exception:  # the session has ended
+            return
+
+
 class Scratch:
     """A folder of intermediate tables belonging to one query."""
 
@@ -29,6 +52,7 @@ class Scratch:
         self.spark = spark
         self.root = f"{shared_dir(spark)}/spindrift/{name}-{uuid.uuid4().hex}"
         self._n = 0
+        _open[self.root] = self
 
     def path(self, name: str) -> str:
         self._n += 1
@@ -43,10 +67,16 @@ class Scratch:
         out._scratch_path = path  # type: ignore[attr-defined]
         return out
 
-    def drop(self, df: DataFrame) -> None:
-        """Delete a table written by :meth:`keep` once nothing will read it again."""
-        path = getattr(df, "_scratch_path", None)
-        if path:
-            jvm = self.spark._jvm
-            target = jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
+    def drop(self, *tables: DataFrame) -> None:
+        """Delete tables written by :meth:`keep` once nothing will read them again."""
+        for df in tables:
+            if path := getattr(df, "_scratch_path", None):
+                self._delete(path)
+
+    def free(self) -> None:
+        """Let Spark remove the shuffle files of finished jobs now; it does when the driver's garbage is collected."""
+        self.spark._jvm.System.gc()
+
+    def _delete(self, path: str) -> None:
+        target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -8,7 +8,7 @@ from spindrift.llm.licenses import op10_license_scan
 from spindrift.llm.lines import OP6_SQL, op6_line_dedup
 from spindrift.llm.mixing import op9_source_mix
 from spindrift.llm.simhash import op1_simhash
-from spindrift.llm.substrings import op3_substring_dedup
+from spindrift.llm.substrings import OP3_SQL, op3_substring_dedup
 from spindrift.llm.warc import OP4_SQL, op4_warc
 
 QUERIES = {
@@ -26,6 +26,7 @@ QUERIES = {
 
 ORACLE_SQL: dict[str, str] = {
     "op2_chat_format": OP2_SQL,
+    "op3_substring_dedup": OP3_SQL,
     "op4_warc": OP4_SQL,
     "op5_decontaminate": OP5_SQL,
     "op6_line_dedup": OP6_SQL,

@@ -129,20 +129,29 @@ def duplicate_spans(docs: DataFrame, scratch: Scratch, window: int = 20, gram: i
     """(doc_id, row, factors) for the documents that repeat a window which starts earlier."""
     rows = index_rows(docs.select("doc_id", "row", "text"), window, gram)
     shared = scratch.keep(rows.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("anchor"), "shared-anchors")
-    cand = scratch.keep(rows.join(shared, "anchor"), "blocks")
+    scratch.free()
+    cand = scratch.keep(rows.join(shared, "anchor", "left_semi"), "blocks")
+    scratch.drop(shared)
+    scratch.free()
     # a missing id is the smallest; structs order their fields so
     place = F.struct("doc_id", "start", "row", "n")
     blocks = scratch.keep(cand.groupBy("anchor", "body").agg(F.min(place).alias("first")), "distinct-blocks")
     mixed = scratch.keep(blocks.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("anchor"), "mixed-anchors")
-    differing = blocks.join(mixed, "anchor").select(F.col("first.doc_id").alias("_d"), F.col("first.row").alias("_r"), F.struct(F.col("first.start").alias("start"), F.col("first.n").alias("n"), "anchor", "body").alias("x"))
+    differing = blocks.join(mixed, "anchor", "left_semi").select(F.col("first.doc_id").alias("_d"), F.col("first.row").alias("_r"), F.struct(F.col("first.start").alias("start"), F.col("first.n").alias("n"), "anchor", "body").alias("x"))
     asked = scratch.keep(differing.groupBy("_d", "_r").agg(F.collect_list("x").alias("xs")), "asked")
+    scratch.drop(mixed)
     texts = docs.select("doc_id", "row", "text")
     found = texts.join(asked.hint("merge"), texts["doc_id"].eqNullSafe(asked["_d"]) & (texts["row"] == asked["_r"])).select("doc_id", "text", "xs")
-    wins = scratch.keep(window_rows(found, window).distinct(), "windows")
+    wins = scratch.keep(window_rows(found, window), "windows")
+    scratch.drop(asked)
+    scratch.free()
     least = scratch.keep(wins.groupBy("anchor", "win").agg(F.min(F.struct("doc_id", "start")).alias("w")), "first-windows")
     refs = wins.join(least, ["anchor", "win"]).groupBy("anchor", "body").agg(F.array_sort(F.collect_set(F.struct("i", "w"))).alias("ws"))
     refs = scratch.keep(refs, "block-windows")
+    scratch.drop(wins, least)
     index = scratch.keep(blocks.join(refs, ["anchor", "body"], "left").select("anchor", "body", "first", F.col("ws.w").alias("ws")), "index")
+    scratch.drop(blocks, refs)
+    scratch.free()
     hits = cand.join(index, ["anchor", "body"])
     # a block no other differs from repeats as a whole; else each of its windows has its own first place
     own = F.transform(
@@ -155,7 +164,10 @@ def duplicate_spans(docs: DataFrame, scratch: Scratch, window: int = 20, gram: i
     )
     repeated = F.filter(own, lambda x: ~(x["d"].eqNullSafe(F.col("doc_id")) & (x["r"] == x["s"])))
     hits = hits.select("doc_id", "row", repeated.alias("rep")).where(F.size("rep") > 0)
-    return scratch.keep(hits.groupBy("doc_id", "row").agg(F.sort_array(F.flatten(F.collect_list("rep"))).alias("rep")), "repeats")
+    out = scratch.keep(hits.groupBy("doc_id", "row").agg(F.sort_array(F.flatten(F.collect_list("rep"))).alias("rep")), "repeats")
+    scratch.drop(cand, index)
+    scratch.free()
+    return out
 
 
 def dedup_substrings(docs: DataFrame, window: int = 20, gram: int = 5) -> DataFrame:
@@ -213,3 +225,15 @@ def op3_substring_dedup(spark, sf_dir: str) -> DataFrame:
     """Words removed from each document and the digest of the rest."""
     out = dedup_substrings(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP3_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 19], ' ')) AS h FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM d)),
+again AS (SELECT doc_id, i FROM win QUALIFY row_number() OVER (PARTITION BY h ORDER BY doc_id, i) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS p FROM again),
+word AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM d),
+kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS kept, count(*) AS n FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id
+"""

@@ -10,11 +10,12 @@ from itertools import combinations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spindrift.functions.seq import hamming, has_repeat, n_count, starts_like
+from spindrift.functions.seq import hamming, has_repeat, n_count, neighbours, starts_like
 from spindrift.operators.components import connected_components
 from spindrift.plans.scratch import Scratch
 
-CONTROL_SITES = ("target-negative", "target-negative-control", "target-wt-control", "target-water-control", "injection-water-control", "injection-wt-control")
+#: The sites of control samples.  ``target-negative`` is none of them; it is treated like ``target``.
+CONTROL_SITES = ("target-wt-control", "target-water-control", "injection-water-control", "injection-wt-control", "target-lone")
 
 
 # --- reads -------------------------------------------------------------------
@@ -285,12 +286,23 @@ def require(df: DataFrame, other: DataFrame, key=("brain", "vbc_read")) -> DataF
     return df.join(other.select(*key), list(key), "left_semi").distinct()
 
 
-def copy_controls(df: DataFrame) -> DataFrame:
-    """Every control row in every brain, each once; other rows as they are."""
+def controls_of(df: DataFrame, include_lone: bool = False) -> DataFrame:
+    """Rows of control samples; L1 samples only if asked for."""
+    return df.where(F.col("site").isin(*[x for x in CONTROL_SITES if include_lone or x != "target-lone"]))
+
+
+def copy_controls(df: DataFrame, include_lone: bool = False) -> DataFrame:
+    """Every control row in every brain, each once, beside the brains' own rows; rows of no brain are left only as copies."""
     brains = df.where("brain <> ''").select("brain").distinct()
-    control = df.where(F.col("site").isin(*CONTROL_SITES))
-    copies = control.drop("brain").crossJoin(F.broadcast(brains)).distinct().select(df.columns)  # one row a brain
-    return df.where(~F.col("site").isin(*CONTROL_SITES) & (F.col("brain") != "")).unionByName(copies)
+    copies = controls_of(df, include_lone).drop("brain").crossJoin(F.broadcast(brains)).select(df.columns)  # one row a brain
+    own = df.where(F.col("brain") != "")
+    control = F.col("site").isin(*CONTROL_SITES)
+    return own.where(~control).unionByName(own.where(control).unionByName(copies).distinct())
+
+
+def control_readout(df: DataFrame, target_min: int = 2, include_lone: bool = False) -> DataFrame:
+    """The control samples' spikes, and their reals of at least ``target_min`` molecules."""
+    return controls_of(df, include_lone).where((F.col("type") == "spike") | ((F.col("type") == "real") & (F.col("umi_count") >= target_min)))
 
 
 def vbc_filter(
@@ -301,34 +313,98 @@ def vbc_filter(
     require_injection: bool = True,
     include_injection: bool = True,
     include_controls: bool = True,
+    include_lone: bool = False,
     use_negative: bool = False,
     use_water: bool = False,
 ) -> DataFrame:
     """Per-brain thresholds and semi-joins; one plan for all brains.
 
-    Controls are copied into every brain first.  Spikes pass.  Targets are the
-    target sites that aren't controls: rows of at least ``target_min_absolute``
-    of barcodes whose best row reaches the brain's threshold (``target_min``,
-    raised per brain to the largest control count if asked for).  Controls keep
-    ``target_min``.
+    With ``include_controls`` every control row is copied into every brain first.
+    Spikes pass without a threshold.  Of the rest, sites that start with
+    ``target``, controls too, are targets: rows of at least
+    ``target_min_absolute`` of barcodes whose best row reaches the brain's
+    threshold (``target_min``, or the largest count of the brain's target-negative
+    or water control samples if asked for).  Sites that start with ``injection``
+    need ``injection_min``.  Injection rows stay if their barcode has a target, and
+    targets, if ``require_injection``, if it has an injection row.  A brain that
+    nothing but spikes is left of goes.
     """
-    full = copy_controls(df)
+    full = copy_controls(df, include_lone) if include_controls else df.where("brain <> ''")
     spikes, other = full.where("type = 'spike'"), full.where("type <> 'spike'")
-    control = F.col("site").isin(*CONTROL_SITES)
-    injection = other.where(F.col("site").startswith("injection") & ~control & (F.col("umi_count") >= injection_min))
-    targets = other.where(F.col("site").startswith("target") & ~control & (F.col("umi_count") >= target_min_absolute))
-    level = other.select("brain").distinct().withColumn("threshold", F.lit(target_min))
+    injection = other.where(F.col("site").startswith("injection") & (F.col("umi_count") >= injection_min))
+    targets = other.where(F.col("site").startswith("target") & (F.col("umi_count") >= target_min_absolute))
+    level = F.lit(target_min).cast("long")
     for on, site in ((use_negative, "target-negative"), (use_water, "target-water-control")):
         if on:
-            n = negative_threshold(other, site, target_min).withColumnRenamed("threshold", "_n")
-            level = level.join(n, "brain").select("brain", F.greatest("threshold", "_n").alias("threshold"))
+            level = F.greatest(level, F.coalesce(F.max(F.when(F.col("site") == site, F.col("umi_count"))).over(Window.partitionBy("brain")), F.lit(0)))
+    targets = targets.withColumn("_level", level)
     top = F.max("umi_count").over(Window.partitionBy("brain", "vbc_read"))
-    targets = targets.withColumn("_top", top).join(level, "brain").where("_top >= threshold").select(df.columns)
-    if require_injection:
-        targets, injection = require(targets, injection), require(injection, targets)
-    out = spikes.unionByName(targets)
-    if include_injection:
-        out = out.unionByName(injection)
-    if include_controls:
-        out = out.unionByName(other.where(control & (F.col("umi_count") >= target_min)))
-    return out
+    targets = targets.withColumn("_top", top).where("_top >= _level").select(df.columns)
+    wanted = require(targets, injection) if require_injection else targets
+    kept = wanted.unionByName(require(injection, targets)) if include_injection else wanted
+    return kept.unionByName(spikes.join(kept.select("brain").distinct(), "brain", "left_semi").select(df.columns))
+
+
+# --- more filters ----------------------------------------------------------------
+
+
+def drop_lone(df: DataFrame, include_lone: bool = False) -> DataFrame:
+    """Leave out L1 molecules unless they are asked for."""
+    return df if include_lone else df.where(F.col("type") != "lone")
+
+
+def drop_unmatched(df: DataFrame, marker: str = "nomatch") -> DataFrame:
+    """Rows without the marker of a failed lookup, and without nulls, in any column."""
+    text = [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
+    return df.na.replace(marker, None, subset=text).na.drop("any") if text else df.na.drop("any")
+
+
+def read_info(df: DataFrame) -> DataFrame:
+    """(stage, type, n, reads): rows and reads of each type before and after the site thresholds."""
+    stages = (("before", df), ("after", site_threshold(df)))
+    parts = [x.groupBy("type").agg(F.count(F.lit(1)).alias("n"), F.sum("read_count").alias("reads")).select(F.lit(s).alias("stage"), "type", "n", "reads") for s, x in stages]
+    return parts[0].unionByName(parts[1])
+
+
+def demultiplex(df: DataFrame, barcodes: DataFrame, column: str = "sequence", max_mismatch: int = 0) -> DataFrame:
+    """Add ``label`` by the read's end and cut it off; null for reads that match no sample barcode (label, ssi).
+
+    Barcodes have one length.  With one mismatch allowed each barcode stands for
+    its neighbours too; an exact match wins, then the smallest label.
+    """
+    if max_mismatch not in (0, 1):
+        raise ValueError("at most one mismatch")
+    length = F.length("ssi")
+    want = barcodes.select("label", F.col("ssi").alias("_end"), F.lit(0).alias("_d"), length.alias("_n"))
+    if max_mismatch:
+        near = barcodes.select("label", F.explode(neighbours(F.col("ssi"))).alias("_end"), F.lit(1).alias("_d"), length.alias("_n"))
+        want = want.unionByName(near)
+    want = want.groupBy("_end").agg(F.min(F.struct("_d", "label")).alias("_w"), F.min("_n").alias("_n"))
+    sizes = barcodes.agg(F.max(length).alias("_size"))
+    ends = df.crossJoin(F.broadcast(sizes)).withColumn("_tail", F.expr(f"right({column}, _size)"))  # one row
+    out = ends.join(want.select("_end", F.col("_w.label").alias("label")), F.col("_tail") == F.col("_end"), "left")
+    cut = F.when(F.col("label").isNotNull(), F.expr(f"left({column}, length({column}) - _size)")).otherwise(F.col(column))
+    return out.withColumn(column, cut).select(*df.columns, "label")
+
+
+def modulo_filter(df: DataFrame, column: str, n: int, keep: int = 0) -> DataFrame:
+    """Rows whose value falls in one of ``n`` hash classes."""
+    return df.where(F.pmod(F.crc32(F.col(column).cast("binary")), F.lit(n)) == keep)
+
+
+def without_singletons(comps: DataFrame) -> DataFrame:
+    """Components of two sequences or more."""
+    many = comps.groupBy("grp", "comp").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("grp", "comp")
+    return comps.join(many, ["grp", "comp"], "left_semi")
+
+
+def top_components(comps: DataFrame, n: int = 10) -> DataFrame:
+    """(grp, comp, size) of the ``n`` largest components; ties by group and name."""
+    sizes = comps.groupBy("grp", "comp").agg(F.count(F.lit(1)).alias("size"))
+    return sizes.orderBy(F.desc("size"), "grp", "comp").limit(n)
+
+
+def component_edges(edges: DataFrame, comps: DataFrame, comp: str) -> DataFrame:
+    """The edges of one component."""
+    one = comps.where(F.col("comp") == comp).select("grp", F.col("seq").alias("a"))
+    return edges.join(one, ["grp", "a"], "left_semi")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spindrift.functions.seq import natural_key
-from spindrift.operators.barcodes import vbc_filter
+from spindrift.operators.barcodes import CONTROL_SITES, vbc_filter
 
 
 def label_order(df: DataFrame, column: str = "label") -> list[str]:
@@ -94,50 +94,95 @@ def read_matrix_dominant(df: DataFrame, source: str = "source") -> DataFrame:
 
 
 def false_positive_rate(df: DataFrame, injection_min: int = 5, negative: str = "target-negative") -> DataFrame:
-    """(threshold, negative, target, rate) for thresholds from 0 up to the water controls' largest count.
+    """(threshold, negative, target, rate) of reals for thresholds from 0 up to the water controls' largest count.
 
-    A barcode's maxima are counted once and the histogram summed from the top, so
-    work doesn't grow with barcodes times thresholds.
+    Of the barcodes above ``injection_min`` in an injection sample: those above the
+    threshold in a negative sample, and in any target sample, negatives included;
+    the rate is 0 where there are none.  A barcode's maxima are counted once and
+    the histogram summed from the top, so work doesn't grow with barcodes times
+    thresholds.
     """
+    df = df.where("type = 'real'")
     top = lambda cond: F.coalesce(F.max(F.when(cond, F.col("umi_count"))), F.lit(0)).cast("long")
-    per = df.groupBy("vbc_read").agg(top(F.col("site") == "injection").alias("inj"), top(F.col("site") == negative).alias("neg"), top(F.col("site") == "target").alias("tgt"))
+    per = df.groupBy("vbc_read").agg(top(F.col("site") == "injection").alias("inj"), top(F.col("site") == negative).alias("neg"), top(F.col("site").isin("target", negative)).alias("tgt"))
     water = df.where("site = 'target-water-control'").agg(F.coalesce(F.max("umi_count"), F.lit(0)).cast("long").alias("m"))
     steps = water.select(F.explode(F.when(F.col("m") > 0, F.sequence(F.lit(0).cast("long"), F.col("m") - 1))).alias("threshold"))
     # a maximum of x counts at the thresholds below x, that is up to x - 1 or the last one
     some = per.where(F.col("inj") > injection_min).crossJoin(F.broadcast(water))  # one row
     ends = F.array(*[F.struct(F.least(F.col(c) - 1, F.col("m") - 1).alias("threshold"), F.lit(c == "neg").cast("long").alias("neg"), F.lit(c == "tgt").cast("long").alias("tgt")) for c in ("neg", "tgt")])
     ends = some.select(F.explode(ends).alias("e")).select("e.*")
-    # thresholds without an end count too, where any barcode passed
-    ends = ends.unionByName(steps.crossJoin(F.broadcast(some.select(F.lit(0).cast("long").alias("neg"), F.lit(0).cast("long").alias("tgt")).limit(1))))
+    ends = ends.unionByName(steps.select("threshold", F.lit(0).cast("long").alias("neg"), F.lit(0).cast("long").alias("tgt")))
     counted = ends.where("threshold >= 0").groupBy("threshold").agg(F.sum("neg").alias("neg"), F.sum("tgt").alias("tgt"))
     above = Window.orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0)  # one row a threshold
     out = counted.select("threshold", F.sum("neg").over(above).alias("negative"), F.sum("tgt").over(above).alias("target"))
-    return out.withColumn("rate", F.when(F.col("target") > 0, F.col("negative") / F.col("target")))
+    return out.withColumn("rate", F.when(F.col("target") > 0, F.col("negative") / F.col("target")).otherwise(F.lit(0.0)))
 
 
 def template_switch_rate(df: DataFrame) -> DataFrame:
-    """One row: molecules by type and place, c = ts / (L2 * (spk1 + L1)), ratio = c * L2 / 2 + c * spk2."""
-    lone_site = F.col("site").startswith("target-lone")
+    """One row, target samples only: c = ts / (L2 * (spk1 + L1)), ratio = c * L2 / 2 + c * spk2.
+
+    L1 and spk1 are lone molecules and spikes in L1 samples, L2 and spk2 reals and
+    spikes in experimental targets, ts reals in L1 samples.
+    """
+    lone_site, target = F.col("site").startswith("target-lone"), F.col("site").isin("target", "target-negative")
     s = lambda cond: F.coalesce(F.sum(F.when(cond, F.col("umi_count"))), F.lit(0)).cast("double")
     one = df.agg(
         s(lone_site & (F.col("type") == "lone")).alias("l1"),
         s(lone_site & (F.col("type") == "spike")).alias("spk1"),
-        s(~lone_site & (F.col("type") == "real")).alias("l2"),
-        s(~lone_site & (F.col("type") == "spike")).alias("spk2"),
-        s(lone_site != (F.col("type") == "lone")).alias("ts"),
+        s(target & (F.col("type") == "real")).alias("l2"),
+        s(target & (F.col("type") == "spike")).alias("spk2"),
+        s(lone_site & (F.col("type") == "real")).alias("ts"),
     )
     c = F.when(F.col("l2") * (F.col("spk1") + F.col("l1")) > 0, F.col("ts") / (F.col("l2") * (F.col("spk1") + F.col("l1"))))
     return one.withColumn("c", c).withColumn("ratio", 0.5 * F.col("c") * F.col("l2") + F.col("c") * F.col("spk2"))
 
 
-def vbc_overlap(controls: DataFrame, vbcs: DataFrame) -> DataFrame:
-    """Summed molecules of each listed barcode in each injection label, 0 where it is absent."""
-    labels = controls.where(F.col("site").startswith("injection")).select("label").distinct()
+def vbc_overlap(counts: DataFrame, vbcs: DataFrame) -> DataFrame:
+    """Summed molecules of each listed barcode's reals in each injection sample (not its controls), 0 where it is absent."""
+    injected = counts.where("site = 'injection'")
+    labels = injected.select("label").distinct()
     grid = vbcs.select("vbc_read").distinct().crossJoin(F.broadcast(labels))  # labels: one row a sample
-    sums = controls.where(F.col("site").startswith("injection")).groupBy("vbc_read", "label").agg(F.sum("umi_count").alias("n"))
+    sums = injected.where("type = 'real'").groupBy("vbc_read", "label").agg(F.sum("umi_count").alias("n"))
     return grid.join(sums, ["vbc_read", "label"], "left").select("vbc_read", "label", F.coalesce("n", F.lit(0)).alias("umi_count"))
 
 
+def matrix_overlap(long: DataFrame, controls: DataFrame) -> DataFrame:
+    """Matrix rows in long form, and for each of their barcodes the molecules of the control samples' reals, 0 where absent."""
+    real = controls.where("type = 'real'")
+    grid = long.select("brain", "vbc_read").distinct().crossJoin(F.broadcast(real.select("label").distinct()))  # one row a sample
+    sums = real.groupBy("vbc_read", "label").agg(F.sum("umi_count").cast("double").alias("n"))
+    more = grid.join(sums, ["vbc_read", "label"], "left").select("brain", "vbc_read", "label", F.coalesce("n", F.lit(0.0)).alias("value"))
+    return long.select("brain", "vbc_read", "label", "value").unionByName(more)
+
+
+def umi_report(df: DataFrame) -> DataFrame:
+    """Rows of each site and type that has more than one, ranked by molecules from the largest down."""
+    w = Window.partitionBy("site", "type")
+    ranked = df.withColumn("_n", F.count(F.lit(1)).over(w)).withColumn("rank", F.row_number().over(w.orderBy(F.desc("umi_count"), "vbc_read", "label")))
+    return ranked.where("_n > 1").select("site", "type", "rank", "vbc_read", "label", "umi_count")
+
+
+def source_dominant(df: DataFrame, source: str = "source") -> DataFrame:
+    """For each source: its largest label and that label's percentage of the source's rows."""
+    c = df.where("label is not null").groupBy(source, "label").agg(F.count(F.lit(1)).alias("n"))
+    top = c.groupBy(source).agg(F.min_by("label", F.struct(-F.col("n"), "label")).alias("label"), F.max("n").alias("n_top"), F.sum("n").alias("n"))
+    return top.select(source, "label", "n", (F.col("n_top") * 100 / F.col("n")).alias("percent"))
+
+
+def counts_filter(df: DataFrame, injection_above: int, row_sum: int, row_max: int, control_max: int) -> DataFrame:
+    """(brain, vbc_read) whose injection count exceeds the first bound, target sum and maximum the next two, and whose controls stay below the last."""
+    site, n = F.col("site"), F.col("umi_count")
+    best = lambda cond: F.coalesce(F.max(F.when(cond, n)), F.lit(0))
+    control, target = site.isin(*CONTROL_SITES), site.isin("target", "target-negative")
+    per = df.groupBy("brain", "vbc_read").agg(best(site == "injection").alias("i"), F.coalesce(F.sum(F.when(target, n)), F.lit(0)).alias("s"), best(target).alias("m"), best(control).alias("c"))
+    return per.where((F.col("i") > injection_above) & (F.col("s") > row_sum) & (F.col("m") > row_max) & (F.col("c") < control_max)).select("brain", "vbc_read")
+
+
+def adjacency(edges: DataFrame) -> DataFrame:
+    """(grp, a, b, distance) in both directions: the long form of the adjacency matrix."""
+    return edges.select("grp", "a", "b", "distance").unionByName(edges.select("grp", F.col("b").alias("a"), F.col("a").alias("b"), "distance"))
+
+
 def parameter_sweep(df: DataFrame, params: list[tuple[int, int]]) -> DataFrame:
     """(injection_min, target_min, label, n_vbc): the reals' distinct barcodes that the whole VBC filter leaves at each pair of thresholds, in one plan."""
     out = None
@@ -195,3 +240,22 @@ def gap_groups(df: DataFrame, value: str, key: str, span: float) -> DataFrame:
 
     folded = arr.select("xs", F.aggregate("xs", start, step)["out"].alias("gs"))
     return folded.select(F.explode(F.arrays_zip("xs", "gs")).alias("z")).select(F.col("z.xs.k").alias(key), F.col("z.xs.v").alias(value), F.col("z.gs").cast("int").alias("group_id"))
+
+
+def qpcr_groups(wells: DataFrame, span: float = 3.0) -> DataFrame:
+    """(well_id, mean, group_id, cycles_rec): wells without an error in gap groups, with the group's mean rounded up."""
+    g = gap_groups(wells.where(~F.coalesce("error", F.lit(False))).select("well_id", "mean"), "mean", "well_id", span)
+    mean = F.avg("mean").over(Window.partitionBy("group_id"))
+    return g.select("well_id", "mean", (F.col("group_id") + 1).alias("group_id"), F.ceil(mean).cast("int").alias("cycles_rec"))
+
+
+def pad_cycles(df: DataFrame, column: str = "cycle", by: str = "well_id", prepend: int = 2) -> DataFrame:
+    """Add rows below each well's smallest cycle, with that row's other values."""
+    first = df.groupBy(by).agg(F.min_by(F.struct(*df.columns), column).alias("r")).select("r.*")
+    more = first.withColumn("_i", F.explode(F.sequence(F.lit(1), F.lit(prepend)))).withColumn(column, (F.col(column) - F.col("_i")).cast(df.schema[column].dataType))
+    return df.unionByName(more.drop("_i"))
+
+
+def cycles_with_groups(cycles: DataFrame, groups: DataFrame) -> DataFrame:
+    """Every well's cycles with its group; wells that only one side has stay."""
+    return cycles.join(groups.select("well_id", "group_id", "cycles_rec"), "well_id", "full")

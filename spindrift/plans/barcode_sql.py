@@ -20,9 +20,7 @@ FROM (SELECT *, CASE WHEN ln % 4 = 3 THEN concat(substr(h, 1, p - 1), translate(
 """
 
 #: Raw 52-base reads: barcode, tag, molecule id and sample barcode at fixed places; some carry an N or a long run.
-READS = f"""
-SELECT concat(CASE WHEN read_count % 11 = 0 THEN concat('N', substr(vbc_read, 2)) WHEN read_count % 13 = 0 THEN concat('AAAAAAAA', substr(vbc_read, 9)) ELSE vbc_read END,
+READ_COLUMNS = """concat(CASE WHEN read_count % 11 = 0 THEN concat('N', substr(vbc_read, 2)) WHEN read_count % 13 = 0 THEN concat('AAAAAAAA', substr(vbc_read, 9)) ELSE vbc_read END,
   CASE WHEN type = 'spike' THEN 'TC' WHEN type = 'lone' THEN 'AG' ELSE 'CT' END, umi,
-  substr(translate(md5(label), '0123456789abcdef', 'ACGTACGTACGTACGT'), 1, 8)) AS sequence, source, read_count, type, label
-FROM ({READTABLE}) AS rt
-"""
+  substr(translate(md5(label), '0123456789abcdef', 'ACGTACGTACGTACGT'), 1, 8)) AS sequence, source, read_count, type, label"""
+READS = f"SELECT {READ_COLUMNS} FROM ({READTABLE}) AS rt"

@@ -2,26 +2,43 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spindrift.functions import seq
 from spindrift.operators import barcodes as B
 from spindrift.operators import matrix as M
-from spindrift.plans.barcode_sql import READS, READTABLE
+from spindrift.plans.barcode_sql import READ_COLUMNS, READS, READTABLE
 from spindrift.plans.scratch import Scratch
 
 FIELDS = [("vbc_read", 0, 30), ("spikeseq", 24, 32), ("libtag", 30, 32), ("umi", 32, 44), ("ssi", 44, 52)]
 
 
-def _sql(text: str):
-    def load(spark, sf_dir: str) -> DataFrame:
-        return spark.sql(text.replace("FROM lineitem", "FROM {lineitem}"), lineitem=spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
+#: The derived inputs of a session, written once: they stand for files that a run reads.
+_derived: dict[tuple, DataFrame] = {}
 
-    return load
 
+def _written(spark, sf_dir: str, name: str, make) -> DataFrame:
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _derived:
+        _derived[key] = Scratch(spark, name).keep(make(), name)
+    return _derived[key]
 
-readtable, reads = _sql(READTABLE), _sql(READS)
+
+def readtable(spark, sf_dir: str) -> DataFrame:
+    """The barcode read table derived from ``lineitem``."""
+    return _written(spark, sf_dir, "readtable", lambda: spark.sql(READTABLE.replace("FROM lineitem", "FROM {lineitem}"), lineitem=spark.read.parquet(f"{sf_dir}/lineitem.parquet")))
+
+
+def reads(spark, sf_dir: str) -> DataFrame:
+    """Raw reads derived from the read table."""
+    return _written(spark, sf_dir, "reads", lambda: readtable(spark, sf_dir).selectExpr(*_columns(READ_COLUMNS)))
+
+
+def _columns(text: str) -> list[str]:
+    """A select list whose first column is an expression with commas, the others plain names."""
+    first, rest = text.split(" AS sequence,")
+    return [f"{first} AS sequence", *(x.strip() for x in rest.split(","))]
 
 
 def counts(spark, sf_dir: str) -> DataFrame:
@@ -72,9 +89,15 @@ def label_groups(spark) -> DataFrame:
     return spark.range(16).select(F.concat(F.lit("BC"), F.col("id").cast("string")).alias("label"), F.when(F.col("id") % 8 == 0, "injection").otherwise("target").alias("grp"))
 
 
-def summed(spark, sf_dir: str) -> DataFrame:
-    """Counts with one row for each brain, barcode, sample and type."""
-    return counts(spark, sf_dir)
+def with_lone(df: DataFrame) -> DataFrame:
+    """One sample as an L1 control."""
+    return df.withColumn("site", F.when(F.col("label") == "BC1", "target-lone").otherwise(F.col("site")))
+
+
+def wells(spark, sf_dir: str) -> DataFrame:
+    """Cycle means of wells, from suppliers' balances."""
+    s = spark.read.parquet(f"{sf_dir}/supplier.parquet")
+    return s.select(F.col("s_suppkey").alias("well_id"), (F.col("s_acctbal") / 100).alias("mean"), (F.col("s_suppkey") % 7 == 0).alias("error"))
 
 
 def _norm(spark, d: str) -> DataFrame:
@@ -101,7 +124,7 @@ QUERIES = {
     "classify_type": lambda s, d: B.classify(filtered(s, d).drop("type"), spikeseq="CGTCAGTC"),
     "bad_ssi_rejects": lambda s, d: B.rejects(looked_up(s, d), ["label"]).select("source", "ssi", "umi", "read_count"),
     "dominant_ssi": lambda s, d: B.dominant_value(filtered(s, d)),
-    "template_switch_reads": lambda s, d: B.split_template_switches(readtable(s, d).withColumn("site", F.when(F.col("label") == "BC1", "target-lone").otherwise(F.col("site"))))[1],
+    "template_switch_reads": lambda s, d: B.split_template_switches(with_lone(readtable(s, d)))[1],
     "site_read_threshold": lambda s, d: B.site_threshold(readtable(s, d), 10, 20),
     "sample_read_threshold": lambda s, d: B.sample_threshold(readtable(s, d), _samples(s)),
     "similarity_edges": edges,
@@ -116,6 +139,22 @@ QUERIES = {
     "require_injection": lambda s, d: B.require(counts(s, d).where("site = 'target'"), counts(s, d).where("site = 'injection'")),
     "controls_cross_copy": lambda s, d: B.copy_controls(counts(s, d)),
     "vbc_filter": lambda s, d: B.vbc_filter(counts(s, d), injection_min=2, target_min=2),
+    "vbc_filter_lone": lambda s, d: B.vbc_filter(with_lone(counts(s, d)), injection_min=2, target_min=2, include_lone=True, use_negative=True),
+    "vbc_filter_own": lambda s, d: B.vbc_filter(with_lone(counts(s, d)), injection_min=2, target_min=2, include_controls=False, require_injection=False),
+    "control_readout": lambda s, d: B.control_readout(with_lone(counts(s, d)), 2),
+    "lone_removed": lambda s, d: B.drop_lone(readtable(s, d)),
+    "unmatched_removed": lambda s, d: B.drop_unmatched(looked_up(s, d).withColumn("label", F.when(F.col("label") == "BC3", "nomatch").otherwise(F.col("label"))).select("source", "ssi", "umi", "label", "read_count")),
+    "read_info": lambda s, d: B.read_info(readtable(s, d)),
+    "demultiplex": lambda s, d: B.demultiplex(reads(s, d).select("sequence", "source"), barcode_dimension(s, d)),
+    "demultiplex_mismatch": lambda s, d: B.demultiplex(reads(s, d).select("source", F.concat(F.expr("left(sequence, 51)"), F.lit("A")).alias("sequence")), barcode_dimension(s, d), max_mismatch=1),
+    "top_components": lambda s, d: B.top_components(_clusters(s, d)[2], 10),
+    "umi_report": lambda s, d: M.umi_report(counts(s, d)),
+    "source_dominant": lambda s, d: M.source_dominant(readtable(s, d)).withColumn("percent", F.round("percent", 6)),
+    "matrix_overlap": lambda s, d: M.matrix_overlap(M.matrix_long(counts(s, d).where("site = 'target'")), counts(s, d).where("site = 'target-water-control'")),
+    "counts_filter": lambda s, d: M.counts_filter(counts(s, d), 1, 3, 1, 5),
+    "adjacency": lambda s, d: M.adjacency(edges(s, d)),
+    "qpcr_groups": lambda s, d: M.qpcr_groups(wells(s, d)),
+    "pad_cycles": lambda s, d: M.pad_cycles(wells(s, d).select(F.lit("w").alias("well_id"), F.col("well_id").alias("cycle"), F.col("mean").alias("rn"))),
     "matrix_real_long": lambda s, d: M.matrix_long(counts(s, d)),
     "matrix_pivot": lambda s, d: M.matrix_wide(M.matrix_long(counts(s, d)), [f"BC{i}" for i in range(16) if i % 8 != 7]),
     "spike_normalize": _norm,
@@ -127,11 +166,11 @@ QUERIES = {
     "read_matrix_dominant": lambda s, d: M.read_matrix_dominant(readtable(s, d)).withColumn("percent", F.round("percent", 6)),
     "vbc_overlap": lambda s, d: M.vbc_overlap(counts(s, d), counts(s, d).where("site = 'target' and umi_count >= 3")),
     "false_positive_rate": lambda s, d: M.false_positive_rate(counts(s, d), 1).withColumn("rate", F.round("rate", 6)),
-    "template_switch_rate": lambda s, d: M.template_switch_rate(counts(s, d).withColumn("site", F.when(F.col("label") == "BC1", "target-lone").otherwise(F.col("site")))).select("l1", "l2", "spk1", "spk2", "ts", F.round("ratio", 9).alias("ratio")),
+    "template_switch_rate": lambda s, d: M.template_switch_rate(with_lone(counts(s, d))).select("l1", "l2", "spk1", "spk2", "ts", F.round("ratio", 9).alias("ratio")),
     "rank_topn": lambda s, d: M.rank_top(counts(s, d).groupBy("label", "vbc_read").agg(F.sum("read_count").alias("reads")), "label", "reads", "vbc_read", 5),
     "freq_threshold": lambda s, d: M.freq_threshold(M.library_counts(counts(s, d)), 0.1, "umi_count"),
     "unique_fraction": lambda s, d: M.unique_fraction(M.library_counts(counts(s, d)), [10, 100, 1000]).withColumn("p_unique", F.round("p_unique", 6)),
-    "natural_sort_labels": lambda s, d: readtable(s, d).select("label").distinct().withColumn("position", F.row_number().over(__import__("pyspark.sql", fromlist=["Window"]).Window.orderBy(seq.natural_key(F.col("label"))))),
+    "natural_sort_labels": lambda s, d: readtable(s, d).select("label").distinct().withColumn("position", F.row_number().over(Window.orderBy(seq.natural_key(F.col("label"))))),
     "gap_groups": lambda s, d: M.gap_groups(s.read.parquet(f"{d}/supplier.parquet").select("s_suppkey", "s_acctbal"), "s_acctbal", "s_suppkey", 500.0),
     "hamming1_neighbours": lambda s, d: readtable(s, d).select("vbc_read").distinct().select("vbc_read", F.explode(seq.neighbours(F.substring("vbc_read", 1, 4))).alias("near")),
     "reverse_complement": lambda s, d: readtable(s, d).select("vbc_read").distinct().withColumn("rc", seq.reverse_complement(F.col("vbc_read"))),
@@ -149,8 +188,21 @@ _ED = f"{_US}, ed AS (SELECT x.grp, x.seq AS a, y.seq AS b, CAST(hamming(x.seq,
 _CO = f"{_ED}, sy AS (SELECT grp, a, b FROM ed UNION ALL SELECT grp, b, a FROM ed), wk(grp, seq, root) AS (SELECT DISTINCT grp, a, a FROM sy UNION SELECT w.grp, s.b, w.root FROM wk w JOIN sy s ON w.grp = s.grp AND w.seq = s.a), co AS (SELECT grp, seq, min(root) AS comp FROM wk GROUP BY grp, seq)"
 _DG = "dg AS (SELECT grp, seq, count(*) AS degree FROM (SELECT grp, a AS seq FROM ed UNION ALL SELECT grp, b FROM ed) GROUP BY ALL)"
 _RP = "rp AS (SELECT c.grp, c.comp, (array_agg(c.seq ORDER BY u.n DESC, c.seq))[1] AS rep FROM co c JOIN us u ON c.grp = u.grp AND c.seq = u.seq GROUP BY c.grp, c.comp)"
-_CTRL = "('target-negative','target-negative-control','target-wt-control','target-water-control','injection-water-control','injection-wt-control')"
-_CC = f"{_CT}, br AS (SELECT DISTINCT brain FROM ct WHERE brain <> ''), cc AS (SELECT * FROM ct WHERE site NOT IN {_CTRL} AND brain <> '' UNION ALL SELECT DISTINCT c.vbc_read, c.label, c.type, c.umi_count, c.read_count, br.brain, c.site FROM ct c, br WHERE c.site IN {_CTRL})"
+_CTRL = "('target-wt-control','target-water-control','injection-water-control','injection-wt-control')"  # without L1 samples, which stay out unless asked for
+
+
+def _copied(src: str, sites: str = _CTRL) -> str:
+    """cc: the rows of the brains, and the control rows once in each."""
+    return f"br AS (SELECT DISTINCT brain FROM {src} WHERE brain <> ''), cc AS (SELECT * FROM {src} WHERE brain <> '' AND site NOT IN {sites} UNION ALL (SELECT * FROM {src} WHERE brain <> '' AND site IN {sites} UNION SELECT c.vbc_read, c.label, c.type, c.umi_count, c.read_count, br.brain, c.site FROM {src} c, br WHERE c.site IN {sites}))"
+
+
+def _vbc_sql(src: str, level: str = "2", needs_injection: bool = True) -> str:
+    """The filter over ``src``: a brain's rows with injection_min and target_min 2."""
+    inj = "EXISTS (SELECT 1 FROM inj WHERE inj.brain = tg.brain AND inj.vbc_read = tg.vbc_read)" if needs_injection else "TRUE"
+    return f"oth AS (SELECT * FROM {src} WHERE type <> 'spike'), lv AS (SELECT brain, {level} AS lv FROM oth WHERE site LIKE 'target%' GROUP BY brain), inj AS (SELECT * FROM oth WHERE site LIKE 'injection%' AND umi_count >= 2), tg AS (SELECT oth.* FROM oth JOIN lv ON oth.brain = lv.brain WHERE site LIKE 'target%' QUALIFY max(umi_count) OVER (PARTITION BY oth.brain, vbc_read) >= lv), kept AS (SELECT * FROM tg WHERE {inj} UNION ALL SELECT * FROM inj WHERE EXISTS (SELECT 1 FROM tg WHERE inj.brain = tg.brain AND inj.vbc_read = tg.vbc_read)) SELECT * FROM kept UNION ALL SELECT * FROM {src} s WHERE type = 'spike' AND EXISTS (SELECT 1 FROM kept WHERE kept.brain = s.brain)"
+
+
+_CC = f"{_CT}, {_copied('ct')}"
 _LONE = "(SELECT * REPLACE (CASE WHEN label = 'BC1' THEN 'target-lone' ELSE site END AS site) FROM {0})"
 _LIB = f"{_CT}, lib AS (SELECT vbc_read, CAST(sum(umi_count) AS BIGINT) AS umi_count FROM ct WHERE type = 'real' AND site = 'target' GROUP BY 1)"
 _PIV = ", ".join(f"CAST(coalesce(max(CASE WHEN label = 'BC{i}' THEN umi_count END), 0) AS DOUBLE) AS \"BC{i}\"" for i in range(16) if i % 8 != 7)
@@ -179,7 +231,23 @@ ORACLE_SQL: dict[str, str] = {
     "negative_threshold": f"WITH {_CT} SELECT brain, greatest(coalesce(max(umi_count) FILTER (WHERE site = 'target-negative'), 0), 2) AS threshold FROM ct GROUP BY 1",
     "require_injection": f"WITH {_CT} SELECT DISTINCT * FROM ct t WHERE site = 'target' AND EXISTS (SELECT 1 FROM ct i WHERE i.site = 'injection' AND i.brain = t.brain AND i.vbc_read = t.vbc_read)",
     "controls_cross_copy": f"WITH {_CC} SELECT * FROM cc",
-    "vbc_filter": f"WITH {_CC}, oth AS (SELECT * FROM cc WHERE type <> 'spike'), inj AS (SELECT * FROM oth WHERE site LIKE 'injection%' AND site NOT IN {_CTRL} AND umi_count >= 2), tg AS (SELECT * FROM oth WHERE site LIKE 'target%' AND site NOT IN {_CTRL} AND umi_count >= 1 QUALIFY max(umi_count) OVER (PARTITION BY brain, vbc_read) >= 2), tk AS (SELECT DISTINCT tg.* FROM tg WHERE EXISTS (SELECT 1 FROM inj WHERE inj.brain = tg.brain AND inj.vbc_read = tg.vbc_read)), ik AS (SELECT DISTINCT inj.* FROM inj WHERE EXISTS (SELECT 1 FROM tk WHERE inj.brain = tk.brain AND inj.vbc_read = tk.vbc_read)) SELECT * FROM cc WHERE type = 'spike' UNION ALL SELECT * FROM tk UNION ALL SELECT * FROM ik UNION ALL SELECT * FROM oth WHERE site IN {_CTRL} AND umi_count >= 2",
+    "vbc_filter": f"WITH {_CC}, {_vbc_sql('cc')}",
+    "vbc_filter_lone": f"WITH {_CT}, lo AS (SELECT * FROM {_LONE.format('ct')}), {_copied('lo', _CTRL[:-1] + ",'target-lone')")}, {_vbc_sql('cc', "greatest(2, coalesce(max(umi_count) FILTER (WHERE site = 'target-negative'), 0))")}",
+    "vbc_filter_own": f"WITH {_CT}, lo AS (SELECT * FROM {_LONE.format('ct')} WHERE brain <> ''), {_vbc_sql('lo', needs_injection=False)}",
+    "control_readout": f"WITH {_CT} SELECT * FROM {_LONE.format('ct')} WHERE site IN {_CTRL} AND (type = 'spike' OR (type = 'real' AND umi_count >= 2))",
+    "lone_removed": f"WITH {_RT} SELECT * FROM rt WHERE type <> 'lone'",
+    "unmatched_removed": f"WITH {_LK} SELECT source, ssi, umi, label, read_count FROM lk WHERE label <> 'BC3'",
+    "read_info": f"WITH {_RT} SELECT 'before' AS stage, type, count(*) AS n, CAST(sum(read_count) AS BIGINT) AS reads FROM rt GROUP BY type UNION ALL SELECT 'after', type, count(*), CAST(sum(read_count) AS BIGINT) FROM rt WHERE {_ST} GROUP BY type",
+    "demultiplex": f"WITH {_RD}, {_BC} SELECT CASE WHEN bc.label IS NULL THEN sequence ELSE left(sequence, length(sequence) - 8) END AS sequence, source, bc.label FROM rd LEFT JOIN bc ON right(sequence, 8) = bc.ssi",
+    "demultiplex_mismatch": f"WITH {_RD}, {_BC}, x AS (SELECT DISTINCT concat(substr(sequence, 45, 7), 'A') AS tail FROM rd), m AS (SELECT tail, (array_agg(label ORDER BY hamming(tail, ssi), label))[1] AS label FROM x JOIN bc ON hamming(tail, ssi) <= 1 GROUP BY tail) SELECT source, CASE WHEN m.label IS NULL THEN concat(left(sequence, 51), 'A') ELSE left(sequence, 44) END AS sequence, m.label FROM rd LEFT JOIN m ON concat(substr(sequence, 45, 7), 'A') = m.tail",
+    "top_components": f"WITH RECURSIVE {_CO} SELECT grp, comp, count(*) AS size FROM co GROUP BY 1, 2 ORDER BY size DESC, grp, comp LIMIT 10",
+    "umi_report": f"WITH {_CT} SELECT site, type, CAST(row_number() OVER (PARTITION BY site, type ORDER BY umi_count DESC, vbc_read, label) AS INT) AS rank, vbc_read, label, umi_count FROM ct QUALIFY count(*) OVER (PARTITION BY site, type) > 1",
+    "source_dominant": f"WITH {_RT}, c AS (SELECT source, label, count(*) AS n FROM rt GROUP BY 1, 2) SELECT source, (array_agg(label ORDER BY n DESC, label))[1] AS label, CAST(sum(n) AS BIGINT) AS n, round(max(n) * 100 / CAST(sum(n) AS DOUBLE), 6) AS percent FROM c GROUP BY 1",
+    "matrix_overlap": f"WITH {_CT}, mx AS (SELECT brain, vbc_read, label, CAST(umi_count AS DOUBLE) AS value FROM ct WHERE type = 'real' AND site = 'target'), w AS (SELECT vbc_read, label, umi_count FROM ct WHERE type = 'real' AND site = 'target-water-control') SELECT * FROM mx UNION ALL SELECT g.brain, g.vbc_read, l.label, CAST(coalesce(sum(w.umi_count), 0) AS DOUBLE) FROM (SELECT DISTINCT brain, vbc_read FROM mx) g CROSS JOIN (SELECT DISTINCT label FROM w) l LEFT JOIN w ON w.vbc_read = g.vbc_read AND w.label = l.label GROUP BY 1, 2, 3",
+    "counts_filter": f"WITH {_CT} SELECT brain, vbc_read FROM ct GROUP BY 1, 2 HAVING coalesce(max(umi_count) FILTER (WHERE site = 'injection'), 0) > 1 AND coalesce(sum(umi_count) FILTER (WHERE site IN ('target', 'target-negative')), 0) > 3 AND coalesce(max(umi_count) FILTER (WHERE site IN ('target', 'target-negative')), 0) > 1 AND coalesce(max(umi_count) FILTER (WHERE site IN {_CTRL}), 0) < 5",
+    "adjacency": f"WITH {_ED} SELECT grp, a, b, distance FROM ed UNION ALL SELECT grp, b, a, distance FROM ed",
+    "qpcr_groups": "WITH RECURSIVE o AS (SELECT s_suppkey AS well_id, s_acctbal / 100 AS mean, row_number() OVER (ORDER BY s_acctbal, s_suppkey) AS r FROM supplier WHERE s_suppkey % 7 <> 0), g(r, floor, group_id) AS (SELECT r, mean, 1 FROM o WHERE r = 1 UNION ALL SELECT o.r, CASE WHEN o.mean > g.floor + 3 THEN o.mean ELSE g.floor END, CASE WHEN o.mean > g.floor + 3 THEN g.group_id + 1 ELSE g.group_id END FROM g JOIN o ON o.r = g.r + 1) SELECT well_id, mean, CAST(group_id AS INT) AS group_id, CAST(ceil(avg(mean) OVER (PARTITION BY group_id)) AS INT) AS cycles_rec FROM o JOIN g ON o.r = g.r",
+    "pad_cycles": "WITH w AS (SELECT 'w' AS well_id, s_suppkey AS cycle, s_acctbal / 100 AS rn FROM supplier) SELECT * FROM w UNION ALL SELECT well_id, cycle - i, rn FROM w, (VALUES (1), (2)) t(i) WHERE cycle = (SELECT min(cycle) FROM w)",
     "matrix_real_long": f"WITH {_CT} SELECT brain, vbc_read, label, CAST(umi_count AS DOUBLE) AS value FROM ct WHERE type = 'real'",
     "matrix_pivot": f"WITH {_CT} SELECT brain, vbc_read, {_PIV} FROM ct WHERE type = 'real' GROUP BY 1, 2",
     "spike_normalize": f"WITH {_CT}, w AS (SELECT brain, label, CASE WHEN CAST(substr(label, 3) AS INT) % 8 = 0 THEN 'i' ELSE 't' END AS g, CAST(sum(umi_count) AS DOUBLE) AS w FROM ct WHERE type = 'spike' GROUP BY 1, 2, 3), f AS (SELECT brain, label, CASE WHEN w = 0 THEN 0 ELSE max(w) OVER (PARTITION BY brain, g) / w END AS f FROM w) SELECT ct.brain, vbc_read, ct.label, round(umi_count * coalesce(f, 0), 6) AS value FROM ct LEFT JOIN f ON ct.brain = f.brain AND ct.label = f.label WHERE type = 'real'",
@@ -187,11 +255,11 @@ ORACLE_SQL: dict[str, str] = {
     "read_report": f"WITH {_RT} SELECT label, type, count(DISTINCT vbc_read) AS n_vbc, count(DISTINCT umi) AS n_umi, CAST(sum(read_count) AS BIGINT) AS read_count FROM rt GROUP BY 1, 2",
     "spikein_qc": f"WITH {_RT} SELECT label, count(DISTINCT vbc_read) AS n_vbc, count(DISTINCT umi) AS n_umi, count(DISTINCT concat(vbc_read, umi)) AS n_vbc_umi FROM rt WHERE type = 'spike' GROUP BY 1",
     "tag_cumulative": f"WITH {_FL} SELECT libtag, n, round(CAST(sum(n) OVER (ORDER BY n DESC, libtag ROWS UNBOUNDED PRECEDING) AS DOUBLE) / sum(n) OVER (), 6) AS proportion FROM (SELECT libtag, count(*) AS n FROM fl GROUP BY 1)",
-    "param_sweep": f"WITH {_CT}, p(injection_min, target_min) AS (VALUES (CAST(1 AS BIGINT), CAST(1 AS BIGINT)), (2, 2), (3, 2)), x AS (SELECT p.*, ct.*, max(CASE WHEN site LIKE 'target%' THEN umi_count END) OVER (PARTITION BY injection_min, target_min, brain, vbc_read) AS t, max(CASE WHEN site = 'injection' THEN umi_count END) OVER (PARTITION BY injection_min, target_min, brain, vbc_read) AS i FROM ct, p WHERE type <> 'spike' AND brain <> '') SELECT injection_min, target_min, label, count(DISTINCT vbc_read) AS n_vbc FROM x WHERE t >= target_min AND i >= injection_min GROUP BY 1, 2, 3",
+    "param_sweep": f"WITH {_CC}, p(injection_min, target_min) AS (VALUES (CAST(1 AS BIGINT), CAST(1 AS BIGINT)), (2, 2), (3, 2)), oth AS (SELECT p.*, cc.* FROM cc, p WHERE type <> 'spike'), inj AS (SELECT * FROM oth WHERE site LIKE 'injection%' AND umi_count >= injection_min), tg AS (SELECT * FROM oth WHERE site LIKE 'target%' QUALIFY max(umi_count) OVER (PARTITION BY injection_min, target_min, brain, vbc_read) >= target_min), kept AS (SELECT * FROM tg WHERE EXISTS (SELECT 1 FROM inj i WHERE i.injection_min = tg.injection_min AND i.target_min = tg.target_min AND i.brain = tg.brain AND i.vbc_read = tg.vbc_read) UNION ALL SELECT * FROM inj WHERE EXISTS (SELECT 1 FROM tg t WHERE t.injection_min = inj.injection_min AND t.target_min = inj.target_min AND t.brain = inj.brain AND t.vbc_read = inj.vbc_read)) SELECT injection_min, target_min, label, count(DISTINCT vbc_read) AS n_vbc FROM kept WHERE type = 'real' GROUP BY 1, 2, 3",
     "read_matrix_dominant": f"WITH {_RT}, c AS (SELECT source, label, count(*) AS n FROM rt GROUP BY 1, 2) SELECT label, (array_agg(source ORDER BY n DESC, source))[1] AS source, CAST(sum(n) AS BIGINT) AS n, round(max(n) * 100 / CAST(sum(n) AS DOUBLE), 6) AS percent FROM c GROUP BY 1",
-    "vbc_overlap": f"WITH {_CT} SELECT v.vbc_read, l.label, CAST(coalesce(sum(c.umi_count), 0) AS BIGINT) AS umi_count FROM (SELECT DISTINCT vbc_read FROM ct WHERE site = 'target' AND umi_count >= 3) v CROSS JOIN (SELECT DISTINCT label FROM ct WHERE site LIKE 'injection%') l LEFT JOIN ct c ON c.vbc_read = v.vbc_read AND c.label = l.label GROUP BY 1, 2",
-    "false_positive_rate": f"WITH {_CT}, p AS (SELECT vbc_read, coalesce(max(umi_count) FILTER (WHERE site = 'injection'), 0) AS i, coalesce(max(umi_count) FILTER (WHERE site = 'target-negative'), 0) AS n, coalesce(max(umi_count) FILTER (WHERE site = 'target'), 0) AS t FROM ct GROUP BY 1), w AS (SELECT coalesce(max(umi_count), 0) AS m FROM ct WHERE site = 'target-water-control') SELECT threshold, count(*) FILTER (WHERE n > threshold) AS negative, count(*) FILTER (WHERE t > threshold) AS target, round(CASE WHEN count(*) FILTER (WHERE t > threshold) > 0 THEN CAST(count(*) FILTER (WHERE n > threshold) AS DOUBLE) / count(*) FILTER (WHERE t > threshold) END, 6) AS rate FROM p, (SELECT unnest(range(0, least(m, 10))) AS threshold FROM w) WHERE i > 1 GROUP BY 1",
-    "template_switch_rate": f"WITH {_CT}, x AS (SELECT * FROM {_LONE.format('ct')}), s AS (SELECT CAST(coalesce(sum(umi_count) FILTER (WHERE site = 'target-lone' AND type = 'lone'), 0) AS DOUBLE) AS l1, CAST(coalesce(sum(umi_count) FILTER (WHERE site <> 'target-lone' AND type = 'real'), 0) AS DOUBLE) AS l2, CAST(coalesce(sum(umi_count) FILTER (WHERE site = 'target-lone' AND type = 'spike'), 0) AS DOUBLE) AS spk1, CAST(coalesce(sum(umi_count) FILTER (WHERE site <> 'target-lone' AND type = 'spike'), 0) AS DOUBLE) AS spk2, CAST(coalesce(sum(umi_count) FILTER (WHERE (site = 'target-lone') <> (type = 'lone')), 0) AS DOUBLE) AS ts FROM x) SELECT l1, l2, spk1, spk2, ts, round(0.5 * (ts / (l2 * (spk1 + l1))) * l2 + (ts / (l2 * (spk1 + l1))) * spk2, 9) AS ratio FROM s",
+    "vbc_overlap": f"WITH {_CT} SELECT v.vbc_read, l.label, CAST(coalesce(sum(c.umi_count), 0) AS BIGINT) AS umi_count FROM (SELECT DISTINCT vbc_read FROM ct WHERE site = 'target' AND umi_count >= 3) v CROSS JOIN (SELECT DISTINCT label FROM ct WHERE site = 'injection') l LEFT JOIN ct c ON c.vbc_read = v.vbc_read AND c.label = l.label AND c.type = 'real' GROUP BY 1, 2",
+    "false_positive_rate": f"WITH {_CT}, re AS (SELECT * FROM ct WHERE type = 'real'), p AS (SELECT vbc_read, coalesce(max(umi_count) FILTER (WHERE site = 'injection'), 0) AS i, coalesce(max(umi_count) FILTER (WHERE site = 'target-negative'), 0) AS n, coalesce(max(umi_count) FILTER (WHERE site IN ('target', 'target-negative')), 0) AS t FROM re GROUP BY 1), s AS (SELECT unnest(range(0, (SELECT coalesce(max(umi_count), 0) FROM re WHERE site = 'target-water-control'))) AS threshold), z AS (SELECT threshold, (SELECT count(*) FROM p WHERE i > 1 AND n > threshold) AS negative, (SELECT count(*) FROM p WHERE i > 1 AND t > threshold) AS target FROM s) SELECT threshold, negative, target, round(CASE WHEN target > 0 THEN CAST(negative AS DOUBLE) / target ELSE 0.0 END, 6) AS rate FROM z",
+    "template_switch_rate": f"WITH {_CT}, x AS (SELECT * FROM {_LONE.format('ct')}), s AS (SELECT CAST(coalesce(sum(umi_count) FILTER (WHERE site = 'target-lone' AND type = 'lone'), 0) AS DOUBLE) AS l1, CAST(coalesce(sum(umi_count) FILTER (WHERE site IN ('target', 'target-negative') AND type = 'real'), 0) AS DOUBLE) AS l2, CAST(coalesce(sum(umi_count) FILTER (WHERE site = 'target-lone' AND type = 'spike'), 0) AS DOUBLE) AS spk1, CAST(coalesce(sum(umi_count) FILTER (WHERE site IN ('target', 'target-negative') AND type = 'spike'), 0) AS DOUBLE) AS spk2, CAST(coalesce(sum(umi_count) FILTER (WHERE site = 'target-lone' AND type = 'real'), 0) AS DOUBLE) AS ts FROM x) SELECT l1, l2, spk1, spk2, ts, round(0.5 * (ts / (l2 * (spk1 + l1))) * l2 + (ts / (l2 * (spk1 + l1))) * spk2, 9) AS ratio FROM s",
     "rank_topn": f"WITH {_CT}, r AS (SELECT label, vbc_read, CAST(sum(read_count) AS BIGINT) AS reads FROM ct GROUP BY 1, 2) SELECT label, vbc_read, reads, CAST(row_number() OVER (PARTITION BY label ORDER BY reads DESC, vbc_read) AS INT) AS rank FROM r QUALIFY rank <= 5",
     "freq_threshold": f"WITH {_LIB} SELECT umi_count + 1 AS threshold FROM (SELECT umi_count, row_number() OVER (ORDER BY umi_count DESC) AS r, count(*) OVER () AS n FROM lib) WHERE r = CAST(floor(n * 0.1) AS BIGINT) + 1",
     "unique_fraction": f"WITH {_LIB}, p AS (SELECT umi_count / CAST(sum(umi_count) OVER () AS DOUBLE) AS p FROM lib) SELECT k, round(1 - sum(p * (1 - pow(1 - p, k - 1))), 6) AS p_unique FROM p, (VALUES (CAST(10 AS BIGINT)), (100), (1000)) t(k) GROUP BY k",

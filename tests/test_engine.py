@@ -33,18 +33,37 @@ def test_query_matches_sql(spark, name):
 def test_false_positive_rate_reaches_the_largest_water_count(spark):
     rng = random.Random(8)
     sites = ["injection", "target", "target-negative"]
-    rows = [(f"v{i}", rng.choice(sites), rng.randint(1, 30)) for i in range(200) for _ in range(3)] + [("w", "target-water-control", 25)]
-    got = M.false_positive_rate(spark.createDataFrame(rows, "vbc_read string, site string, umi_count long"), 2).collect()
-    top = lambda v, s: max([n for x, y, n in rows if (x, y) == (v, s)], default=0)
-    passed = [(top(v, "target-negative"), top(v, "target")) for v in {r[0] for r in rows} if top(v, "injection") > 2]
+    rows = [(f"v{i}", rng.choice(sites), rng.randint(1, 30), "real") for i in range(200) for _ in range(3)] + [("w", "target-water-control", 25, "real"), ("w", "target-water-control", 99, "lone"), ("v1", "injection", 99, "lone")]
+    got = M.false_positive_rate(spark.createDataFrame(rows, "vbc_read string, site string, umi_count long, type string"), 2).collect()
+    top = lambda v, *s: max([n for x, y, n, t in rows if x == v and y in s and t == "real"], default=0)
+    passed = [(top(v, "target-negative"), top(v, "target", "target-negative")) for v in {r[0] for r in rows} if top(v, "injection") > 2]
     assert sorted((r.threshold, r.negative, r.target) for r in got) == [(t, sum(n > t for n, _ in passed), sum(g > t for _, g in passed)) for t in range(25)]
 
 
+def counts_of(spark, rows):
+    return spark.createDataFrame([(v, k, t, n, n, b, s) for v, k, t, n, b, s in rows], "vbc_read string, label string, type string, umi_count long, read_count long, brain string, site string")
+
+
+def test_control_sites(spark):
+    """target-negative is a target like others; water and L1 samples are controls, copied into each brain once."""
+    rows = [("v1", "T", "real", 5, "b1", "target"), ("v1", "N", "real", 1, "b1", "target-negative"), ("v1", "I", "real", 4, "b1", "injection"), ("v2", "T2", "real", 3, "b2", "target"), ("v2", "I2", "real", 9, "b2", "injection"),
+            ("v1", "W", "spike", 2, "", "target-water-control"), ("v2", "W", "real", 1, "", "target-water-control"), ("v9", "L", "lone", 8, "", "target-lone"), ("v1", "L", "real", 2, "b1", "target-lone"), ("s", "T3", "spike", 1, "b3", "target")]
+    df = counts_of(spark, rows)
+    short = lambda x: sorted((r.brain, r.vbc_read, r.label) for r in x.collect())
+    base = [("b1", "v1", "I"), ("b1", "v1", "L"), ("b1", "v1", "N"), ("b1", "v1", "T"), ("b2", "v2", "I2"), ("b2", "v2", "T2")]
+    assert short(B.vbc_filter(df, 2, 2, include_controls=False)) == base
+    assert short(B.vbc_filter(df, 2, 2)) == sorted([*base, ("b1", "v1", "W"), ("b2", "v1", "W"), ("b2", "v2", "W")])
+    assert short(B.vbc_filter(df, 2, 2, include_lone=True, require_injection=False)) == sorted([*base, ("b1", "v1", "W"), ("b2", "v1", "W"), ("b2", "v2", "W"), ("b3", "v1", "W"), ("b1", "v9", "L"), ("b2", "v9", "L"), ("b3", "v9", "L"), ("b2", "v1", "L"), ("b3", "v1", "L"), ("b3", "s", "T3")])
+    assert short(B.control_readout(df, 2)) == [("", "v1", "W")]
+    one = M.template_switch_rate(df).first()
+    assert (one.l1, one.l2, one.spk1, one.spk2, one.ts) == (8.0, 9.0, 0.0, 1.0, 2.0)
+
+
 def test_parameter_sweep_applies_the_whole_filter(spark):
     rows = [("v1", "T", "real", 3, "b1", "target"), ("v1", "I", "real", 4, "b1", "injection"), ("v1", "J", "real", 1, "b1", "injection"), ("v2", "T", "lone", 9, "b1", "target"), ("v2", "I", "lone", 9, "b1", "injection"), ("v3", "W", "real", 2, "", "target-water-control"), ("v4", "W", "real", 1, "", "target-water-control")]
     df = spark.createDataFrame([(v, k, t, n, n, b, s) for v, k, t, n, b, s in rows], "vbc_read string, label string, type string, umi_count long, read_count long, brain string, site string")
     got = sorted(tuple(r) for r in M.parameter_sweep(df, [(1, 1), (2, 2), (5, 2)]).collect())
-    assert got == [(1, 1, "I", 1), (1, 1, "J", 1), (1, 1, "T", 1), (1, 1, "W", 2), (2, 2, "I", 1), (2, 2, "T", 1), (2, 2, "W", 1), (5, 2, "W", 1)]
+    assert got == [(1, 1, "I", 1), (1, 1, "J", 1), (1, 1, "T", 1), (2, 2, "I", 1), (2, 2, "T", 1)]
 
 
 def test_normalisation_golden_case(spark):

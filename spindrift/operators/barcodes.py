@@ -138,32 +138,63 @@ def unique_sequences(df: DataFrame, column: str = "vbc_read", group: str = "brai
     return df.where(F.col(group) != "").groupBy(F.col(group).alias("grp"), F.col(column).alias("seq")).agg(F.count(F.lit(1)).alias("n"), F.sum(parent).alias("weight"))
 
 
-def similarity_edges(seqs: DataFrame, max_distance: int = 3, length: int = 30, metric: str = "hamming") -> DataFrame:
-    """(grp, a, b, distance) for all pairs a < b of one group at 1..max_distance.
-
-    Pigeonhole: of ``max_distance + 2`` blocks at least two are equal, so sequences
-    meet under equal pairs of blocks; the distance is verified in the join and a
-    pair counts under its first common pair of blocks only.  Sequences of another
-    length than ``length`` are compared among their own length by the same cut.
-    With ``metric='levenshtein'`` pairs must also share a pair of blocks in place;
-    that is exact for substitutions and finds indels near the ends.
+#: A sequence of A, C, G and T only: each base as one of four bits, 15 bases a long; null for others.
+_ONE_HOT = "if(seq rlike '^[ACGT]+$', transform(sequence(0, int((length(seq) - 1) div 15)), i -> cast(conv(substring(translate(seq, 'ACGT', '1248'), i * 15 + 1, 15), 16, 10) as long)), null)"
+
+
+def similarity_edges(seqs: DataFrame, max_distance: int = 3, metric: str = "hamming") -> DataFrame:
+    """(grp, a, b, distance) for all pairs a < b of one group at 1..max_distance; null sequences are in none.
+
+    With ``hamming`` sequences of one length are compared.  Pigeonhole: of
+    ``max_distance + 2`` blocks of a sequence at least two are equal, so sequences
+    meet under the hashes of equal pairs of blocks; a pair counts under the first
+    pair of blocks whose hashes agree only, so hash collisions neither lose nor
+    repeat one.  The distance is a count of bits for plain ACGT.  With
+    ``levenshtein`` see :func:`edit_edges`.
     """
+    if metric == "levenshtein":
+        return edit_edges(seqs, max_distance)
     k = max_distance + 2
-    def block(c: str, i: int):
-        lo, hi = i * length // k, (i + 1) * length // k
-        return F.substring(F.col(c), lo + 1, hi - lo if i < k - 1 else 1 << 20)
-
-    keys = F.array(*[F.struct(F.lit(n).alias("n"), block("seq", i).alias("x"), block("seq", j).alias("y")) for n, (i, j) in enumerate(combinations(range(k), 2))])
-    keyed = seqs.select("grp", "seq", F.explode(keys).alias("k")).select("grp", F.length("seq").alias("len"), "k.n", "k.x", "k.y", "seq")
-    left, right = keyed.withColumnRenamed("seq", "a"), keyed.withColumnRenamed("seq", "b")
+    cut = [F.expr(f"hash(substring(seq, int({i} * length(seq) div {k}) + 1, int({i + 1} * length(seq) div {k}) - int({i} * length(seq) div {k})))").alias(f"h{i}") for i in range(k)]
+    cells = seqs.where("seq is not null").select("grp", "seq", F.length("seq").alias("len"), F.expr(_ONE_HOT).alias("code"), *cut)
+    pairs = list(combinations(range(k), 2))
+    keys = F.array(*[F.struct(F.lit(n).alias("n"), F.xxhash64(F.lit(n), "len", f"h{i}", f"h{j}").alias("key")) for n, (i, j) in enumerate(pairs)])
+    keyed = cells.select("*", F.explode(keys).alias("k")).select("*", "k.n", "k.key").drop("k")
+    left, right = keyed.alias("l"), keyed.alias("r")  # one plan, so one exchange
     first = None
-    for n, (i, j) in reversed(list(enumerate(combinations(range(k), 2)))):
-        same = (block("a", i) == block("b", i)) & (block("a", j) == block("b", j))
+    for n, (i, j) in reversed(list(enumerate(pairs))):
+        same = (F.col(f"l.h{i}") == F.col(f"r.h{i}")) & (F.col(f"l.h{j}") == F.col(f"r.h{j}"))
         first = F.when(same, n) if first is None else F.when(same, n).otherwise(first)
-    cond = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in ("grp", "len", "n", "x", "y")] + [F.col("a") < F.col("b"), F.col("l.n") == first]
-    distance = F.levenshtein("a", "b", max_distance) if metric == "levenshtein" else hamming(F.col("a"), F.col("b"))
-    pairs = left.alias("l").join(right.alias("r"), cond)
-    return pairs.select(F.col("l.grp").alias("grp"), "a", "b", distance.cast("int").alias("distance")).where(F.col("distance").between(1, max_distance))
+    cond = [F.col("l.grp").eqNullSafe(F.col("r.grp")), F.col("l.key") == F.col("r.key"), F.col("l.n") == F.col("r.n"), F.col("l.len") == F.col("r.len"), F.col("l.seq") < F.col("r.seq"), F.col("l.n") == first]
+    agree = F.aggregate(F.zip_with("l.code", "r.code", lambda x, y: F.bit_count(x.bitwiseAND(y))), F.lit(0), lambda acc, x: acc + x)
+    distance = F.coalesce(F.col("l.len") - agree, hamming(F.col("l.seq"), F.col("r.seq")))
+    out = left.join(right, cond).select(F.col("l.grp").alias("grp"), F.col("l.seq").alias("a"), F.col("r.seq").alias("b"), distance.cast("int").alias("distance"))
+    return out.where(F.col("distance").between(1, max_distance))
+
+
+def edit_edges(seqs: DataFrame, max_distance: int = 3) -> DataFrame:
+    """(grp, a, b, distance) for all pairs a < b of one group at an edit distance of 1..max_distance.
+
+    Cut in ``max_distance + 1`` segments, the shorter sequence (the smaller, of
+    equal length) has one that no edit touches: it stands in the longer one, shifted
+    by at most ``max_distance``.  Segments and the longer sequence's substrings
+    meet in an equi-join; each distinct pair is verified once.
+    """
+    d, k = max_distance, max_distance + 1
+    some = seqs.where("seq is not null").select("grp", "seq", F.length("seq").alias("len"))
+    start = lambda size, i: f"int({i} * ({size}) div {k})"
+    index = ", ".join(f"struct({i} as i, substring(seq, {start('len', i)} + 1, {start('len', i + 1)} - {start('len', i)}) as x)" for i in range(k))
+    own = some.select("grp", F.col("seq").alias("s"), F.col("len").alias("n"), F.explode(F.expr(f"array({index})")).alias("e")).select("grp", "s", "n", "e.i", "e.x")
+    probes = ", ".join(
+        f"struct(len - {less} as n, {i} as i, if({start(f'len - {less}', i)} + {shift} >= 0, substring(seq, {start(f'len - {less}', i)} + {shift} + 1, {start(f'len - {less}', i + 1)} - {start(f'len - {less}', i)}), null) as x)"
+        for less in range(d + 1)
+        for i in range(k)
+        for shift in range(-d, d + 1)
+    )
+    other = some.select("grp", F.col("seq").alias("t"), F.col("len").alias("m"), F.explode(F.array_distinct(F.expr(f"array({probes})"))).alias("e")).select("grp", "t", "m", "e.n", "e.i", "e.x").where("x is not null and n >= 0")
+    met = own.alias("l").join(other.alias("r"), [F.col("l.grp").eqNullSafe(F.col("r.grp")), F.col("l.n") == F.col("r.n"), F.col("l.i") == F.col("r.i"), F.col("l.x") == F.col("r.x"), F.expr("l.n < r.m or l.s < r.t")])
+    out = met.select(F.col("l.grp").alias("grp"), F.least("s", "t").alias("a"), F.greatest("s", "t").alias("b")).distinct()
+    return out.withColumn("distance", F.levenshtein("a", "b", d)).where(F.col("distance").between(1, d))
 
 
 def cluster(edges: DataFrame, scratch: Scratch) -> DataFrame:
@@ -186,14 +217,14 @@ def apply_collapse(df: DataFrame, comps: DataFrame, reps: DataFrame, column: str
     return out.withColumn(f"{column}_orig", F.col(column)).withColumn(column, F.coalesce("rep", column)).drop("_g", "_s", "rep")
 
 
-def align_collapse(df: DataFrame, column: str = "vbc_read", group: str | None = "brain", max_distance: int = 3, min_reads: int = 1, by: str = "n", length: int = 30) -> DataFrame:
+def align_collapse(df: DataFrame, column: str = "vbc_read", group: str | None = "brain", max_distance: int = 3, min_reads: int = 1, by: str = "n", metric: str = "hamming") -> DataFrame:
     """The whole collapse; rows without a group pass through unchanged; ``group=None`` collapses globally."""
     scratch = Scratch(df.sparkSession, "collapse")
     work = df if group else df.withColumn("_all", F.lit("all"))
     key = group or "_all"
     work = work.where(F.col("read_count") >= min_reads) if min_reads > 1 else work
     seqs = scratch.keep(unique_sequences(work, column, key), "sequences")
-    comps = scratch.keep(cluster(scratch.keep(similarity_edges(seqs, max_distance, length), "similar"), scratch), "clusters")
+    comps = scratch.keep(cluster(scratch.keep(similarity_edges(seqs, max_distance, metric), "similar"), scratch), "clusters")
     out = apply_collapse(work, comps, representatives(seqs, comps, by), column, key)
     return out if group else out.drop("_all")
 

@@ -259,3 +259,44 @@ def pad_cycles(df: DataFrame, column: str = "cycle", by: str = "well_id", prepen
 def cycles_with_groups(cycles: DataFrame, groups: DataFrame) -> DataFrame:
     """Every well's cycles with its group; wells that only one side has stay."""
     return cycles.join(groups.select("well_id", "group_id", "cycles_rec"), "well_id", "full")
+
+
+# --- thresholds from the distribution ------------------------------------------
+
+
+def cumulative_threshold(df: DataFrame, fraction: float, by: str = "label", value: str = "read_count", least: int = 1) -> DataFrame:
+    """(by, threshold): going down the values of each group, the last at which the running sum is still below ``fraction`` of the whole.
+
+    The largest value where there is none; at least ``least``.  Equal values are
+    counted before they are summed, so a window holds a group's distinct values.
+    """
+    counts = df.where(F.col(value) > 0).groupBy(by, value).agg(F.count(F.lit(1)).alias("_n"))
+    down = Window.partitionBy(by).orderBy(F.desc(value)).rowsBetween(Window.unboundedPreceding, -1)
+    run = counts.withColumn("_before", F.coalesce(F.sum(F.col(value) * F.col("_n")).over(down), F.lit(0)))
+    run = run.withColumn("_bar", F.floor(F.sum(F.col(value) * F.col("_n")).over(Window.partitionBy(by)) * fraction))
+    inside = F.min(F.when(F.col("_before") + F.col(value) < F.col("_bar"), F.col(value)))
+    return run.groupBy(by).agg(F.greatest(F.coalesce(inside, F.max(value)), F.lit(least)).cast("long").alias("threshold"))
+
+
+def final_thresholds(df: DataFrame, threshold: str = "threshold") -> DataFrame:
+    """(site, threshold) for target and injection: the least over their samples; negatives count as targets."""
+    kind = F.when(F.col("site").isin("target", "target-negative"), "target").when(F.col("site") == "injection", "injection")
+    return df.select(kind.alias("site"), threshold).where("site is not null").groupBy("site").agg(F.min(threshold).alias("threshold"))
+
+
+def negative_floor(df: DataFrame) -> DataFrame:
+    """(brain, min_target): the largest sum of a negative sample's reals; 0 for a brain that has none."""
+    real = df.where("type = 'real' and site = 'target-negative'").groupBy("brain", "label").agg(F.sum("umi_count").alias("_n"))
+    top = real.groupBy("brain").agg(F.max("_n").alias("min_target"))
+    return df.select("brain").distinct().join(top, "brain", "left").select("brain", F.coalesce("min_target", F.lit(0)).cast("long").alias("min_target"))
+
+
+def rename_labels(long: DataFrame, samples: DataFrame) -> DataFrame:
+    """Matrix columns named by the sheet's matrixcolumn under their sample's label; columns that the sheet lacks stay."""
+    to = samples.where("matrixcolumn is not null").select(F.col("matrixcolumn").cast("string").alias("label"), F.concat(F.lit("BC"), F.col("rtprimer").cast("string")).alias("_to")).dropDuplicates(["label"])
+    return long.join(to, "label", "left").select("brain", "vbc_read", F.coalesce("_to", "label").alias("label"), "value")
+
+
+def downsample(df: DataFrame, fraction: float, columns: list[str], seed: int = 1) -> DataFrame:
+    """About ``fraction`` of the rows, chosen by a hash of their columns, so a rerun chooses the same; equal rows stay or go together."""
+    return df.where(F.pmod(F.xxhash64(F.lit(seed), *columns), F.lit(1 << 20)) < int(fraction * (1 << 20)))

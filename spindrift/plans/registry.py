@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from spindrift.functions import seq
 from spindrift.operators import barcodes as B
 from spindrift.operators import matrix as M
+from spindrift.operators import simulate
 from spindrift.plans.barcode_sql import READ_COLUMNS, READS, READTABLE
 from spindrift.plans.scratch import Scratch
 
@@ -173,6 +174,12 @@ QUERIES = {
     "natural_sort_labels": lambda s, d: readtable(s, d).select("label").distinct().withColumn("position", F.row_number().over(Window.orderBy(seq.natural_key(F.col("label"))))),
     "gap_groups": lambda s, d: M.gap_groups(s.read.parquet(f"{d}/supplier.parquet").select("s_suppkey", "s_acctbal"), "s_acctbal", "s_suppkey", 500.0),
     "hamming1_neighbours": lambda s, d: readtable(s, d).select("vbc_read").distinct().select("vbc_read", F.explode(seq.neighbours(F.substring("vbc_read", 1, 4))).alias("near")),
+    "cumulative_threshold": lambda s, d: M.cumulative_threshold(readtable(s, d), 0.8),
+    "final_thresholds": lambda s, d: M.final_thresholds(readtable(s, d), "read_count"),
+    "negative_floor": lambda s, d: M.negative_floor(counts(s, d)),
+    "simulate_random": lambda s, d: simulate.random_sequences(s, 5000),
+    "simulate_mutated": lambda s, d: simulate.replicate(simulate.random_sequences(s, 500), "parent_idx", 3, 2),
+    "expand_rows": lambda s, d: simulate.expand_rows(s.read.parquet(f"{d}/supplier.parquet").select("s_suppkey"), "s_suppkey"),
     "reverse_complement": lambda s, d: readtable(s, d).select("vbc_read").distinct().withColumn("rc", seq.reverse_complement(F.col("vbc_read"))),
 }
 
@@ -207,7 +214,33 @@ _LONE = "(SELECT * REPLACE (CASE WHEN label = 'BC1' THEN 'target-lone' ELSE site
 _LIB = f"{_CT}, lib AS (SELECT vbc_read, CAST(sum(umi_count) AS BIGINT) AS umi_count FROM ct WHERE type = 'real' AND site = 'target' GROUP BY 1)"
 _PIV = ", ".join(f"CAST(coalesce(max(CASE WHEN label = 'BC{i}' THEN umi_count END), 0) AS DOUBLE) AS \"BC{i}\"" for i in range(16) if i % 8 != 7)
 
+
+
+def _drawn(n: int) -> str:
+    """rn: random sequences of 30 bases."""
+    return f"rn AS (SELECT sequence, count(*) AS read_count, min(i) AS parent_idx FROM (SELECT i, substr(translate(md5(concat('1-', i, '/0')), '0123456789abcdef', 'CAGTCAGTCAGTCAGT'), 1, 30) AS sequence FROM range({n}) t(i)) GROUP BY 1 HAVING count(*) = 1 AND NOT regexp_matches(sequence, 'A{{8}}|C{{8}}|G{{8}}|T{{8}}'))"
+
+
+def _cycle(src: str, name: str, copies: int) -> str:
+    """One cycle of copies with up to three changes, over (sequence, read_count, parent_idx, k)."""
+    num = lambda tag, below: f"(CAST(concat('0x', substr(md5(concat(k, '/{tag}')), 1, 7)) AS BIGINT) % {below})"
+    steps = f"{name}_ AS (SELECT sequence, read_count, parent_idx, concat(k, '.', c) AS k, c FROM {src}, range(0, {copies + 1}) t(c))"
+    last = f"{name}_"
+    for j in range(3):
+        letter = f"substr(translate(md5(concat(k, '/c{j}/0')), '0123456789abcdef', 'CAGTCAGTCAGTCAGT'), 1, 1)"
+        one = f"concat(substr(sequence, 1, {num(f'p{j}', 30)}), {letter}, substr(sequence, {num(f'p{j}', 30)} + 2))"
+        steps += f", {name}{j} AS (SELECT * REPLACE (CASE WHEN c > 0 AND {num('n', 3)} + 1 > {j} THEN {one} ELSE sequence END AS sequence) FROM {last})"
+        last = f"{name}{j}"
+    return f"{steps}, {name} AS (SELECT sequence, read_count, parent_idx, k FROM {last})"
+
+
 ORACLE_SQL: dict[str, str] = {
+    "cumulative_threshold": f"WITH {_RT}, r AS (SELECT label, read_count AS v, sum(read_count) OVER (PARTITION BY label ORDER BY read_count DESC, vbc_read, umi, source, type ROWS UNBOUNDED PRECEDING) AS run, floor(sum(read_count) OVER (PARTITION BY label) * 0.8::DOUBLE) AS bar FROM rt) SELECT label, CAST(coalesce(min(v) FILTER (WHERE run < bar), max(v)) AS BIGINT) AS threshold FROM r GROUP BY label",
+    "final_thresholds": f"WITH {_RT} SELECT CASE WHEN site = 'injection' THEN site ELSE 'target' END AS site, min(read_count) AS threshold FROM rt WHERE site IN ('target', 'target-negative', 'injection') GROUP BY 1",
+    "negative_floor": f"WITH {_CT}, n AS (SELECT brain, label, sum(umi_count) AS s FROM ct WHERE type = 'real' AND site = 'target-negative' GROUP BY 1, 2) SELECT b.brain, CAST(coalesce(max(n.s), 0) AS BIGINT) AS min_target FROM (SELECT DISTINCT brain FROM ct) b LEFT JOIN n ON b.brain = n.brain GROUP BY 1",
+    "simulate_random": f"WITH {_drawn(5000)} SELECT * FROM rn",
+    "simulate_mutated": f"WITH {_drawn(500)}, k0 AS (SELECT *, concat('1-', parent_idx) AS k FROM rn), {_cycle('k0', 'ka', 3)}, {_cycle('ka', 'kb', 3)} SELECT sequence, read_count, parent_idx FROM kb",
+    "expand_rows": "SELECT s_suppkey, substr(translate(md5(concat('1-', s_suppkey, '.', c, '/0')), '0123456789abcdef', 'ACGTACGTACGTACGT'), 1, 12) AS umi FROM supplier, range(1, 33) t(c)",
     "vbc_table": f"WITH {_CT} SELECT * FROM ct",
     "aggregate_reads": f"WITH {_RD} SELECT sequence, source, count(*) AS read_count FROM rd GROUP BY 1, 2 HAVING count(*) >= 2",
     "reaggregate_reads": f"WITH {_RD} SELECT sequence, CAST(sum(read_count) AS BIGINT) AS read_count FROM rd GROUP BY 1",

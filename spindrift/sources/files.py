@@ -167,3 +167,144 @@ def merge_stats(trees: list[dict]) -> dict:
             else:
                 out[k] = v
     return out
+
+
+#: The columns of both aligners' tables, and the tags of the optional ones.
+BOWTIE1 = ("name_read", "strand", "name_align", "offset", "seq", "quals", "ceil", "mm_desc")
+BOWTIE2 = ("name_read", "flagsum", "name_align", "offset", "qual", "cigar", "mate", "mate_offset", "fraglen", "seq", "quals")
+BOWTIE2_TAGS = {"score": "AS", "next": "XS", "n_amb": "XN", "n_mismatch": "XM", "n_gap": "XO", "n_gapext": "XG", "distance": "NM", "md": "MD", "yt": "YT"}
+BOWTIE2_NUMBERS = ("flagsum", "offset", "qual", "mate_offset", "fraglen", "score", "n_amb", "n_mismatch", "n_gap", "n_gapext", "distance")
+#: Headers of a qPCR amplification sheet.
+AMPLIFICATION = {"Well": "well", "Well Position": "well_pos", "Cycle": "cycle", "Target Name": "target", "Rn": "rn", "Delta Rn": "rn_delta"}
+
+
+def read_fasta_records(spark: SparkSession, path: str) -> DataFrame:
+    """(name, sequence) of a FASTA whose sequences may run over several lines; one row a record, split at ``>`` after a line's end."""
+    raw = F.regexp_replace("value", "^>", "")
+    head = F.regexp_extract(raw, r"^([^\r\n]*)", 1)
+    return spark.read.text(path, lineSep="\n>").where(F.trim(raw) != "").select(F.trim(head).alias("name"), F.regexp_replace(F.substr(raw, F.length(head) + 1), r"\s", "").alias("sequence"))
+
+
+def read_alignments(spark: SparkSession, path: str) -> DataFrame:
+    """SAM records: the eleven fields, the known tags as columns and all tags as a map; numbers that are none are null."""
+    p = F.split("value", "\t")
+    rows = spark.read.text(path).where(~F.col("value").rlike(r"^@(HD|SQ|PG|RG|CO)\t") & (F.size(p) >= len(BOWTIE2)))
+    tags = F.slice(p, F.lit(12), F.greatest(F.size(p) - 11, F.lit(0)))
+    entries = F.transform(F.filter(tags, lambda t: t.rlike("^[^:]+:[^:]:")), lambda t: F.struct(F.substring_index(t, ":", 1).alias("k"), F.regexp_replace(t, "^[^:]+:[^:]:", "").alias("v")))
+    first = F.filter(entries, lambda e, i: F.get(F.transform(entries, lambda x: x["k"]), i).isNotNull() & (F.array_position(F.transform(entries, lambda x: x["k"]), e["k"]) == i + 1))
+    out = rows.select(*[F.trim(F.get(p, i)).alias(c) for i, c in enumerate(BOWTIE2)], F.map_from_entries(first).alias("tags"))
+    out = out.withColumns({c: F.try_element_at("tags", F.lit(t)) for c, t in BOWTIE2_TAGS.items()})
+    return out.withColumns({c: F.col(c).try_cast("long") for c in BOWTIE2_NUMBERS})
+
+
+def read_bowtie1(spark: SparkSession, path: str) -> DataFrame:
+    """The older aligner's table, which has no header."""
+    return spark.read.csv(path, sep="\t", quote="", schema=", ".join(f"{c} {'long' if c in ('offset', 'ceil') else 'string'}" for c in BOWTIE1))
+
+
+def read_list(spark: SparkSession, path: str) -> DataFrame:
+    """(item): the lines of a list, trimmed, without empty ones and comments."""
+    item = F.trim("value")
+    return spark.read.text(path).select(item.alias("item")).where((F.col("item") != "") & ~F.col("item").startswith("#"))
+
+
+def read_lists(spark: SparkSession, path: str) -> DataFrame:
+    """(items): one list a line, of strings in double or single quotes; read as data, never evaluated."""
+    return spark.read.text(path).select(F.from_json(F.trim("value"), "array<string>", {"allowSingleQuotes": "true"}).alias("items")).where("items is not null")
+
+
+def read_amplification(spark: SparkSession, path: str) -> DataFrame:
+    """A qPCR amplification sheet saved as TSV: well_id is the well's position; rows without a cycle go."""
+    df = spark.read.csv(path, sep="\t", header=True)
+    df = df.toDF(*[AMPLIFICATION.get(c.strip(), c.strip()) for c in df.columns])
+    return df.withColumns({"cycle": F.col("cycle").try_cast("int"), "rn": F.col("rn").try_cast("double"), "rn_delta": F.col("rn_delta").try_cast("double"), "well_id": F.col("well_pos")}).where("cycle is not null")
+
+
+def read_matrix(spark: SparkSession, path: str, brain: str) -> DataFrame:
+    """A wide matrix TSV, barcodes in its first column, as (brain, vbc_read, label, value); zeros are left out."""
+    df = spark.read.csv(path, sep="\t", header=True)
+    first, *labels = df.columns
+    wide = df.select(F.col(first).alias("vbc_read"), *[F.col(f"`{c}`").try_cast("double").alias(c) for c in labels])
+    return wide.unpivot(["vbc_read"], labels, "label", "value").where("value <> 0").select(F.lit(brain).alias("brain"), "vbc_read", "label", "value")
+
+
+def write_matrices(matrices: dict[str, DataFrame], folder: str, kinds=(("real", "rbcm"), ("spike", "sbcm"), ("normalized", "nbcm"))) -> list[str]:
+    """``<folder>/<brain>.<kind>.tsv`` for every brain; each brain has its own labels as columns, in natural order.
+
+    Brains and labels are dimensions of the sample sheet, so they are read on the driver.
+    """
+    from spindrift.operators.matrix import matrix_wide
+
+    paths = []
+    for kind, suffix in kinds:
+        long = matrices[kind]
+        for (brain,) in sorted(long.select("brain").distinct().collect()):
+            path = f"{folder}/{brain}.{suffix}.tsv"
+            matrix_wide(long.where(F.col("brain") == brain)).drop("brain").write.mode("overwrite").csv(path, sep="\t", header=True)
+            paths.append(path)
+    return paths
+
+
+def write_frames(frames: dict[str, DataFrame], folder: str) -> None:
+    """Reject tables and report sheets: one TSV folder each."""
+    for name, df in frames.items():
+        df.write.mode("overwrite").csv(f"{folder}/{name}.tsv", sep="\t", header=True)
+
+
+def write_demultiplexed(df: DataFrame, folder: str, unmatched: str = "unmatched") -> None:
+    """FASTA text by label: ``<folder>/label=<label>/``."""
+    rows = df.select(F.coalesce("label", F.lit(unmatched)).alias("label"), F.concat(F.lit(">"), "sequence", F.lit("\n"), "sequence").alias("value"))
+    rows.write.mode("overwrite").partitionBy("label").text(folder)
+
+
+def upsert(df: DataFrame, path: str) -> DataFrame:
+    """Add rows to a Parquet table as text, each distinct row once and nulls as empty; columns that either side lacks are empty.
+
+    The new table is written beside the old one and takes its name at the end.
+    """
+    spark = df.sparkSession
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    here, fresh, past = fs_path(path), fs_path(f"{path}.new"), fs_path(f"{path}.old")
+    fs = here.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(here) and fs.exists(past):  # a run that ended between the two renames
+        fs.rename(past, here)
+    as_text = lambda x: x.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in x.columns])
+    rows = as_text(df)
+    if fs.exists(here):
+        rows = as_text(spark.read.parquet(path)).unionByName(rows, allowMissingColumns=True)
+    rows.na.fill("").distinct().write.mode("overwrite").parquet(f"{path}.new")
+    if fs.exists(here):
+        fs.delete(past, True)
+        fs.rename(here, past)
+    fs.rename(fresh, here)
+    fs.delete(past, True)
+    return spark.read.parquet(path)
+
+
+def add_stat(tree: dict, path: str, key: str, value) -> dict:
+    """Set ``key`` under a path such as /a/b, whose parts are made as needed."""
+    node = tree
+    for part in filter(None, path.split("/")):
+        node = node.setdefault(part, {})
+    node[key] = value
+    return tree
+
+
+def render_report(template: str, stats: dict, conf: dict) -> str:
+    """A Markdown template with ``{{ stats.a.b }}`` and ``{{ conf.section.key }}`` filled in; what is missing is empty."""
+    import re
+
+    def fill(m: re.Match) -> str:
+        node = {"stats": stats, "conf": conf}
+        for part in re.findall(r"[^.\[\]'\"\s]+", m.group(1)):
+            node = node.get(part, "") if isinstance(node, dict) else ""
+        return str(node)
+
+    return re.sub(r"\{\{\s*(.*?)\s*\}\}", fill, template)
+
+
+def pair_files(paths: list[str]) -> list[tuple[str, str]]:
+    """Consecutive files as pairs; an odd number is an error."""
+    if len(paths) % 2:
+        raise ValueError("FASTQ files come in pairs")
+    return list(zip(paths[::2], paths[1::2]))

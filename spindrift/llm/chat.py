@@ -39,7 +39,8 @@ class Mapping:
 
     ``messages``: path of the message array with its ``role`` and ``text``
     fields; or ``fields``: (role, path) pairs that each give one turn, those
-    whose value is null being left out unless they end in ``!``.
+    whose value is null being left out unless they end in ``!``; or neither: the
+    record is itself a turn with ``role`` and ``text``.
     """
 
     name: str
@@ -61,7 +62,7 @@ def fingerprint_of(paths) -> str:
 
 
 LAYOUTS = (
-    Mapping("turn_rows", ("role", "text")),
+    Mapping("turn_rows", ("role", "text"), role="role", text="text"),
     Mapping("messages", ("messages", "messages[].content", "messages[].role"), "$.messages", "role", "content"),
     Mapping("conversations", ("conversations", "conversations[].from", "conversations[].value"), "$.conversations", "from", "value"),
     Mapping("dialog_text", ("turns", "turns[].role", "turns[].text"), "$.turns", "role", "text"),
@@ -87,68 +88,78 @@ def schema_paths(schema: T.DataType, prefix: str = "") -> list[str]:
     return []
 
 
-def _shape_of(paths: tuple[str, ...]) -> str:
-    """The shape that :func:`record_fingerprint` hashes, for a registered layout."""
-    tree: dict = {}
-    for p in paths:
-        node = tree
-        for part in p.replace("[]", ".[]").split("."):
-            node = node.setdefault(part, {})
+def select_layout(paths, layouts=LAYOUTS) -> Mapping | None:
+    """The layout, of those with most paths the first, whose fingerprint is that of its share of ``paths``; other paths are extra."""
+    for m in _by_size(layouts):
+        if fingerprint_of(set(paths) & set(m.paths)) == m.fingerprint:
+            return m
+    return None
 
-    def show(node: dict) -> str:
-        if "[]" in node:
-            return f"[{show(node['[]'])}]"
-        return "{" + ",".join(f"{k}{':' + show(v) if v else ''}" for k, v in sorted(node.items())) + "}" if node else ""
 
-    return show(tree)
+def _by_size(layouts) -> list[Mapping]:
+    return sorted(layouts, key=lambda m: -len(m.paths))
 
 
-def record_shape(record: Column) -> Column:
-    """The nested field paths of one JSON record as a canonical string; null if it isn't JSON."""
-    s = F.schema_of_variant(F.try_parse_json(record))
-    s = F.regexp_replace(s, r"(: )?(STRING|VOID|BIGINT|DOUBLE|FLOAT|BOOLEAN|DATE|TIMESTAMP_NTZ|TIMESTAMP|BINARY|VARIANT|DECIMAL\(\d+,\d+\))(?=[,>]|$)", "")
-    s = F.regexp_replace(s, "OBJECT<", "{")
-    s = F.regexp_replace(s, "ARRAY<", "[")
-    # after the scalars are gone, each '>' closes the latest opener; objects directly inside arrays close as '}]'
-    return F.regexp_replace(F.regexp_replace(s, ", ", ","), ": ", ":")
+def record_paths(record: Column, layouts=LAYOUTS) -> Column:
+    """The nested field paths of one JSON record, two levels deep; null if it isn't a JSON object.
+
+    Fields of array items are listed for the arrays that ``layouts`` name; those of
+    different items unite, and an empty array has every field that its layout names.
+    """
+    parts = [F.json_object_keys(record)]
+    for m in layouts:
+        if m.messages:
+            key = m.messages[2:]
+            items = F.from_json(record, f"`{key}` array<map<string,string>>")[key]
+            fields = F.transform(F.flatten(F.transform(items, F.map_keys)), _field_of(key))
+            named = F.array(*[F.lit(p) for p in m.paths if "[]" in p])
+            parts.append(F.coalesce(F.when(F.size(items) == 0, named).otherwise(fields), F.expr("cast(array() as array<string>)")))
+    return F.when(F.try_parse_json(record).isNotNull(), F.concat(*parts))
 
 
-def record_fingerprint(record: Column) -> Column:
-    """SHA-256 of a record's nested field paths."""
-    return F.sha2(record_shape(record), 256)
+def _field_of(array: str):
+    return lambda field: F.concat(F.lit(f"{array}[]."), field)
 
 
-def _shape_as_variant(paths: tuple[str, ...]) -> str:
-    return _shape_of(paths).replace("}", ">").replace("]", ">")
+def paths_fingerprint(paths: Column, m: Mapping) -> Column:
+    """:func:`fingerprint_of` for the share of a record's paths that ``m`` names."""
+    return F.sha2(F.array_join(F.array_sort(F.array_intersect(paths, F.array(*[F.lit(p) for p in m.paths]))), "\n"), 256)
+
+
+def mapped_turns(record: Column, m: Mapping) -> Column:
+    """The turns of a JSON record of this layout."""
+    if m.messages:
+        key = m.messages[2:]
+        parsed = F.from_json(record, f"`{key}` array<struct<`{m.role}`:string,`{m.text}`:string>>")[key]
+        return F.transform(parsed, _message_of(m))
+    parts = []
+    for role, path in m.fields:
+        value = F.get_json_object(record, path.rstrip("!"))
+        one = F.struct(F.lit(role).alias("role"), F.coalesce(value, F.lit("")).alias("text"))
+        parts.append(F.array(one) if path.endswith("!") else F.when(value.isNull(), F.expr(f"cast(array() as {TURNS})")).otherwise(F.array(one)))
+    return F.concat(*parts)
 
 
 def canonical_records(df: DataFrame, record: str = "record", layouts=LAYOUTS) -> DataFrame:
     """Add ``layout`` and ``turns`` (array of role, text) for a column of JSON records.
 
-    Each record's fingerprint selects its mapping.  Unknown layouts, null and
-    malformed records keep their row with a null layout and null turns.  A null
-    content is an empty text; null optional fields give no turn.
+    The fingerprint of a record's paths selects its mapping; fields that no
+    layout names are ignored, and of several layouts that fit the one with most
+    paths is taken.  Unknown layouts, null and malformed records keep their row
+    with a null layout and null turns.  A null content is an empty text, null
+    optional fields give no turn, an empty array gives none.  Columns of ``df``
+    named ``layout`` and ``turns`` are replaced; an empty table gives an empty one.
     """
-    print_ = F.col("_print")
     layout = turns = None
-    for m in layouts:
-        if m.name == "turn_rows":
+    paths = record_paths(F.col(record), layouts)
+    for m in _by_size(layouts):
+        if not (m.messages or m.fields):
             continue
-        here = print_ == F.lit(hashlib.sha256(_shape_as_variant(m.paths).encode()).hexdigest())
-        if m.messages:
-            key = m.messages[2:]
-            parsed = F.from_json(F.col(record), f"`{key}` array<struct<`{m.role}`:string,`{m.text}`:string>>")[key]
-            made = F.transform(parsed, _message_of(m))
-        else:
-            parts = []
-            for role, path in m.fields:
-                value = F.get_json_object(record, path.rstrip("!"))
-                one = F.struct(F.lit(role).alias("role"), F.coalesce(value, F.lit("")).alias("text"))
-                parts.append(F.array(one) if path.endswith("!") else F.when(value.isNull(), F.expr(f"cast(array() as {TURNS})")).otherwise(F.array(one)))
-            made = F.concat(*parts)
+        here = paths_fingerprint(paths, m) == m.fingerprint
+        made = mapped_turns(F.col(record), m)
         layout = F.when(here, m.name) if layout is None else layout.when(here, m.name)
         turns = F.when(here, made) if turns is None else turns.when(here, made)
-    return df.withColumn("_print", record_fingerprint(F.col(record))).withColumns({"layout": layout, "turns": turns}).drop("_print")
+    return df.withColumns({"layout": layout, "turns": turns})
 
 
 def _message_of(m: Mapping):
@@ -182,17 +193,28 @@ def _unescape_role(role: Column) -> Column:
     return F.array_join(F.transform(F.split(unescape(role), r"\\\\"), lambda x: F.replace(x, F.lit("\\n"), F.lit("\n"))), "\\")
 
 
-def turn_rows(df: DataFrame, key: str = "conv_id", order: str = "turn") -> DataFrame:
-    """Turn rows (key, order, role, text) from a table whose own fingerprint is the ``turn_rows`` layout.
+def turn_rows(df: DataFrame, key: str = "conv_id", order: str = "turn", layouts=LAYOUTS) -> DataFrame:
+    """(key, ord, role, text): the turns of a table whose columns' fingerprint selects the mapping.
 
-    The table's field paths without key and order select the mapping, as a
-    record's do; extra columns are allowed and ignored.
+    The field paths of the table without key and order are looked up among
+    ``layouts`` as a record's are; extra columns are allowed and ignored, and a
+    table that no layout fits is an error.  A row of the ``turn_rows`` layout is a
+    turn; rows of other layouts are mapped as records, their turns standing
+    together at the row's place.  Null roles and texts are empty; an empty table
+    gives an empty one.
     """
-    wanted = LAYOUTS[0]
-    have = [p for p in schema_paths(df.schema) if p in wanted.paths]
-    if fingerprint_of(have) != wanted.fingerprint:
+    rest = [c for c in df.columns if c not in (key, order)]
+    m = select_layout(schema_paths(df.select([f"`{c}`" for c in rest]).schema), layouts)
+    if m is None:
         raise ValueError(f"no layout for columns {df.columns}")
-    return df.select(F.col(key).alias("key"), F.col(order).alias("ord"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    at = [F.col(key).alias("key"), F.col(order).alias("ord")]
+    if m.messages or m.fields:
+        own = F.struct(*[F.col(f"`{c}`") for c in rest if c in m.paths])
+        turns = mapped_turns(F.to_json(own, {"ignoreNullFields": "false"}), m)
+        rows = df.select(*at, F.posexplode(turns).alias("pos", "t")).select("key", F.struct("ord", "pos").alias("ord"), F.col("t.role").alias("role"), F.col("t.text").alias("text"))
+    else:
+        rows = df.select(*at, F.col(m.role).cast("string").alias("role"), F.col(m.text).cast("string").alias("text"))
+    return rows.select("key", "ord", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
 
 
 def format_rows(rows: DataFrame, trained: str = "assistant") -> DataFrame:

@@ -1,23 +1,27 @@
 """WARC archives and a globally ordered capture index.
 
-Captures are written as WARC 1.1 records by Spark's own text writer: a row is a
-record's header and payload, and the line separator is the blank lines that end
-every record, so archives land on any Hadoop file system, through its commit
-protocol.  Records whose payload another record holds are written as revisits
-without the payload.
+Captures are written as WARC 1.1 records, each a gzip member of its own, by Spark's
+own text writer: a row is a member without its last byte, and the line separator is
+that byte, so archives land on any Hadoop file system, through its commit protocol.
+A ``response`` record holds an HTTP response whose body is the payload; records
+whose payload another record holds are written as revisits without it.
 
 Reading takes whole archive files (their number of records is bounded when they
-are written), steps from record to record by Content-Length, and emits each
-archive's captures as one locally sorted *run*.  The index is an external merge:
-rows are dealt to ranges of (URL key, timestamp), and each range merges its k runs
-with a loser tree, which gives every URL's capture history in global order.
+are written), inflates one member at a time, and writes each archive's captures as
+one locally sorted *run*, with the byte offset at which its member can be read
+alone.  The index is an external merge: rows are dealt to ranges of (URL key,
+timestamp, page), and each range merges its k runs with a loser tree, which gives
+every URL's capture history in global order.
 """
 
 from __future__ import annotations
 
 import gzip
+import zlib
 from collections.abc import Iterator
+from itertools import islice
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
@@ -68,45 +72,80 @@ def _header(value: Column) -> Column:
     return F.replace(F.replace(F.replace(value, F.lit("%"), F.lit("%25")), F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
 
 
+def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each record as a gzip member without its last byte, 0.
+
+    That byte is the highest of the record's size, 0 below 16 MB; behind a larger
+    record stands an empty member, which ends in 0.
+    """
+    empty = gzip.compress(b"", mtime=0)
+    for b in batches:
+        for at in range(0, b.num_rows, 64):
+            out = []
+            for r in b.column(0).slice(at, 64).to_pylist():
+                m = gzip.compress(r, 6, mtime=0)
+                out.append((m + empty if m[-1] else m)[:-1])
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["value"])
+
+
 def write_archives(records: DataFrame, path: str, per_archive: int = 1000) -> None:
-    """Write WARC files of at most ``per_archive`` records under ``path``.
+    """Write WARC files of at most ``per_archive`` records under ``path``, each record a gzip member.
 
     The capture time is 2020-01-01 plus page_id seconds, as pages carry none.
+    Spark names the files ``part-*.txt``; their content is that of a ``.warc.gz``.
     """
     page = F.coalesce(F.col("page_id").cast("string"), F.lit("none"))
     ts = F.date_format(F.timestamp_seconds(F.lit(1577836800) + F.pmod(F.coalesce("page_id", F.lit(0)), F.lit(10**9))), "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    body = F.when(F.col("record_type") == "response", F.col("html")).otherwise("")
+    http = F.concat(F.lit(CRLF.join(["HTTP/1.1 200 OK", "Content-Type: text/html; charset=utf-8", "Content-Length: "])), F.col("payload_bytes").cast("string"), F.lit(CRLF * 2))
+    block = F.when(F.col("record_type") == "response", F.concat(http, F.col("html"))).otherwise("")
     lines = [
         F.lit("WARC/1.1"),
-        F.concat(F.lit("WARC-Type: "), F.when(F.col("record_type") == "response", "resource").otherwise("revisit")),
+        F.concat(F.lit("WARC-Type: "), F.col("record_type")),
         F.concat(F.lit("WARC-Record-ID: <urn:page:"), page, F.lit(">")),
         F.concat(F.lit("WARC-Date: "), ts),
         F.concat(F.lit("WARC-Target-URI: "), _header(F.coalesce("url", F.lit("")))),
         F.concat(F.lit("WARC-Payload-Digest: sha1:"), F.col("payload_digest")),
         F.concat(F.lit("X-Payload-Length: "), F.col("payload_bytes").cast("string")),
         F.when(F.col("record_type") == "revisit", F.concat(F.lit("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"), F.lit(CRLF), F.lit("WARC-Refers-To: <urn:page:"), F.col("refers_to").cast("string"), F.lit(">"))),
-        F.lit("Content-Type: text/html"),
-        F.concat(F.lit("Content-Length: "), F.octet_length(body).cast("string")),
+        F.lit("Content-Type: application/http; msgtype=response"),
+        F.concat(F.lit("Content-Length: "), F.octet_length(block).cast("string")),
     ]
-    record = F.concat(F.concat_ws(CRLF, *lines), F.lit(CRLF * 2), body)
-    records.select(record.alias("value")).write.option("maxRecordsPerFile", per_archive).option("compression", "gzip").option("lineSep", CRLF * 2).text(path)
+    record = F.concat(F.concat_ws(CRLF, *lines), F.lit(CRLF * 2), block, F.lit(CRLF * 2))
+    members = records.select(record.cast("binary").alias("value")).mapInArrow(_members, "value binary")
+    members.select(F.col("value").cast("string").alias("value")).write.option("maxRecordsPerFile", per_archive).option("compression", "none").option("lineSep", "\0").text(path)
+
+
+def _inflated(data: bytes) -> Iterator[tuple[int, bytes]]:
+    """(offset, content) of each gzip member, one at a time."""
+    view, at = memoryview(data), 0
+    while at < len(view):
+        member, pieces, to = zlib.decompressobj(31), [], at
+        while not member.eof:
+            if to >= len(view):
+                raise ValueError(f"gzip member at {at} is cut off")
+            pieces.append(member.decompress(view[to : to + (1 << 16)]))
+            to = min(len(view), to + (1 << 16))
+        yield at, b"".join(pieces)
+        at = to - len(member.unused_data)
 
 
 def parse_archive(data: bytes) -> Iterator[tuple[int, dict[str, str], bytes]]:
-    """(offset, headers, payload) of each record; raises on a malformed archive."""
-    at = 0
-    while at < len(data):
-        end = data.index(b"\r\n\r\n", at)
-        first, *rest = data[at:end].decode().split(CRLF)
+    """(offset, headers, payload) of each record, from an archive or from its bytes at any record's offset on; raises on a malformed one."""
+    for at, record in _inflated(data):
+        if not record:
+            continue
+        end = record.index(CRLF.encode() * 2)
+        first, *rest = record[:end].decode().split(CRLF)
         if not first.startswith("WARC/"):
             raise ValueError(f"no WARC record at {at}")
         head = dict(x.split(": ", 1) for x in rest)
-        body = end + 4
-        stop = body + int(head["Content-Length"])
-        if data[stop : stop + 4] != b"\r\n\r\n":
+        stop = end + 4 + int(head["Content-Length"])
+        if record[stop:] != CRLF.encode() * 2:
             raise ValueError(f"record at {at} is cut off")
-        yield at, head, data[body:stop]
-        at = stop + 4
+        body = end + 4
+        if body < stop and head["Content-Type"].startswith("application/http"):
+            body = record.index(CRLF.encode() * 2, body) + 4
+        yield at, head, record[body:stop]
 
 
 def _page(value: str | None) -> int | None:
@@ -114,7 +153,7 @@ def _page(value: str | None) -> int | None:
 
 
 def read_runs(spark, path: str) -> DataFrame:
-    """One sorted run of captures for each archive; each payload's digest and length are checked."""
+    """One run of captures for each archive, sorted by URL key, time and page; each payload's digest and length are checked."""
     import base64
     import hashlib
 
@@ -122,9 +161,9 @@ def read_runs(spark, path: str) -> DataFrame:
         for rb in batches:
             for name, content in zip(rb.column(0).to_pylist(), rb.column(1)):
                 rows = []
-                for offset, head, body in parse_archive(gzip.decompress(content.as_py())):
+                for offset, head, body in parse_archive(content.as_py()):
                     digest, size = head["WARC-Payload-Digest"].removeprefix("sha1:"), int(head["X-Payload-Length"])
-                    kind = "revisit" if head["WARC-Type"] == "revisit" else "response"
+                    kind = head["WARC-Type"]
                     if kind == "response" and (len(body) != size or base64.b32encode(hashlib.sha1(body).digest()).decode() != digest):
                         raise ValueError(f"{name} at {offset}: payload differs from its digest")
                     uri = head["WARC-Target-URI"].replace("%0A", "\n").replace("%0D", "\r").replace("%25", "%")
@@ -133,11 +172,11 @@ def read_runs(spark, path: str) -> DataFrame:
                     kinds = (pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64())
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["ts", "page_id", "url", "record_type", "payload_bytes", "payload_digest", "refers_to", "archive", "offset"])
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("path", "content")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
     schema = ", ".join(x.strip() for x in INDEX.split(", ") if not x.startswith("url_key"))
     captures = files.mapInArrow(per_batch, schema)
     cols = [x.split()[0] for x in INDEX.split(", ")]
-    return captures.withColumn("url_key", url_key(F.col("url"))).select(cols)
+    return captures.withColumn("url_key", url_key(F.col("url"))).select(cols).sortWithinPartitions("archive", "url_key", "ts", "page_id", "offset")
 
 
 class LoserTree:
@@ -179,7 +218,8 @@ def merge_runs(runs: DataFrame, partitions: int | None = None) -> DataFrame:
     """Globally ordered captures: range by (url_key, ts, page_id), then a loser-tree merge in each range.
 
     A URL with most of the captures is cut by time and page over many ranges.
-    Each range holds the index entries of one task, not payloads.
+    Each range holds the index entries of one task, not payloads.  Dealing mixes
+    the runs' rows, so each run's share of a range is sorted again where it arrives.
     """
     spark = runs.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -208,15 +248,10 @@ def merge_runs(runs: DataFrame, partitions: int | None = None) -> DataFrame:
         for run in held.values():
             runs_.append(entries(first, first + len(run)))
             first += len(run)
-        tree = LoserTree(runs_)
-        tree_rows = []
-        for entry in tree:
-            tree_rows.append([c[entry[5]].as_py() for c in parts[entry[4]].columns])
-            if len(tree_rows) == 4096:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*tree_rows), schema)], schema=schema)
-                tree_rows = []
-        if tree_rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*tree_rows), schema)], schema=schema)
+        rows, starts = pa.Table.from_batches(parts, schema), np.cumsum([0, *map(len, parts)])
+        merged = iter(LoserTree(runs_))
+        while some := list(islice(merged, 4096)):
+            yield from rows.take(pa.array([starts[e[4]] + e[5] for e in some])).combine_chunks().to_batches()
 
     return dealt.mapInArrow(per_partition, INDEX)
 

@@ -1,8 +1,10 @@
 """Small cases with nulls, empty and very long texts, repeated rows and clashing columns, against plain Python."""
 
+import gzip
 import hashlib
 import random
 import re
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -143,6 +145,32 @@ def test_chat(spark):
     assert [(t.role, t.text) for t in got[2].turns] == [("user", "p"), ("assistant", "")]
 
 
+def test_chat_layouts_by_fingerprint(spark):
+    recs = [
+        (1, '{"messages":[]}', "messages", []),
+        (2, '{"id":7,"messages":[{"role":"user","content":"a","name":"n"},{"role":"bot","content":null}]}', "messages", [("user", "a"), ("assistant", "")]),
+        (3, '{"prompt":"p","response":"r","system":null,"source":{"x":1}}', "system_prompt_response", [("user", "p"), ("assistant", "r")]),
+        (4, '{"messages":null,"prompt":"p","response":"r"}', "prompt_response", [("user", "p"), ("assistant", "r")]),
+        (5, '{"messages":"x"}', None, None),
+        (6, "[1]", None, None),
+        (7, "", None, None),
+        (8, '{"turns":[{"role":"user","text":"' + "y " * 50_000 + '"}]}', "dialog_text", [("user", "y " * 50_000)]),
+    ]
+    df = spark.createDataFrame([(i, r, "mine", 1) for i, r, _, _ in recs], "id long, record string, layout string, _print long")
+    got = chat.canonical_records(df)
+    assert got.columns == ["id", "record", "layout", "_print", "turns"]
+    rows = {r.id: r for r in got.collect()}
+    for i, _, layout, turns in recs:
+        assert rows[i].layout == layout
+        assert turns is None and rows[i].turns is None or [(t.role, t.text) for t in rows[i].turns] == turns
+    assert chat.canonical_records(df.limit(0)).count() == 0
+    table = spark.createDataFrame([(1, 2, "q2", None), (1, 1, "q1", "a1")], "conv_id long, turn long, question string, answer string").withColumn("more", F.lit(0))
+    out = chat.format_rows(chat.turn_rows(table)).select(chat.read_back(F.col("formatted")).alias("t")).first().t
+    assert [(t.role, t.text) for t in out] == [("user", "q1"), ("assistant", "a1"), ("user", "q2"), ("assistant", "")]
+    with pytest.raises(ValueError):
+        chat.turn_rows(table.drop("answer"))
+
+
 def test_substrings(docs, spark):
     got = {r.doc_id: r for r in substrings.dedup_substrings(docs).collect()}
     seen = {}
@@ -162,10 +190,16 @@ def test_substrings(docs, spark):
 
 def test_warc(spark, tmp_path):
     pages = [(1, "http://a.example/x?y=1#z", "p"), (2, "http://www.a.example/x", "p"), (3, None, None), (4, "u\r\n", ""), (5, "http://b.example", "WARC/1.1\r\n\r\n\r\n\r\nü"), (None, "http://c", "p")]
-    index, _ = warc.archive_pages(spark.createDataFrame(pages, "page_id long, url string, html string"), per_archive=2)
+    index, folder = warc.archive_pages(spark.createDataFrame(pages, "page_id long, url string, html string"), per_archive=2)
     got = index.collect()
     kinds = {r.page_id: (r.record_type, r.refers_to, r.payload_bytes) for r in got}
     assert kinds == {1: ("revisit", 2, 1), 2: ("response", None, 1), 3: ("revisit", 4, 0), 4: ("response", None, 0), 5: ("response", None, 18), None: ("revisit", 2, 1)}
+    for r in got:  # every offset is where its record can be read alone
+        data = (Path(folder.removeprefix("file://")) / r.archive).read_bytes()
+        assert gzip.decompress(data).startswith(b"WARC/1.1")
+        _, head, body = next(warc.parse_archive(data[r.offset :]))
+        assert head["WARC-Type"] == r.record_type and head["WARC-Payload-Digest"] == f"sha1:{r.payload_digest}"
+        assert body.decode() == ("" if r.record_type == "revisit" else {p: h or "" for p, _, h in pages}[r.page_id])
     order = index.withColumn("_p", F.spark_partition_id()).collect()
     keys = [(r._p, r.url_key, r.ts) for r in order]
     assert keys == sorted(keys) and [k[1:] for k in keys] == sorted(k[1:] for k in keys)
@@ -173,6 +207,16 @@ def test_warc(spark, tmp_path):
     assert list(warc.LoserTree([iter(r) for r in runs])) == sorted(x for r in runs for x in r)
 
 
+def test_warc_long_repeated_and_empty(spark):
+    schema = "page_id long, url string, html string"
+    long = "".join(RNG.choices("abcdefgh ", k=1 << 20)) * 17  # over 16 MB: the member's size ends in a byte that isn't 0
+    rows = [(1, "http://a", long), (2, "http://a", "x"), (2, "http://a", "x"), (3, "http://b", None)]
+    pages = spark.createDataFrame(rows, schema).withColumns({"offset": F.lit(0), "archive": F.lit("mine")})
+    got = sorted((r.page_id, r.record_type, r.payload_bytes) for r in warc.archive_pages(pages)[0].collect())
+    assert got == [(1, "response", len(long)), (2, "response", 1), (2, "response", 1), (3, "response", 0)]
+    assert warc.archive_pages(spark.createDataFrame([], schema))[0].count() == 0
+
+
 @pytest.mark.parametrize("bound", [200_000, 0])
 def test_decontaminate(docs, spark, bound):
     items = [(1, PASSAGE), (2, "W1 w2"), (3, None), (4, "!!"), (10, "nowhere at all")]

@@ -21,7 +21,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import islice
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -30,15 +30,26 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from spindrift.llm.words import BYTE_BASE, in_blocks, mix, span_hashes
 from spindrift.plans.scratch import Scratch
 
 PIECES = "piece_id long, doc_id long, piece int, start long, length int, place long, ids_crc32 long, ids binary"
 #: Tasks number their pieces from ``task << SHIFT``.
 SHIFT = 33
-#: Blanks and what follows up to the next blank; a word of the tokenizer's pattern never crosses such a cut.
-CHUNK = re.compile(r"[ \t\r\n]*[^ \t\r\n]+|[ \t\r\n]+")
-#: Other characters that a library may take for white space; texts that hold one are not cut.
-OTHER_SPACE = re.compile("[\\x0b\\x0c\\x1c-\\x1f\\x85\\xa0\\u1680\\u180e\\u2000-\\u200f\\u2028-\\u202f\\u205f-\\u2064\\u3000\\ufeff]")
+#: Classes of bytes: blanks, letters, and marks that end a run of letters.
+_BLANK, _LETTER, _MARK = 1, 2, 3
+_CLASS = np.zeros(256, dtype=np.uint8)
+_CLASS[list(b" \t\r\n")] = _BLANK
+_CLASS[list(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")] = _LETTER
+_CLASS[list(b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~")] = _MARK  # all ASCII punctuation but the apostrophe, which starts words of its own
+#: Other characters that a library may take for white space (UTF-8); texts that hold one are not cut.
+OTHER_SPACE = re.compile(rb"[\x0b\x0c\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe1\xa0\x8e|\xe2\x80[\x80-\x8f\xa8-\xaf]|\xe2\x81[\x9f-\xa4]|\xe3\x80\x80|\xef\xbb\xbf")
+#: The bytes that these start with.
+LEADS = re.compile(rb"[\x0b\x0c\x1c-\x1f\xc2\xe1\xe2\xe3\xef]")
+#: Where a long text may be parted: before a blank that follows something else.
+PART = re.compile(rb"[^ \t\r\n](?=[ \t\r\n])")
+BLOCK = 2 << 20
+_MIXED = mix(np.arange(1, 257, dtype=np.uint64))
 
 
 def _room(a: np.ndarray, n: int) -> np.ndarray:
@@ -51,23 +62,37 @@ class _Known(dict):
 
     def __init__(self) -> None:
         super().__init__()
-        self.new: list[str] = []
+        self.new: list[bytes] = []
 
-    def __missing__(self, chunk: str) -> int:
+    def __missing__(self, chunk: bytes) -> int:
         self[chunk] = number = len(self)
         self.new.append(chunk)
         return number
 
 
+def _distinct(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(one of each distinct span, for each span the place of its own in the first), spans equal byte for byte."""
+    order = np.argsort(hashes := span_hashes(_MIXED[data], starts, ends, BYTE_BASE), kind="stable")
+    fresh = np.concatenate(([True], hashes[order][1:] != hashes[order][:-1]))
+    group = np.empty(len(starts), dtype=np.int64)
+    group[order] = np.cumsum(fresh) - 1
+    one, n = order[fresh], ends - starts
+    like = starts[one][group]
+    same = (ends[one][group] - like == n).all() and (data == data[np.repeat(like - starts, n) + np.arange(len(data))]).all()
+    return (one, group) if same else (np.arange(len(starts)), np.arange(len(starts)))  # two chunks of one hash: each span for itself
+
+
 class Encoder:
-    """Token ids of texts; remembers the ids of chunks and words met before.
+    """Token ids of texts; remembers the ids of chunks met before.
 
-    The byte-level pattern ends a word wherever blanks follow something else, so a
-    text's ids are those of its chunks one after another, and a chunk's those of its
-    words.  ``room`` bounds the characters of the chunks remembered.
+    The byte-level pattern ends a word wherever blanks follow something else, and
+    where an ASCII mark but the apostrophe follows a Latin letter, so a text's ids are those of the
+    chunks between one after another, and a chunk's those of its words.  A block of
+    texts is cut, and its distinct chunks are found, in numpy.  ``room`` bounds the
+    bytes of the chunks remembered.
     """
 
-    def __init__(self, path: str, room: int = 12_000_000):
+    def __init__(self, path: str, room: int = 24_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks share the cores already
         from tokenizers import Tokenizer
 
@@ -76,64 +101,84 @@ class Encoder:
         if self.tokenizer.normalizer is not None:
             raise ValueError(f"{path} changes texts before it cuts them")
         self.words, self.model = self.tokenizer.pre_tokenizer.pre_tokenize_str, self.tokenizer.model
+        # how the model's alphabet writes the bytes of characters up to U+00FF
+        self.alphabet = {b: w for c in map(chr, range(32, 256)) for b, w in zip(c.encode(), "".join(x for x, _ in self.words(c)))}
         self.room = room
         self._forget()
 
     def _forget(self) -> None:
-        self.known, self.of_word = _Known(), {}
+        self.known = _Known()
         self.held = self.size = 0
         self.flat, self.first, self.count = np.zeros(1 << 20, dtype=np.uint32), np.zeros(1 << 16, dtype=np.int64), np.zeros(1 << 16, dtype=np.int64)
 
-    def _word_ids(self, word: str) -> tuple[int, ...]:
-        if (ids := self.of_word.get(word)) is None:
-            ids = self.of_word[word] = tuple([t.id for t in self.model.tokenize(word)])
-        return ids
+    def _ids(self, chunk: bytes) -> list[int]:
+        """A chunk of Latin letters, with or without one space before, is one word; others are cut by the tokenizer's pattern."""
+        text = chunk.decode()
+        letters = (text[1:] if chunk[0] == 32 else text).isalpha() and max(text) < "\u0100"
+        words = (chunk.decode("latin-1").translate(self.alphabet),) if letters else [w for w, _ in self.words(text)]
+        return [t.id for w in words for t in self.model.tokenize(w)]
 
     def _learn(self) -> None:
-        """The ids of the new chunks; those that start with a blank and end without one are cut into words in one go."""
+        """Take up the ids of the new chunks."""
         new, self.known.new = self.known.new, []
-        joined = [c[0] in " \t\r\n" and c[-1] not in " \t\r\n" for c in new]
-        words, at, end = iter(self.words("".join(c for c, j in zip(new, joined) if j))), 0, 0
-        flat: list[int] = []
-        sizes = np.zeros(len(new), dtype=np.int64)
-        for k, (c, j) in enumerate(zip(new, joined)):
-            before = len(flat)
-            if j:
-                end += len(c)
-                while at < end:
-                    word, (_, at) = next(words)
-                    flat += self._word_ids(word)
-            else:
-                for word, _ in self.words(c):
-                    flat += self._word_ids(word)
-            sizes[k] = len(flat) - before
-            self.held += len(c)
+        ids = list(map(self._ids, new))
+        flat, count = np.fromiter(chain.from_iterable(ids), dtype=np.uint32), np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
         self.flat = _room(self.flat, self.size + len(flat))
         self.flat[self.size : self.size + len(flat)] = flat
         k, n = len(self.known) - len(new), len(self.known)
         self.first, self.count = _room(self.first, n), _room(self.count, n)
-        self.first[k:n], self.count[k:n] = self.size + np.cumsum(sizes) - sizes, sizes
+        self.first[k:n], self.count[k:n] = self.size + np.cumsum(count) - count, count
         self.size += len(flat)
+        self.held += sum(map(len, new))
 
-    def _of(self, chunks: list[str]) -> np.ndarray:
+    def _block(self, parts: list[bytes]) -> list[np.ndarray]:
+        """The ids of each of some texts that aren't empty."""
         if self.held > self.room:
             self._forget()
-        at = np.fromiter(map(self.known.__getitem__, chunks), dtype=np.int64, count=len(chunks))
+        joined = b"".join(parts)
+        data, sizes = np.frombuffer(joined, dtype=np.uint8), np.fromiter(map(len, parts), dtype=np.int64, count=len(parts))
+        kind = _CLASS[data]
+        kind[1:][(data[:-1] == 0xC3) & (data[1:] != 0x97) & (data[1:] != 0xB7)] = _LETTER  # the last bytes of U+00C0 to U+00FF but for two signs
+        before = np.concatenate(([0], kind[:-1])).astype(np.uint8)
+        cut = ((kind == _BLANK) & (before != _BLANK)) | ((kind == _MARK) & (before == _LETTER))
+        at = np.cumsum(sizes) - sizes
+        cut[at] = True
+        starts = np.flatnonzero(cut)
+        ends = np.append(starts[1:], len(data))
+        one, group = _distinct(data, starts, ends)
+        number = np.fromiter(map(self.known.__getitem__, [joined[a:z] for a, z in zip(starts[one].tolist(), ends[one].tolist())]), dtype=np.int64, count=len(one))
         if self.known.new:
             self._learn()
-        n = self.count[at]
-        before = np.cumsum(n) - n
-        return self.flat[np.repeat(self.first[at] - before, n) + np.arange(int(n.sum()))]
-
-    def __call__(self, text: str) -> np.ndarray:
-        if OTHER_SPACE.search(text):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
-        if len(text) < 1 << 20:
-            return self._of(CHUNK.findall(text))
-        found, parts = (m.group() for m in CHUNK.finditer(text)), []
-        while some := list(islice(found, 50_000)):
-            parts.append(self._of(some))
-        return np.concatenate(parts)
+        n = self.count[number][group]
+        to = np.cumsum(n)
+        ids = self.flat[np.repeat(self.first[number][group] - (to - n), n) + np.arange(int(to[-1]))]
+        return np.split(ids, (to - n)[np.searchsorted(starts, at[1:])])
+
+    def __call__(self, texts: list[bytes]) -> list[np.ndarray]:
+        """The ids of each text (UTF-8)."""
+        found: list[list[np.ndarray]] = [[] for _ in texts]
+        held, mine, size = [], [], 0
+        for i, text in enumerate(texts):
+            if LEADS.search(text) and OTHER_SPACE.search(text):
+                found[i].append(np.array(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, dtype=np.uint32))
+                continue
+            at = 0
+            while at < len(text):
+                end = len(text)
+                if end - at > BLOCK and (m := PART.search(text, at + BLOCK)):
+                    end = m.end()
+                held.append(text[at:end])
+                mine.append(i)
+                size += end - at
+                at = end
+                if size >= BLOCK:
+                    for k, ids in zip(mine, self._block(held)):
+                        found[k].append(ids)
+                    held, mine, size = [], [], 0
+        if held:
+            for k, ids in zip(mine, self._block(held)):
+                found[k].append(ids)
+        return [x[0] if len(x) == 1 else np.concatenate([*x, np.zeros(0, dtype=np.uint32)]).astype(np.uint32) for x in found]
 
 
 _encoders: dict[str, Encoder] = {}
@@ -162,18 +207,21 @@ def _pieces(path: str, size: int):
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
         for b in batches:
-            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                ids = np.append(encode(text or ""), np.uint32(0)).astype("<u4")
-                starts = piece_starts(len(ids), size)
-                for i, (at, end) in enumerate(zip(starts, [*starts[1:], len(ids)])):
-                    data = ids[at:end].tobytes()
-                    rows.append((number, doc_id, i, at, end - at, placed[end - at], zlib.crc32(data), data))
-                    placed[end - at] += 1
-                    number += 1
-                    held += len(data)
-                    if held > 1 << 23:
-                        yield flush()
-                        rows, held = [], 0
+            texts = [t or b"" for t in b.column(1).cast(pa.binary()).to_pylist()]
+            doc_ids = b.column(0).to_pylist()
+            for lo, some in in_blocks(texts, 4 * BLOCK):
+                for doc_id, own in zip(doc_ids[lo : lo + len(some)], encode(some)):
+                    ids = np.append(own, np.uint32(0)).astype("<u4")
+                    starts = piece_starts(len(ids), size)
+                    for i, (at, end) in enumerate(zip(starts, [*starts[1:], len(ids)])):
+                        data = ids[at:end].tobytes()
+                        rows.append((number, doc_id, i, at, end - at, placed[end - at], zlib.crc32(data), data))
+                        placed[end - at] += 1
+                        number += 1
+                        held += len(data)
+                        if held > 1 << 23:
+                            yield flush()
+                            rows, held = [], 0
         if rows:
             yield flush()
 

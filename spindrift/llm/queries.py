@@ -2,6 +2,7 @@
 
 from spindrift.llm.chat import OP2_SQL, op2_chat_format
 from spindrift.llm.codes import OP11_SQL, op11_vector_codes
+from spindrift.llm.collocations import OP12_SQL, op12_collocations
 from spindrift.llm.decontaminate import OP5_SQL, op5_decontaminate
 from spindrift.llm.embeddings import op7_embedding_dedup
 from spindrift.llm.language import op8_language_id
@@ -25,6 +26,7 @@ QUERIES = {
     "op9_source_mix": op9_source_mix,
     "op10_license_scan": op10_license_scan,
     "op11_vector_codes": op11_vector_codes,
+    "op12_collocations": op12_collocations,
     "op13_packing": op13_packing,
 }
 
@@ -35,4 +37,5 @@ ORACLE_SQL: dict[str, str] = {
     "op5_decontaminate": OP5_SQL,
     "op6_line_dedup": OP6_SQL,
     "op11_vector_codes": OP11_SQL,
+    "op12_collocations": OP12_SQL,
 }

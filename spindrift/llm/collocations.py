@@ -254,10 +254,11 @@ total AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM pieces GROUP BY lan
 grams AS MATERIALIZED (
   SELECT lang, s, array_to_string(w[i:i + s - 1], ' ') AS gram, count(*) AS f FROM pieces, range(1, 5) z(s), unnest(range(1, greatest(len(w) - s + 2, 1))) t(i) GROUP BY ALL HAVING count(*) >= 30),
 cand AS (SELECT lang, s, gram AS phrase, string_split(gram, ' ') AS w, f AS a FROM grams WHERE s > 1),
+parts AS MATERIALIZED (
+  SELECT lang, s, phrase, a, k, array_to_string(w[1:k], ' ') AS one, array_to_string(w[k + 1:], ' ') AS two FROM cand, range(1, 4) t(k) WHERE k < s),
 cuts AS (
-  SELECT c.lang, c.s, phrase, c.w, a, k, x.f AS l, y.f AS r, CAST((2000000 * CAST(a AS HUGEINT)) // (x.f + y.f) AS BIGINT) AS score
-  FROM cand c, range(1, 4) t(k), grams x, grams y
-  WHERE k < c.s AND x.lang = c.lang AND x.gram = array_to_string(c.w[1:k], ' ') AND y.lang = c.lang AND y.gram = array_to_string(c.w[k + 1:], ' ')),
+  SELECT p.lang, p.s, p.phrase, p.a, p.k, x.f AS l, y.f AS r, CAST((2000000 * CAST(p.a AS HUGEINT)) // (x.f + y.f) AS BIGINT) AS score
+  FROM parts p JOIN grams x ON x.lang = p.lang AND x.gram = p.one JOIN grams y ON y.lang = p.lang AND y.gram = p.two),
 low AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
 inner_ AS (SELECT lang, array_to_string(w[i:i + z - 1], ' ') AS phrase, max(a) AS longer FROM cand, range(2, 4) q(z), range(1, 4) t(i) WHERE z < s AND i <= s - z + 1 GROUP BY ALL),
 kept AS (SELECT low.* FROM low LEFT JOIN inner_ USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 80 * a)

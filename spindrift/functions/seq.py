@@ -50,6 +50,13 @@ def hamming(a: Column, b: Column, both_strands: bool = False) -> Column:
     return F.when(F.length(a) == F.length(b), d)
 
 
+def one_hot(col: Column) -> Column:
+    """Each base of a sequence as one of four bits, 15 bases a long; null for sequences of other letters and empty ones."""
+    coded = F.translate(col, BASES, "1248")
+    parts = F.sequence(F.lit(0), F.floor((F.length(col) - 1) / 15).cast("int"))
+    return F.when(col.rlike(f"^[{BASES}]+$"), F.transform(parts, lambda i: F.conv(F.substr(coded, i * 15 + 1, F.lit(15)), 16, 10).cast("long")))
+
+
 def difference(a: Column, b: Column) -> Column:
     """'|' where two strings agree and '-' where they differ."""
     n = F.least(F.length(a), F.length(b))

@@ -21,12 +21,32 @@ CONTROL_SITES = ("target-wt-control", "target-water-control", "injection-water-c
 # --- reads -------------------------------------------------------------------
 
 
-def aggregate_reads(df: DataFrame, columns=("sequence", "source"), min_reads: int = 1) -> DataFrame:
-    """Identical reads counted as ``read_count``; rows with a null key are not counted."""
-    out = df.na.drop(subset=list(columns)).groupBy(*columns).agg(F.count(F.lit(1)).alias("read_count"))
+def aggregate_reads(df: DataFrame, columns=("sequence", "source"), min_reads: int = 1, recover: tuple[str, ...] = ()) -> DataFrame:
+    """Identical reads counted as ``read_count``; rows with a null key are not counted.
+
+    ``recover`` names other columns to keep: those of one row of the key, the smallest
+    of them taken together, so a rerun keeps the same.
+    """
+    more = [F.min(F.struct(*recover)).alias("_one")] if recover else []
+    out = df.na.drop(subset=list(columns)).groupBy(*columns).agg(F.count(F.lit(1)).alias("read_count"), *more)
+    out = out.select(*columns, "read_count", *[F.col(f"_one.{c}").alias(c) for c in recover]) if recover else out
     return out.where(F.col("read_count") >= min_reads) if min_reads > 1 else out
 
 
+def set_read_counts(df: DataFrame, column: str = "sequence") -> DataFrame:
+    """Every row with ``read_count``, how many rows have its value; rows without one have none.
+
+    Counts are made before they meet the rows, so a frequent value is summed up in parts.
+    """
+    counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("_value")).agg(F.count(F.lit(1)).alias("read_count"))
+    return df.drop("read_count").join(counts, F.col(column) == F.col("_value"), "left").drop("_value")
+
+
+def sum_counts(df: DataFrame, by: tuple[str, ...] = ("label", "sequence")) -> DataFrame:
+    """Reads and molecules of collapsed sequences added up: (by, read_count, umi_count)."""
+    return df.groupBy(*by).agg(F.sum("read_count").alias("read_count"), F.sum("umi_count").alias("umi_count"))
+
+
 def reaggregate_reads(df: DataFrame, column: str = "sequence", ordered: bool = False) -> DataFrame:
     """Counts of already counted reads added up over all sources."""
     out = df.na.drop(subset=[column]).groupBy(column).agg(F.sum("read_count").alias("read_count"))
@@ -69,6 +89,16 @@ def keep_expected(df: DataFrame, expected: DataFrame, tube: str = "ourtube", pri
     return df.join(want, (F.lower(df[tube]) == F.col("_t")) & (F.lower(df[primer]) == F.col("_p")), "left_semi")
 
 
+def keep_sheet_ssi(df: DataFrame, samples: DataFrame, barcodes: DataFrame, column: str = "ssi", tube: str = "ourtube") -> DataFrame:
+    """Rows whose sample barcode is that of the sample which the sheet has in their tube; rows of tubes that it lacks stay.
+
+    Tubes compare without case; of several samples in one tube the smallest label counts.
+    """
+    held = samples.join(barcodes.select("label", F.col("ssi").alias("_ssi")), "label", "left").groupBy(F.lower(tube).alias("_tube")).agg(F.min_by("_ssi", "label").alias("_ssi"), F.lit(True).alias("_held"))
+    out = df.join(held, F.lower(tube) == F.col("_tube"), "left")  # one row a tube; Spark broadcasts it while it is small
+    return out.where(F.col("_held").isNull() | (F.col(column) == F.col("_ssi"))).select(df.columns)
+
+
 # --- read table --------------------------------------------------------------
 
 
@@ -182,16 +212,12 @@ def edit_edges(seqs: DataFrame, max_distance: int = 3) -> DataFrame:
     """
     d, k = max_distance, max_distance + 1
     some = seqs.where("seq is not null").select("grp", "seq", F.length("seq").alias("len"))
-    start = lambda size, i: f"int({i} * ({size}) div {k})"
-    index = ", ".join(f"struct({i} as i, substring(seq, {start('len', i)} + 1, {start('len', i + 1)} - {start('len', i)}) as x)" for i in range(k))
-    own = some.select("grp", F.col("seq").alias("s"), F.col("len").alias("n"), F.explode(F.expr(f"array({index})")).alias("e")).select("grp", "s", "n", "e.i", "e.x")
-    probes = ", ".join(
-        f"struct(len - {less} as n, {i} as i, if({start(f'len - {less}', i)} + {shift} >= 0, substring(seq, {start(f'len - {less}', i)} + {shift} + 1, {start(f'len - {less}', i + 1)} - {start(f'len - {less}', i)}), null) as x)"
-        for less in range(d + 1)
-        for i in range(k)
-        for shift in range(-d, d + 1)
-    )
-    other = some.select("grp", F.col("seq").alias("t"), F.col("len").alias("m"), F.explode(F.array_distinct(F.expr(f"array({probes})"))).alias("e")).select("grp", "t", "m", "e.n", "e.i", "e.x").where("x is not null and n >= 0")
+    start = lambda size, i: f"int(({i}) * ({size}) div {k})"
+    own = some.select("grp", F.col("seq").alias("s"), F.col("len").alias("n"), F.posexplode(F.expr(f"transform(sequence(0, {d}), i -> substring(seq, {start('len', 'i')} + 1, {start('len', 'i + 1')} - {start('len', 'i')}))")).alias("i", "x"))
+    # one small expression over the places to try, not one for each of them
+    tries = F.broadcast(seqs.sparkSession.createDataFrame([(less, i, shift) for less in range(d + 1) for i in range(k) for shift in range(-d, d + 1)], "less int, i int, shift int"))  # (d + 1)^2 (2 d + 1) rows
+    placed = some.crossJoin(tries).withColumn("n", F.col("len") - F.col("less")).where("n >= 0").withColumn("_at", F.expr(f"{start('n', 'i')} + shift")).where("_at >= 0")
+    other = placed.select("grp", F.col("seq").alias("t"), F.col("len").alias("m"), "n", "i", F.expr(f"substring(seq, _at + 1, {start('n', 'i + 1')} - {start('n', 'i')})").alias("x")).distinct()
     met = own.alias("l").join(other.alias("r"), [F.col("l.grp").eqNullSafe(F.col("r.grp")), F.col("l.n") == F.col("r.n"), F.col("l.i") == F.col("r.i"), F.col("l.x") == F.col("r.x"), F.expr("l.n < r.m or l.s < r.t")])
     out = met.select(F.col("l.grp").alias("grp"), F.least("s", "t").alias("a"), F.greatest("s", "t").alias("b")).distinct()
     return out.withColumn("distance", F.levenshtein("a", "b", d)).where(F.col("distance").between(1, d))
@@ -238,22 +264,6 @@ def component_stats(seqs: DataFrame, comps: DataFrame, edges: DataFrame) -> Data
     return agg.select("grp", "comp", "size", "n_edges", F.col("d.v").alias("max_degree"), F.col("d.s").alias("max_degree_seq"), F.col("c.v").alias("max_count"), F.col("c.s").alias("max_count_seq"))
 
 
-def component_spread(comps: DataFrame, max_distance: int = 3, budget: int = 4000) -> DataFrame:
-    """n_seq, max_ham, n_pairs, n_exceed and good_prop over all pairs within each component.
-
-    A component's pairs are what is asked for; components above ``budget``
-    sequences raise an error rather than being cut.
-    """
-    big = comps.groupBy("grp", "comp").agg(F.count(F.lit(1)).alias("n_seq"))
-    worst = big.agg(F.max("n_seq")).first()[0] or 0
-    if worst > budget:
-        raise ValueError(f"a component has {worst} sequences; raise budget to compare all its pairs")
-    a, b = comps.select("grp", "comp", F.col("seq").alias("a")), comps.select("grp", "comp", F.col("seq").alias("b"))
-    pairs = a.join(b, ["grp", "comp"]).where("a < b").withColumn("d", hamming(F.col("a"), F.col("b")))
-    agg = pairs.groupBy("grp", "comp").agg(F.max("d").alias("max_ham"), F.count(F.lit(1)).alias("n_pairs"), F.count_if(F.col("d") > max_distance).alias("n_exceed"))
-    return big.join(agg, ["grp", "comp"]).withColumn("good_prop", 1 - F.col("n_exceed") / F.col("n_pairs"))
-
-
 def node_degree(edges: DataFrame) -> DataFrame:
     """(grp, node, degree)."""
     ends = edges.select("grp", F.col("a").alias("node")).unionAll(edges.select("grp", F.col("b").alias("node")))
@@ -265,28 +275,6 @@ def component_sizes(comps: DataFrame) -> DataFrame:
     return comps.groupBy("grp", "comp").agg(F.count(F.lit(1)).alias("size")).groupBy("size").agg(F.count(F.lit(1)).alias("n"))
 
 
-def component_diameter(edges: DataFrame, comps: DataFrame) -> DataFrame:
-    """(grp, comp, diameter) by breadth-first search from every node of a component; the one step that needs Python."""
-    import pandas as pd
-
-    def longest(key, g: pd.DataFrame) -> pd.DataFrame:
-        near: dict[str, list[str]] = {}
-        for a, b in zip(g["a"], g["b"]):
-            near.setdefault(a, []).append(b)
-            near.setdefault(b, []).append(a)
-        best = 0
-        for s in near:
-            seen, front, depth = {s}, [s], 0
-            while front:
-                front = [y for x in front for y in near[x] if not (y in seen or seen.add(y))]
-                depth += bool(front)
-            best = max(best, depth)
-        return pd.DataFrame({"grp": [key[0]], "comp": [key[1]], "diameter": [best]})
-
-    inside = edges.join(comps, (edges["grp"] == comps["grp"]) & (edges["a"] == comps["seq"])).select(edges["grp"], "comp", "a", "b")
-    return inside.groupBy("grp", "comp").applyInPandas(longest, "grp string, comp string, diameter int")
-
-
 # --- counts ------------------------------------------------------------------
 
 
@@ -296,8 +284,8 @@ def vbc_table(df: DataFrame, extra=("brain", "site")) -> DataFrame:
 
 
 def merge_samples(df: DataFrame) -> DataFrame:
-    """All samples as one."""
-    return df.withColumns({"rtprimer": F.lit("100"), "label": F.lit("BC100")})
+    """All samples as one, in every column that names a sample, its tube or its region."""
+    return df.withColumns({"rtprimer": F.lit("100"), "label": F.lit("BC100"), "ourtube": F.lit("100"), "region": F.lit("100")})
 
 
 def keep_any_above(df: DataFrame, least: int, key=("brain", "vbc_read"), value: str = "umi_count", strict: bool = False) -> DataFrame:
@@ -323,12 +311,15 @@ def controls_of(df: DataFrame, include_lone: bool = False) -> DataFrame:
 
 
 def copy_controls(df: DataFrame, include_lone: bool = False) -> DataFrame:
-    """Every control row in every brain, each once, beside the brains' own rows; rows of no brain are left only as copies."""
-    brains = df.where("brain <> ''").select("brain").distinct()
-    copies = controls_of(df, include_lone).drop("brain").crossJoin(F.broadcast(brains)).select(df.columns)  # one row a brain
-    own = df.where(F.col("brain") != "")
-    control = F.col("site").isin(*CONTROL_SITES)
-    return own.where(~control).unionByName(own.where(control).unionByName(copies).distinct())
+    """Every control row in every brain, each once, beside the brains' own rows; rows of no brain are left only as copies.
+
+    L1 samples that aren't copied stay in their own brain.
+    """
+    own = df.where("brain <> ''")
+    brains = F.broadcast(own.agg(F.collect_set("brain").alias("_brains")))  # one row: the sheet's brains
+    copies = controls_of(df, include_lone).drop("brain").distinct().crossJoin(brains).withColumn("brain", F.explode("_brains")).select(df.columns)
+    out = own.where(~F.col("site").isin(*CONTROL_SITES)).unionByName(copies)
+    return out if include_lone else out.unionByName(own.where("site = 'target-lone'").distinct())
 
 
 def control_readout(df: DataFrame, target_min: int = 2, include_lone: bool = False) -> DataFrame:
@@ -336,6 +327,49 @@ def control_readout(df: DataFrame, target_min: int = 2, include_lone: bool = Fal
     return controls_of(df, include_lone).where((F.col("type") == "spike") | ((F.col("type") == "real") & (F.col("umi_count") >= target_min)))
 
 
+def barcode_levels(df: DataFrame, target_min_absolute: int = 1, include_controls: bool = True, include_lone: bool = False, use_negative: bool = False, use_water: bool = False) -> DataFrame:
+    """The counts of all brains, controls copied, with what any thresholds are compared to, in one pass over written counts.
+
+    ``_target`` and ``_injection`` tell the rows that are neither spikes nor below
+    ``target_min_absolute``; ``_top`` and ``_inj`` are the barcode's largest target and
+    injection counts in its brain; ``_floor`` is the largest count of the brain's
+    negative or water controls, if asked for, else 0; ``_nth`` numbers equal rows.
+    """
+    scratch = Scratch(df.sparkSession, "levels")
+    rows, site, n = scratch.keep(df, "counts"), F.col("site"), F.col("umi_count")
+    if include_controls:
+        brains = F.broadcast(rows.where("brain <> ''").agg(F.collect_set("brain").alias("_brains")))  # one row
+        copied = site.isin(*[x for x in CONTROL_SITES if include_lone or x != "target-lone"])
+        to = F.when(copied, F.col("_brains")).when(F.col("brain") != "", F.array("brain"))
+        rows = rows.where(site.isNotNull()).crossJoin(brains).withColumn("brain", F.explode(to)).select(df.columns)
+    else:
+        rows = rows.where("brain <> ''")
+    other = F.col("type") != "spike"
+    flags = {"_target": other & site.startswith("target") & (n >= target_min_absolute), "_injection": other & site.startswith("injection")}
+    rows = rows.withColumns({k: F.coalesce(v, F.lit(False)) for k, v in flags.items()})
+    sites = [x for on, x in ((use_negative, "target-negative"), (use_water, "target-water-control")) if on]
+    if sites:
+        floors = rows.where(F.col("_target") & site.isin(*sites)).groupBy("brain").agg(F.max("umi_count").alias("_floor"))
+        rows = rows.join(F.broadcast(floors), "brain", "left").withColumn("_floor", F.coalesce("_floor", F.lit(0)))  # one row a brain
+    else:
+        rows = rows.withColumn("_floor", F.lit(0))
+    barcode = Window.partitionBy("brain", "vbc_read")
+    rows = rows.withColumns({"_top": F.max(F.when(F.col("_target"), n)).over(barcode), "_inj": F.max(F.when(F.col("_injection"), n)).over(barcode)})
+    rest = [c for c in df.columns if c not in ("brain", "vbc_read")]
+    rows = rows.withColumn("_nth", F.row_number().over(Window.partitionBy("brain", "vbc_read", *rest).orderBy("vbc_read")))
+    return rows.where((F.col("_nth") == 1) | ~site.isin(*CONTROL_SITES)) if include_controls else rows
+
+
+def passing(injection_min, target_min, require_injection: bool = True, include_injection: bool = True):
+    """Which rows of :func:`barcode_levels` stay at these thresholds (numbers or columns)."""
+    has_target = F.col("_top") >= F.greatest(F.lit(target_min) if isinstance(target_min, int) else target_min, F.col("_floor"))
+    has_injection, once = F.col("_inj") >= injection_min, F.col("_nth") == 1
+    ok = F.col("_target") & has_target & (has_injection & once if require_injection else F.lit(True))
+    if include_injection:
+        ok = ok | (F.col("_injection") & (F.col("umi_count") >= injection_min) & has_target & once)
+    return F.coalesce(ok, F.lit(False))
+
+
 def vbc_filter(
     df: DataFrame,
     injection_min: int = 10,
@@ -348,7 +382,7 @@ def vbc_filter(
     use_negative: bool = False,
     use_water: bool = False,
 ) -> DataFrame:
-    """Per-brain thresholds and semi-joins; one plan for all brains.
+    """Per-brain thresholds in one pass for all brains.
 
     With ``include_controls`` every control row is copied into every brain first.
     Spikes pass without a threshold.  Of the rest, sites that start with
@@ -360,20 +394,12 @@ def vbc_filter(
     targets, if ``require_injection``, if it has an injection row.  A brain that
     nothing but spikes is left of goes.
     """
-    full = copy_controls(df, include_lone) if include_controls else df.where("brain <> ''")
-    spikes, other = full.where("type = 'spike'"), full.where("type <> 'spike'")
-    injection = other.where(F.col("site").startswith("injection") & (F.col("umi_count") >= injection_min))
-    targets = other.where(F.col("site").startswith("target") & (F.col("umi_count") >= target_min_absolute))
-    level = F.lit(target_min).cast("long")
-    for on, site in ((use_negative, "target-negative"), (use_water, "target-water-control")):
-        if on:
-            level = F.greatest(level, F.coalesce(F.max(F.when(F.col("site") == site, F.col("umi_count"))).over(Window.partitionBy("brain")), F.lit(0)))
-    targets = targets.withColumn("_level", level)
-    top = F.max("umi_count").over(Window.partitionBy("brain", "vbc_read"))
-    targets = targets.withColumn("_top", top).where("_top >= _level").select(df.columns)
-    wanted = require(targets, injection) if require_injection else targets
-    kept = wanted.unionByName(require(injection, targets)) if include_injection else wanted
-    return kept.unionByName(spikes.join(kept.select("brain").distinct(), "brain", "left_semi").select(df.columns))
+    scratch = Scratch(df.sparkSession, "filter")
+    levels = barcode_levels(df, target_min_absolute, include_controls, include_lone, use_negative, use_water)
+    spike = F.coalesce(F.col("type") == "spike", F.lit(False))
+    kept = scratch.keep(levels.where(spike | passing(injection_min, target_min, require_injection, include_injection)).select(df.columns), "passed")
+    brains = kept.where("type <> 'spike'").select("brain").distinct()
+    return kept.join(F.broadcast(brains), "brain", "left_semi").select(df.columns)  # one row a brain
 
 
 # --- more filters ----------------------------------------------------------------

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spindrift.functions.seq import natural_key
-from spindrift.operators.barcodes import CONTROL_SITES, vbc_filter
+from spindrift.operators import ranks
+from spindrift.operators.barcodes import CONTROL_SITES, barcode_levels, passing
+from spindrift.plans.scratch import Scratch
 
 
 def label_order(df: DataFrame, column: str = "label") -> list[str]:
@@ -43,8 +45,11 @@ def normalize(real: DataFrame, spikes: DataFrame, groups: DataFrame | None = Non
 
 
 def scale_by_ratio(long: DataFrame, ratios: DataFrame) -> DataFrame:
-    """Multiply by the sample's spike-in ratio (label, si_ratio), 1 where none is given."""
-    out = long.join(ratios.select("label", "si_ratio").dropDuplicates(["label"]), "label", "left")
+    """Multiply by the sample's spike-in ratio (label, si_ratio), 1 where none is given; ratios count only if one of them exceeds 1."""
+    given = ratios.select("label", "si_ratio").dropDuplicates(["label"])
+    used = given.crossJoin(F.broadcast(given.agg(F.max("si_ratio").alias("_most"))))  # one row
+    used = used.select("label", F.when(F.col("_most") > 1, F.col("si_ratio")).otherwise(F.lit(1.0)).alias("si_ratio"))
+    out = long.join(used, "label", "left")
     return out.select("brain", "vbc_read", "label", (F.col("value") * F.coalesce("si_ratio", F.lit(1.0))).alias("value"))
 
 
@@ -137,15 +142,32 @@ def template_switch_rate(df: DataFrame) -> DataFrame:
     return one.withColumn("c", c).withColumn("ratio", 0.5 * F.col("c") * F.col("l2") + F.col("c") * F.col("spk2"))
 
 
-def vbc_overlap(counts: DataFrame, vbcs: DataFrame) -> DataFrame:
-    """Summed molecules of each listed barcode's reals in each injection sample (not its controls), 0 where it is absent."""
-    injected = counts.where("site = 'injection'")
-    labels = injected.select("label").distinct()
+def vbc_overlap(counts: DataFrame, vbcs: DataFrame, samples: DataFrame | None = None) -> DataFrame:
+    """Summed molecules of each listed barcode's reals in each injection sample (not its controls), 0 where it is absent.
+
+    The samples are those whose siteinfo is ``injection`` in the sheet (label, siteinfo),
+    counted or not; without a sheet, those in the counts.
+    """
+    injected = counts.where("site = 'injection'") if samples is None else counts
+    labels = (injected if samples is None else samples.where("siteinfo = 'injection'")).select("label").distinct()
     grid = vbcs.select("vbc_read").distinct().crossJoin(F.broadcast(labels))  # labels: one row a sample
     sums = injected.where("type = 'real'").groupBy("vbc_read", "label").agg(F.sum("umi_count").alias("n"))
     return grid.join(sums, ["vbc_read", "label"], "left").select("vbc_read", "label", F.coalesce("n", F.lit(0)).alias("umi_count"))
 
 
+def plot_counts(df: DataFrame, column: str = "umi_count", by: str = "brain", least: int = 1, without: str | None = None, ranks_shown: int | None = None) -> DataFrame:
+    """(grp, rank, vbc_read, label, type, value): the data of a rank plot, each group's values from the largest down.
+
+    Values below ``least``, rows with an empty group and rows of type ``without`` are left
+    out; ``ranks_shown`` ends each group's list there.
+    """
+    rows = df.where((F.col(column) >= least) & (F.col(by) != ""))
+    rows = rows if without is None else rows.where(F.col("type") != without)
+    rows = rows.select(F.col(by).alias("grp"), "vbc_read", "label", "type", F.col(column).alias("value"))
+    ranked = ranks.global_rank(rows, [F.desc("value"), F.asc("vbc_read"), F.asc("label"), F.asc("type")], Scratch(df.sparkSession, "plot"), by=("grp",))
+    return ranked if ranks_shown is None else ranked.where(F.col("rank") <= ranks_shown)
+
+
 def matrix_overlap(long: DataFrame, controls: DataFrame) -> DataFrame:
     """Matrix rows in long form, and for each of their barcodes the molecules of the control samples' reals, 0 where absent."""
     real = controls.where("type = 'real'")
@@ -157,9 +179,11 @@ def matrix_overlap(long: DataFrame, controls: DataFrame) -> DataFrame:
 
 def umi_report(df: DataFrame) -> DataFrame:
     """Rows of each site and type that has more than one, ranked by molecules from the largest down."""
-    w = Window.partitionBy("site", "type")
-    ranked = df.withColumn("_n", F.count(F.lit(1)).over(w)).withColumn("rank", F.row_number().over(w.orderBy(F.desc("umi_count"), "vbc_read", "label")))
-    return ranked.where("_n > 1").select("site", "type", "rank", "vbc_read", "label", "umi_count")
+    scratch = Scratch(df.sparkSession, "umi-report")
+    ranked = ranks.global_rank(df.select("site", "type", "vbc_read", "label", "umi_count"), [F.desc("umi_count"), F.asc("vbc_read"), F.asc("label")], scratch, by=("site", "type"))
+    ranked = scratch.keep(ranked, "ranked")
+    many = ranked.where("rank = 2").select(F.col("site").alias("_s"), F.col("type").alias("_t"))
+    return ranked.join(many, F.col("site").eqNullSafe(F.col("_s")) & F.col("type").eqNullSafe(F.col("_t"))).select("site", "type", "rank", "vbc_read", "label", "umi_count")
 
 
 def source_dominant(df: DataFrame, source: str = "source") -> DataFrame:
@@ -184,14 +208,15 @@ def adjacency(edges: DataFrame) -> DataFrame:
 
 
 def parameter_sweep(df: DataFrame, params: list[tuple[int, int]]) -> DataFrame:
-    """(injection_min, target_min, label, n_vbc): the reals' distinct barcodes that the whole VBC filter leaves at each pair of thresholds, in one plan."""
-    out = None
-    for injection_min, target_min in params:  # the caller's short list
-        real = vbc_filter(df, injection_min, target_min).where("type = 'real'")
-        one = real.groupBy("label").agg(F.countDistinct("vbc_read").alias("n_vbc"))
-        one = one.select(F.lit(injection_min).cast("long").alias("injection_min"), F.lit(target_min).cast("long").alias("target_min"), "label", "n_vbc")
-        out = one if out is None else out.unionByName(one)
-    return out
+    """(injection_min, target_min, label, n_vbc): the reals' distinct barcodes that the whole VBC filter leaves at each pair of thresholds.
+
+    The counts are read and compared within barcodes once, whatever the number of pairs.
+    """
+    pairs = F.broadcast(df.sparkSession.createDataFrame(sorted(set(params)), "injection_min long, target_min long"))  # the caller's short list
+    real = barcode_levels(df).where("type = 'real' and (_target or _injection)").crossJoin(pairs)
+    kept = real.where(passing(F.col("injection_min"), F.col("target_min")))
+    once = kept.select("injection_min", "target_min", "label", "vbc_read").distinct()
+    return once.groupBy("injection_min", "target_min", "label").agg(F.count(F.lit(1)).alias("n_vbc"))
 
 
 # --- library -------------------------------------------------------------------
@@ -212,34 +237,24 @@ def unique_fraction(counts: DataFrame, ks: list[int], min_umi: int = 1) -> DataF
 
 def freq_threshold(df: DataFrame, fraction: float, column: str) -> DataFrame:
     """One row: the value at position int(n * fraction) from the largest down, plus 1."""
-    n = df.agg(F.count(F.lit(1)).alias("_n"))
-    ranked = df.withColumn("_r", F.row_number().over(Window.orderBy(F.desc(column)))).crossJoin(F.broadcast(n))  # one row
-    return ranked.where(F.col("_r") == (F.col("_n") * fraction).cast("long") + 1).select((F.col(column) + 1).alias("threshold"))
-
-
-def blacklist_rate(df: DataFrame, max_umi: int, sample: int, seed: int = 1) -> DataFrame:
-    """Duplicate rate among ``sample`` (barcode, molecule) pairs drawn without replacement, barcodes above ``max_umi`` left out."""
-    ok = df.groupBy("vbc_read").agg(F.countDistinct("umi").alias("n")).where(F.col("n") <= max_umi).select("vbc_read")
-    drawn = df.join(ok, "vbc_read", "left_semi").select("vbc_read", "umi").distinct().orderBy(F.rand(seed)).limit(sample)
-    return drawn.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("vbc_read").alias("n_distinct")).withColumn("duplicate_rate", 1 - F.col("n_distinct") / F.col("n"))
+    at = ranks.value_at(df, column, fraction, Scratch(df.sparkSession, "threshold"))
+    return at.select((F.col("value") + 1).alias("threshold"))
 
 
 def gap_groups(df: DataFrame, value: str, key: str, span: float) -> DataFrame:
     """Greedy groups over sorted values: a new group starts when a value exceeds the group's floor by more than ``span``.
 
-    State depends on earlier resets, so one fold over the sorted array does it;
-    meant for calibration plates (a few hundred wells).
+    Where a group starts depends on the one before, so one fold over the distinct values
+    finds the floors, and holds only these; each row then takes the last floor not above
+    its value.  Meant for calibration plates (a few hundred wells).  Rows without a value
+    are in no group.
     """
-    arr = df.agg(F.array_sort(F.collect_list(F.struct(F.col(value).alias("v"), F.col(key).alias("k")))).alias("xs"))
-    start = F.struct(F.lit(None).cast("double").alias("floor"), F.lit(-1).alias("g"), F.expr("cast(array() as array<int>)").alias("out"))
-
-    def step(acc, x):
-        new = acc["floor"].isNull() | (x["v"] > acc["floor"] + span)
-        g = F.when(new, acc["g"] + 1).otherwise(acc["g"])
-        return F.struct(F.when(new, x["v"].cast("double")).otherwise(acc["floor"]).alias("floor"), g.alias("g"), F.concat(acc["out"], F.array(g)).alias("out"))
-
-    folded = arr.select("xs", F.aggregate("xs", start, step)["out"].alias("gs"))
-    return folded.select(F.explode(F.arrays_zip("xs", "gs")).alias("z")).select(F.col("z.xs.k").alias(key), F.col("z.xs.v").alias(value), F.col("z.gs").cast("int").alias("group_id"))
+    rows = df.where(F.col(value).isNotNull())
+    values = rows.agg(F.sort_array(F.collect_set(F.col(value).cast("double"))).alias("_vs"))
+    starts = F.aggregate("_vs", F.expr("cast(array() as array<double>)"), lambda acc, x: F.when((F.size(acc) == 0) | (x > F.element_at(acc, -1) + span), F.concat(acc, F.array(x))).otherwise(acc))
+    floors = F.broadcast(values.select(starts.alias("_floors")))  # one row
+    group = F.size(F.filter("_floors", lambda f: f <= F.col(value))) - 1
+    return rows.crossJoin(floors).select(key, value, group.cast("int").alias("group_id"))
 
 
 def qpcr_groups(wells: DataFrame, span: float = 3.0) -> DataFrame:

@@ -8,32 +8,31 @@ from pyspark.sql import functions as F
 from spindrift.functions import seq
 from spindrift.operators import barcodes as B
 from spindrift.operators import matrix as M
-from spindrift.operators import simulate
+from spindrift.operators import draws, ranks, reference, simulate, spread
 from spindrift.plans.barcode_sql import READ_COLUMNS, READS, READTABLE
 from spindrift.plans.scratch import Scratch
+from spindrift.sources import files
+from spindrift.streaming.landing import land_files
 
 FIELDS = [("vbc_read", 0, 30), ("spikeseq", 24, 32), ("libtag", 30, 32), ("umi", 32, 44), ("ssi", 44, 52)]
 
 
-#: The derived inputs of a session, written once: they stand for files that a run reads.
-_derived: dict[tuple, DataFrame] = {}
-
-
-def _written(spark, sf_dir: str, name: str, make) -> DataFrame:
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _derived:
-        _derived[key] = Scratch(spark, name).keep(make(), name)
-    return _derived[key]
+def _derived(spark, sf_dir: str) -> DataFrame:
+    lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_quantity", "l_orderkey")
+    tasks = spark.sparkContext.defaultParallelism
+    if lineitem.rdd.getNumPartitions() < tasks:  # a small file in few row groups: deriving from it takes longer than dealing it out
+        lineitem = lineitem.repartition(tasks)
+    return spark.sql(READTABLE.replace("FROM lineitem", "FROM {lineitem}"), lineitem=lineitem)
 
 
 def readtable(spark, sf_dir: str) -> DataFrame:
-    """The barcode read table derived from ``lineitem``."""
-    return _written(spark, sf_dir, "readtable", lambda: spark.sql(READTABLE.replace("FROM lineitem", "FROM {lineitem}"), lineitem=spark.read.parquet(f"{sf_dir}/lineitem.parquet")))
+    """The barcode read table derived from ``lineitem``, written anew for each query: it stands for a file that a run reads."""
+    return Scratch(spark, "readtable").keep(_derived(spark, sf_dir), "readtable")
 
 
 def reads(spark, sf_dir: str) -> DataFrame:
-    """Raw reads derived from the read table."""
-    return _written(spark, sf_dir, "reads", lambda: readtable(spark, sf_dir).selectExpr(*_columns(READ_COLUMNS)))
+    """Raw reads derived from ``lineitem``, written anew for each query."""
+    return Scratch(spark, "reads").keep(_derived(spark, sf_dir).selectExpr(*_columns(READ_COLUMNS)), "reads")
 
 
 def _columns(text: str) -> list[str]:
@@ -46,6 +45,27 @@ def counts(spark, sf_dir: str) -> DataFrame:
     return B.vbc_table(B.site_threshold(readtable(spark, sf_dir)))
 
 
+def kept_counts(spark, sf_dir: str) -> DataFrame:
+    """The counts, written: for queries that read them more than once."""
+    return Scratch(spark, "counts").keep(counts(spark, sf_dir), "counts")
+
+
+def require_injection(spark, sf_dir: str) -> DataFrame:
+    c = kept_counts(spark, sf_dir)
+    return B.require(c.where("site = 'target'"), c.where("site = 'injection'"))
+
+
+def matrix_overlap(spark, sf_dir: str) -> DataFrame:
+    c = kept_counts(spark, sf_dir)
+    return M.matrix_overlap(M.matrix_long(c.where("site = 'target'")), c.where("site = 'target-water-control'"))
+
+
+def vbc_overlap(spark, sf_dir: str) -> DataFrame:
+    c = kept_counts(spark, sf_dir)
+    sheet = spark.range(24).select(F.concat(F.lit("BC"), F.col("id").cast("string")).alias("label"), F.when(F.col("id") % 8 == 0, "injection").otherwise("target").alias("siteinfo"))  # BC16 has no reads
+    return M.vbc_overlap(c, c.where("site = 'target' and umi_count >= 3"), sheet)
+
+
 def filtered(spark, sf_dir: str) -> DataFrame:
     """Reads without bad bases, split into fields."""
     return seq.split_fields(B.filter_reads(reads(spark, sf_dir)), FIELDS)
@@ -83,7 +103,48 @@ def reps(spark, sf_dir: str) -> DataFrame:
 
 def diameter(spark, sf_dir: str) -> DataFrame:
     _, e, c = _clusters(spark, sf_dir)
-    return B.component_diameter(e, c)
+    return spread.component_diameter(e, c)
+
+
+def component_spread(spark, sf_dir: str) -> DataFrame:
+    _, e, c = _clusters(spark, sf_dir)
+    return spread.component_spread(c, e).withColumn("good_prop", F.round("good_prop", 6))
+
+
+def reference_match(spark, sf_dir: str) -> DataFrame:
+    """Targets' barcodes assigned to the injections' by at most one differing base, counted by sample."""
+    c = kept_counts(spark, sf_dir).where("type = 'real'")
+    return reference.reference_counts(c.where("site = 'target'"), c.where("site = 'injection'"), 1)
+
+
+def global_rank(spark, sf_dir: str) -> DataFrame:
+    """Every count row's place from the largest down."""
+    order = [F.desc("umi_count"), F.asc("vbc_read"), F.asc("label"), F.asc("type")]
+    return ranks.global_rank(counts(spark, sf_dir).select("vbc_read", "label", "type", "umi_count"), order, Scratch(spark, "rank"))
+
+
+def fastq_reads(spark, sf_dir: str) -> DataFrame:
+    """Reads written as pairs of FASTQ files and read back, counted."""
+    scratch = Scratch(spark, "fastq")
+    folder = scratch.path("fastq")
+    files.write_fastq_pairs(reads(spark, sf_dir).select("sequence"), folder)
+    pairs = list(zip(files.part_files(spark, f"{folder}/R1"), files.part_files(spark, f"{folder}/R2")))
+    return B.aggregate_reads(files.read_fastq_pairs(spark, pairs, (0, 32), (0, 20)), ("sequence",))
+
+
+def landed_counts(spark, sf_dir: str) -> DataFrame:
+    """Reads that land as files, counted two files a batch, runs merged by threes."""
+    scratch = Scratch(spark, "landing")
+    rows = scratch.keep(_derived(spark, sf_dir).selectExpr(*_columns(READ_COLUMNS)).select("sequence", "source").repartition(8), "landed")
+    return land_files(spark, rows._scratch_path, rows.schema, scratch.path("counts"), scratch.path("checkpoint"), files_per_batch=2, fan_in=3)
+
+
+def neurons(spark, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The library's counts, and how many barcodes of each brain pass both thresholds."""
+    c = kept_counts(spark, sf_dir).where("type = 'real'")
+    best = lambda site: F.max(F.when(F.col("site") == site, F.col("umi_count")))
+    per = c.where("brain <> ''").groupBy("brain", "vbc_read").agg(best("injection").alias("i"), best("target").alias("t"))
+    return M.library_counts(c), per.groupBy("brain").agg(F.count_if(F.coalesce((F.col("i") >= 1) & (F.col("t") >= 1), F.lit(False))).alias("n"))
 
 
 def label_groups(spark) -> DataFrame:
@@ -102,7 +163,8 @@ def wells(spark, sf_dir: str) -> DataFrame:
 
 
 def _norm(spark, d: str) -> DataFrame:
-    return M.normalize(M.matrix_long(counts(spark, d), "real"), M.matrix_long(counts(spark, d), "spike"), label_groups(spark)).withColumn("value", F.round("value", 6))
+    c = kept_counts(spark, d)
+    return M.normalize(M.matrix_long(c, "real"), M.matrix_long(c, "spike"), label_groups(spark)).withColumn("value", F.round("value", 6))
 
 
 def _ratio(spark, d: str) -> DataFrame:
@@ -117,6 +179,10 @@ def _samples(spark) -> DataFrame:
 QUERIES = {
     "vbc_table": counts,
     "aggregate_reads": lambda s, d: B.aggregate_reads(reads(s, d), min_reads=2),
+    "aggregate_recover": lambda s, d: B.aggregate_reads(reads(s, d), ("sequence",), 2, ("source", "label", "type")),
+    "set_read_counts": lambda s, d: B.set_read_counts(reads(s, d).select("sequence", "source")),
+    "sum_counts": lambda s, d: B.sum_counts(counts(s, d), ("label", "vbc_read")),
+    "plot_counts": lambda s, d: M.plot_counts(counts(s, d), least=2, without="spike"),
     "reaggregate_reads": lambda s, d: B.reaggregate_reads(reads(s, d)),
     "filter_n_homopolymer": lambda s, d: B.filter_reads(reads(s, d), min_reads=2),
     "split_fields": filtered,
@@ -134,11 +200,13 @@ QUERIES = {
     "collapse_reads": lambda s, d: B.align_collapse(readtable(s, d)).groupBy("brain", "vbc_read").agg(F.count(F.lit(1)).alias("n"), F.sum("read_count").alias("reads")),
     "component_stats": stats,
     "component_diameter": diameter,
+    "component_spread": component_spread,
+    "reference_match": reference_match,
     "node_degree": lambda s, d: B.node_degree(edges(s, d)),
     "targets_any_umi": lambda s, d: B.keep_any_above(counts(s, d).where("site = 'target'"), 3),
     "negative_threshold": lambda s, d: B.negative_threshold(counts(s, d), "target-negative", 2),
-    "require_injection": lambda s, d: B.require(counts(s, d).where("site = 'target'"), counts(s, d).where("site = 'injection'")),
-    "controls_cross_copy": lambda s, d: B.copy_controls(counts(s, d)),
+    "require_injection": require_injection,
+    "controls_cross_copy": lambda s, d: B.copy_controls(kept_counts(s, d)),
     "vbc_filter": lambda s, d: B.vbc_filter(counts(s, d), injection_min=2, target_min=2),
     "vbc_filter_lone": lambda s, d: B.vbc_filter(with_lone(counts(s, d)), injection_min=2, target_min=2, include_lone=True, use_negative=True),
     "vbc_filter_own": lambda s, d: B.vbc_filter(with_lone(counts(s, d)), injection_min=2, target_min=2, include_controls=False, require_injection=False),
@@ -151,7 +219,7 @@ QUERIES = {
     "top_components": lambda s, d: B.top_components(_clusters(s, d)[2], 10),
     "umi_report": lambda s, d: M.umi_report(counts(s, d)),
     "source_dominant": lambda s, d: M.source_dominant(readtable(s, d)).withColumn("percent", F.round("percent", 6)),
-    "matrix_overlap": lambda s, d: M.matrix_overlap(M.matrix_long(counts(s, d).where("site = 'target'")), counts(s, d).where("site = 'target-water-control'")),
+    "matrix_overlap": matrix_overlap,
     "counts_filter": lambda s, d: M.counts_filter(counts(s, d), 1, 3, 1, 5),
     "adjacency": lambda s, d: M.adjacency(edges(s, d)),
     "qpcr_groups": lambda s, d: M.qpcr_groups(wells(s, d)),
@@ -165,18 +233,23 @@ QUERIES = {
     "tag_cumulative": lambda s, d: M.cumulative(filtered(s, d), "libtag").withColumn("proportion", F.round("proportion", 6)),
     "param_sweep": lambda s, d: M.parameter_sweep(counts(s, d), [(1, 1), (2, 2), (3, 2)]),
     "read_matrix_dominant": lambda s, d: M.read_matrix_dominant(readtable(s, d)).withColumn("percent", F.round("percent", 6)),
-    "vbc_overlap": lambda s, d: M.vbc_overlap(counts(s, d), counts(s, d).where("site = 'target' and umi_count >= 3")),
-    "false_positive_rate": lambda s, d: M.false_positive_rate(counts(s, d), 1).withColumn("rate", F.round("rate", 6)),
+    "vbc_overlap": vbc_overlap,
+    "false_positive_rate": lambda s, d: M.false_positive_rate(kept_counts(s, d), 1).withColumn("rate", F.round("rate", 6)),
     "template_switch_rate": lambda s, d: M.template_switch_rate(with_lone(counts(s, d))).select("l1", "l2", "spk1", "spk2", "ts", F.round("ratio", 9).alias("ratio")),
     "rank_topn": lambda s, d: M.rank_top(counts(s, d).groupBy("label", "vbc_read").agg(F.sum("read_count").alias("reads")), "label", "reads", "vbc_read", 5),
-    "freq_threshold": lambda s, d: M.freq_threshold(M.library_counts(counts(s, d)), 0.1, "umi_count"),
-    "unique_fraction": lambda s, d: M.unique_fraction(M.library_counts(counts(s, d)), [10, 100, 1000]).withColumn("p_unique", F.round("p_unique", 6)),
+    "global_rank": global_rank,
+    "fastq_reads": fastq_reads,
+    "landed_counts": landed_counts,
+    "reused_barcodes": lambda s, d: draws.reused_barcodes(*neurons(s, d)),
+    "blacklist_rates": lambda s, d: draws.blacklist_rates(readtable(s, d).where("type = 'real'"), (1, 5, 10, 30), 500, 4).withColumn("p_dupes", F.round("p_dupes", 6)),
+    "freq_threshold": lambda s, d: M.freq_threshold(M.library_counts(kept_counts(s, d)), 0.1, "umi_count"),
+    "unique_fraction": lambda s, d: M.unique_fraction(M.library_counts(kept_counts(s, d)), [10, 100, 1000]).withColumn("p_unique", F.round("p_unique", 6)),
     "natural_sort_labels": lambda s, d: readtable(s, d).select("label").distinct().withColumn("position", F.row_number().over(Window.orderBy(seq.natural_key(F.col("label"))))),
     "gap_groups": lambda s, d: M.gap_groups(s.read.parquet(f"{d}/supplier.parquet").select("s_suppkey", "s_acctbal"), "s_acctbal", "s_suppkey", 500.0),
     "hamming1_neighbours": lambda s, d: readtable(s, d).select("vbc_read").distinct().select("vbc_read", F.explode(seq.neighbours(F.substring("vbc_read", 1, 4))).alias("near")),
     "cumulative_threshold": lambda s, d: M.cumulative_threshold(readtable(s, d), 0.8),
     "final_thresholds": lambda s, d: M.final_thresholds(readtable(s, d), "read_count"),
-    "negative_floor": lambda s, d: M.negative_floor(counts(s, d)),
+    "negative_floor": lambda s, d: M.negative_floor(kept_counts(s, d)),
     "simulate_random": lambda s, d: simulate.random_sequences(s, 5000),
     "simulate_mutated": lambda s, d: simulate.replicate(simulate.random_sequences(s, 500), "parent_idx", 3, 2),
     "expand_rows": lambda s, d: simulate.expand_rows(s.read.parquet(f"{d}/supplier.parquet").select("s_suppkey"), "s_suppkey"),
@@ -243,6 +316,10 @@ ORACLE_SQL: dict[str, str] = {
     "expand_rows": "SELECT s_suppkey, substr(translate(md5(concat('1-', s_suppkey, '.', c, '/0')), '0123456789abcdef', 'ACGTACGTACGTACGT'), 1, 12) AS umi FROM supplier, range(1, 33) t(c)",
     "vbc_table": f"WITH {_CT} SELECT * FROM ct",
     "aggregate_reads": f"WITH {_RD} SELECT sequence, source, count(*) AS read_count FROM rd GROUP BY 1, 2 HAVING count(*) >= 2",
+    "aggregate_recover": f"WITH {_RD}, g AS (SELECT sequence, count(*) AS read_count, (array_agg({{'s': source, 'l': label, 't': type}} ORDER BY source, label, type))[1] AS o FROM rd GROUP BY 1 HAVING count(*) >= 2) SELECT sequence, read_count, o.s AS source, o.l AS label, o.t AS type FROM g",
+    "set_read_counts": f"WITH {_RD} SELECT sequence, source, count(*) OVER (PARTITION BY sequence) AS read_count FROM rd",
+    "sum_counts": f"WITH {_CT} SELECT label, vbc_read, CAST(sum(read_count) AS BIGINT) AS read_count, CAST(sum(umi_count) AS BIGINT) AS umi_count FROM ct GROUP BY 1, 2",
+    "plot_counts": f"WITH {_CT} SELECT brain AS grp, row_number() OVER (PARTITION BY brain ORDER BY umi_count DESC, vbc_read, label, type) AS rank, vbc_read, label, type, umi_count AS value FROM ct WHERE umi_count >= 2 AND brain <> '' AND type <> 'spike'",
     "reaggregate_reads": f"WITH {_RD} SELECT sequence, CAST(sum(read_count) AS BIGINT) AS read_count FROM rd GROUP BY 1",
     "filter_n_homopolymer": f"WITH {_RD} SELECT * FROM rd WHERE read_count >= 2 AND {_GOOD}",
     "split_fields": f"WITH {_FL} SELECT * FROM fl",
@@ -259,6 +336,9 @@ ORACLE_SQL: dict[str, str] = {
     "representatives": f"WITH RECURSIVE {_CO}, {_RP} SELECT * FROM rp",
     "collapse_reads": f"WITH RECURSIVE {_CO}, {_RP} SELECT rt.brain, coalesce(rp.rep, rt.vbc_read) AS vbc_read, count(*) AS n, CAST(sum(read_count) AS BIGINT) AS reads FROM rt LEFT JOIN co ON rt.brain = co.grp AND rt.vbc_read = co.seq LEFT JOIN rp ON co.grp = rp.grp AND co.comp = rp.comp GROUP BY 1, 2",
     "component_stats": f"WITH RECURSIVE {_CO}, {_DG} SELECT co.grp, comp, count(*) AS size, CAST(sum(degree) / 2 AS BIGINT) AS n_edges, max(degree) AS max_degree, (array_agg(co.seq ORDER BY degree DESC, co.seq DESC))[1] AS max_degree_seq, max(n) AS max_count, (array_agg(co.seq ORDER BY n DESC, co.seq DESC))[1] AS max_count_seq FROM co JOIN us ON co.grp = us.grp AND co.seq = us.seq JOIN dg ON co.grp = dg.grp AND co.seq = dg.seq GROUP BY co.grp, comp",
+    "component_diameter": f"WITH RECURSIVE {_CO}, st(grp, src, seq, d) AS (SELECT grp, seq, seq, 0 FROM co UNION SELECT s.grp, s.src, y.b, s.d + 1 FROM st s JOIN sy y ON s.grp = y.grp AND s.seq = y.a WHERE s.d < 12), sd AS (SELECT grp, src, seq, min(d) AS d FROM st GROUP BY ALL) SELECT co.grp, co.comp, CAST(max(sd.d) AS INT) AS diameter FROM sd JOIN co ON sd.grp = co.grp AND sd.src = co.seq GROUP BY 1, 2",
+    "component_spread": f"WITH RECURSIVE {_CO}, pr AS (SELECT x.grp, x.comp, hamming(x.seq, y.seq) AS d FROM co x JOIN co y ON x.grp = y.grp AND x.comp = y.comp AND x.seq < y.seq), nm AS (SELECT grp, comp, count(*) AS n_seq FROM co GROUP BY ALL) SELECT grp, comp, n_seq, CAST(max(d) AS INT) AS max_ham, count(*) AS n_pairs, count(*) FILTER (WHERE d > 3) AS n_exceed, round(1 - CAST(count(*) FILTER (WHERE d > 3) AS DOUBLE) / count(*), 6) AS good_prop FROM pr JOIN nm USING (grp, comp) GROUP BY 1, 2, 3",
+    "reference_match": f"WITH {_CT}, rf AS (SELECT DISTINCT vbc_read AS r FROM ct WHERE type = 'real' AND site = 'injection'), pb AS (SELECT * FROM ct WHERE type = 'real' AND site = 'target'), nr AS (SELECT vbc_read, (array_agg(r ORDER BY hamming(vbc_read, r), r))[1] AS reference FROM (SELECT DISTINCT vbc_read FROM pb) JOIN rf ON hamming(vbc_read, r) <= 1 GROUP BY 1) SELECT reference, label, count(DISTINCT vbc_read) AS n_vbcs, CAST(sum(umi_count) AS BIGINT) AS umi_count FROM pb LEFT JOIN nr USING (vbc_read) GROUP BY 1, 2",
     "node_degree": f"WITH {_ED}, {_DG} SELECT grp, seq AS node, degree FROM dg",
     "targets_any_umi": f"WITH {_CT} SELECT * FROM ct WHERE site = 'target' QUALIFY max(umi_count) OVER (PARTITION BY brain, vbc_read) >= 3",
     "negative_threshold": f"WITH {_CT} SELECT brain, greatest(coalesce(max(umi_count) FILTER (WHERE site = 'target-negative'), 0), 2) AS threshold FROM ct GROUP BY 1",
@@ -274,7 +354,12 @@ ORACLE_SQL: dict[str, str] = {
     "demultiplex": f"WITH {_RD}, {_BC} SELECT CASE WHEN bc.label IS NULL THEN sequence ELSE left(sequence, length(sequence) - 8) END AS sequence, source, bc.label FROM rd LEFT JOIN bc ON right(sequence, 8) = bc.ssi",
     "demultiplex_mismatch": f"WITH {_RD}, {_BC}, x AS (SELECT DISTINCT concat(substr(sequence, 45, 7), 'A') AS tail FROM rd), m AS (SELECT tail, (array_agg(label ORDER BY hamming(tail, ssi), label))[1] AS label FROM x JOIN bc ON hamming(tail, ssi) <= 1 GROUP BY tail) SELECT source, CASE WHEN m.label IS NULL THEN concat(left(sequence, 51), 'A') ELSE left(sequence, 44) END AS sequence, m.label FROM rd LEFT JOIN m ON concat(substr(sequence, 45, 7), 'A') = m.tail",
     "top_components": f"WITH RECURSIVE {_CO} SELECT grp, comp, count(*) AS size FROM co GROUP BY 1, 2 ORDER BY size DESC, grp, comp LIMIT 10",
-    "umi_report": f"WITH {_CT} SELECT site, type, CAST(row_number() OVER (PARTITION BY site, type ORDER BY umi_count DESC, vbc_read, label) AS INT) AS rank, vbc_read, label, umi_count FROM ct QUALIFY count(*) OVER (PARTITION BY site, type) > 1",
+    "global_rank": f"WITH {_CT} SELECT vbc_read, label, type, umi_count, row_number() OVER (ORDER BY umi_count DESC, vbc_read, label, type) AS rank FROM ct",
+    "fastq_reads": f"WITH {_RD} SELECT sequence, count(*) AS read_count FROM rd GROUP BY 1",
+    "landed_counts": f"WITH {_RD} SELECT sequence, source, count(*) AS read_count FROM rd GROUP BY 1, 2",
+    "reused_barcodes": f"WITH {_LIB}, own AS (SELECT vbc_read, umi_count AS n, coalesce(sum(umi_count) OVER (ORDER BY vbc_read ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS lo, sum(umi_count) OVER () AS al FROM lib), nn AS (SELECT brain, count(*) FILTER (WHERE i >= 1 AND t >= 1) AS n FROM (SELECT brain, vbc_read, max(umi_count) FILTER (WHERE site = 'injection') AS i, max(umi_count) FILTER (WHERE site = 'target') AS t FROM ct WHERE type = 'real' AND brain <> '' GROUP BY 1, 2) GROUP BY 1), two AS (SELECT a.brain, b.brain AS other, a.n AS n1, b.n AS n2 FROM nn a JOIN nn b ON a.brain <= b.brain), si AS (SELECT brain, other, side, CASE WHEN side = 1 THEN n1 ELSE n2 END AS n FROM two, (VALUES (1), (2)) t(side) WHERE side = 1 OR brain <> other), dr AS (SELECT brain, other, side, CAST(concat('0x', substr(md5(concat('1-', brain, '/', other, '/', side, '-', d)), 1, 15)) AS BIGINT) % (SELECT CAST(max(al) AS BIGINT) FROM own) AS x FROM si, unnest(range(1, n + 1)) t(d)), mt AS (SELECT brain, other, side, vbc_read FROM dr JOIN own ON x >= lo AND x < lo + n), pr AS (SELECT brain, other, vbc_read, count(*) AS c, count(DISTINCT side) AS s FROM mt GROUP BY ALL) SELECT two.brain, two.other, CAST(coalesce(sum(CASE WHEN two.brain = two.other THEN c - 1 WHEN s = 2 THEN 1 ELSE 0 END), 0) AS BIGINT) AS n_reused FROM two LEFT JOIN pr ON two.brain = pr.brain AND two.other = pr.other GROUP BY 1, 2",
+    "blacklist_rates": f"WITH {_RT}, pa AS (SELECT DISTINCT vbc_read, umi FROM rt WHERE type = 'real'), nu AS (SELECT *, count(*) OVER (PARTITION BY vbc_read) AS n FROM pa), dr AS (SELECT CAST(r AS INT) AS run_id, CAST(m AS BIGINT) AS max_umi, vbc_read, count(*) OVER (PARTITION BY r, m) AS n_vbcs, row_number() OVER (PARTITION BY r, m ORDER BY substr(md5(concat('1-', r, '-', vbc_read, '-', umi)), 1, 15), vbc_read, umi) AS k FROM nu, range(4) a(r), (VALUES (1), (5), (10), (30)) b(m) WHERE n <= m), pv AS (SELECT run_id, max_umi, n_vbcs, vbc_read, count(*) AS c FROM dr WHERE k <= 500 GROUP BY ALL) SELECT run_id, max_umi, n_vbcs, count(*) FILTER (WHERE c > 1) AS n_dupes, CAST(sum(c) AS BIGINT) AS samplesize, round(count(*) FILTER (WHERE c > 1) / CAST(sum(c) AS DOUBLE), 6) AS p_dupes FROM pv GROUP BY 1, 2, 3",
+    "umi_report": f"WITH {_CT} SELECT site, type, row_number() OVER (PARTITION BY site, type ORDER BY umi_count DESC, vbc_read, label) AS rank, vbc_read, label, umi_count FROM ct QUALIFY count(*) OVER (PARTITION BY site, type) > 1",
     "source_dominant": f"WITH {_RT}, c AS (SELECT source, label, count(*) AS n FROM rt GROUP BY 1, 2) SELECT source, (array_agg(label ORDER BY n DESC, label))[1] AS label, CAST(sum(n) AS BIGINT) AS n, round(max(n) * 100 / CAST(sum(n) AS DOUBLE), 6) AS percent FROM c GROUP BY 1",
     "matrix_overlap": f"WITH {_CT}, mx AS (SELECT brain, vbc_read, label, CAST(umi_count AS DOUBLE) AS value FROM ct WHERE type = 'real' AND site = 'target'), w AS (SELECT vbc_read, label, umi_count FROM ct WHERE type = 'real' AND site = 'target-water-control') SELECT * FROM mx UNION ALL SELECT g.brain, g.vbc_read, l.label, CAST(coalesce(sum(w.umi_count), 0) AS DOUBLE) FROM (SELECT DISTINCT brain, vbc_read FROM mx) g CROSS JOIN (SELECT DISTINCT label FROM w) l LEFT JOIN w ON w.vbc_read = g.vbc_read AND w.label = l.label GROUP BY 1, 2, 3",
     "counts_filter": f"WITH {_CT} SELECT brain, vbc_read FROM ct GROUP BY 1, 2 HAVING coalesce(max(umi_count) FILTER (WHERE site = 'injection'), 0) > 1 AND coalesce(sum(umi_count) FILTER (WHERE site IN ('target', 'target-negative')), 0) > 3 AND coalesce(max(umi_count) FILTER (WHERE site IN ('target', 'target-negative')), 0) > 1 AND coalesce(max(umi_count) FILTER (WHERE site IN {_CTRL}), 0) < 5",
@@ -290,7 +375,7 @@ ORACLE_SQL: dict[str, str] = {
     "tag_cumulative": f"WITH {_FL} SELECT libtag, n, round(CAST(sum(n) OVER (ORDER BY n DESC, libtag ROWS UNBOUNDED PRECEDING) AS DOUBLE) / sum(n) OVER (), 6) AS proportion FROM (SELECT libtag, count(*) AS n FROM fl GROUP BY 1)",
     "param_sweep": f"WITH {_CC}, p(injection_min, target_min) AS (VALUES (CAST(1 AS BIGINT), CAST(1 AS BIGINT)), (2, 2), (3, 2)), oth AS (SELECT p.*, cc.* FROM cc, p WHERE type <> 'spike'), inj AS (SELECT * FROM oth WHERE site LIKE 'injection%' AND umi_count >= injection_min), tg AS (SELECT * FROM oth WHERE site LIKE 'target%' QUALIFY max(umi_count) OVER (PARTITION BY injection_min, target_min, brain, vbc_read) >= target_min), kept AS (SELECT * FROM tg WHERE EXISTS (SELECT 1 FROM inj i WHERE i.injection_min = tg.injection_min AND i.target_min = tg.target_min AND i.brain = tg.brain AND i.vbc_read = tg.vbc_read) UNION ALL SELECT * FROM inj WHERE EXISTS (SELECT 1 FROM tg t WHERE t.injection_min = inj.injection_min AND t.target_min = inj.target_min AND t.brain = inj.brain AND t.vbc_read = inj.vbc_read)) SELECT injection_min, target_min, label, count(DISTINCT vbc_read) AS n_vbc FROM kept WHERE type = 'real' GROUP BY 1, 2, 3",
     "read_matrix_dominant": f"WITH {_RT}, c AS (SELECT source, label, count(*) AS n FROM rt GROUP BY 1, 2) SELECT label, (array_agg(source ORDER BY n DESC, source))[1] AS source, CAST(sum(n) AS BIGINT) AS n, round(max(n) * 100 / CAST(sum(n) AS DOUBLE), 6) AS percent FROM c GROUP BY 1",
-    "vbc_overlap": f"WITH {_CT} SELECT v.vbc_read, l.label, CAST(coalesce(sum(c.umi_count), 0) AS BIGINT) AS umi_count FROM (SELECT DISTINCT vbc_read FROM ct WHERE site = 'target' AND umi_count >= 3) v CROSS JOIN (SELECT DISTINCT label FROM ct WHERE site = 'injection') l LEFT JOIN ct c ON c.vbc_read = v.vbc_read AND c.label = l.label AND c.type = 'real' GROUP BY 1, 2",
+    "vbc_overlap": f"WITH {_CT} SELECT v.vbc_read, l.label, CAST(coalesce(sum(c.umi_count), 0) AS BIGINT) AS umi_count FROM (SELECT DISTINCT vbc_read FROM ct WHERE site = 'target' AND umi_count >= 3) v CROSS JOIN (SELECT concat('BC', i) AS label FROM range(24) t(i) WHERE i % 8 = 0) l LEFT JOIN ct c ON c.vbc_read = v.vbc_read AND c.label = l.label AND c.type = 'real' GROUP BY 1, 2",
     "false_positive_rate": f"WITH {_CT}, re AS (SELECT * FROM ct WHERE type = 'real'), p AS (SELECT vbc_read, coalesce(max(umi_count) FILTER (WHERE site = 'injection'), 0) AS i, coalesce(max(umi_count) FILTER (WHERE site = 'target-negative'), 0) AS n, coalesce(max(umi_count) FILTER (WHERE site IN ('target', 'target-negative')), 0) AS t FROM re GROUP BY 1), s AS (SELECT unnest(range(0, (SELECT coalesce(max(umi_count), 0) FROM re WHERE site = 'target-water-control'))) AS threshold), z AS (SELECT threshold, (SELECT count(*) FROM p WHERE i > 1 AND n > threshold) AS negative, (SELECT count(*) FROM p WHERE i > 1 AND t > threshold) AS target FROM s) SELECT threshold, negative, target, round(CASE WHEN target > 0 THEN CAST(negative AS DOUBLE) / target ELSE 0.0 END, 6) AS rate FROM z",
     "template_switch_rate": f"WITH {_CT}, x AS (SELECT * FROM {_LONE.format('ct')}), s AS (SELECT CAST(coalesce(sum(umi_count) FILTER (WHERE site = 'target-lone' AND type = 'lone'), 0) AS DOUBLE) AS l1, CAST(coalesce(sum(umi_count) FILTER (WHERE site IN ('target', 'target-negative') AND type = 'real'), 0) AS DOUBLE) AS l2, CAST(coalesce(sum(umi_count) FILTER (WHERE site = 'target-lone' AND type = 'spike'), 0) AS DOUBLE) AS spk1, CAST(coalesce(sum(umi_count) FILTER (WHERE site IN ('target', 'target-negative') AND type = 'spike'), 0) AS DOUBLE) AS spk2, CAST(coalesce(sum(umi_count) FILTER (WHERE site = 'target-lone' AND type = 'real'), 0) AS DOUBLE) AS ts FROM x) SELECT l1, l2, spk1, spk2, ts, round(0.5 * (ts / (l2 * (spk1 + l1))) * l2 + (ts / (l2 * (spk1 + l1))) * spk2, 9) AS ratio FROM s",
     "rank_topn": f"WITH {_CT}, r AS (SELECT label, vbc_read, CAST(sum(read_count) AS BIGINT) AS reads FROM ct GROUP BY 1, 2) SELECT label, vbc_read, reads, CAST(row_number() OVER (PARTITION BY label ORDER BY reads DESC, vbc_read) AS INT) AS rank FROM r QUALIFY rank <= 5",

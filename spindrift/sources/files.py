@@ -5,12 +5,15 @@ from __future__ import annotations
 import configparser
 import json
 from collections.abc import Iterator
+from urllib.parse import unquote
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spindrift.functions.seq import label_of
+from spindrift.functions.seq import label_of, natural_key
+from spindrift.sources.excel import read_sheet
+from spindrift.sources.fastq import fastq_pairs
 
 STAGES = {
     "reads": "sequence string, source string",
@@ -29,59 +32,31 @@ SHEET = {
 }
 
 
-def _second_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Line 2 of every 4-line record; lines come in file order, one file after another."""
-    path, line = None, 0
-    for b in batches:
-        rows = []
-        for p, v in zip(b["path"], b["value"]):
-            if p != path:
-                path, line = p, 0
-            if line % 4 == 1:
-                rows.append((p, line // 4, v))
-            line += 1
-        yield pd.DataFrame(rows, columns=["path", "rec_no", "seq"])
-
-
-def fastq_records(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(path, rec_no, seq).  Gzip files stream, one task each; plain files are read whole, up to 2 GB each.
+def read_fastq_pairs(spark: SparkSession, pairs: list[tuple[str, str]], r1=(0, 32), r2=(0, 20), source_regex: str = r"([^/_.]+)[^/]*$", concat: bool = True, number: bool = False) -> DataFrame:
+    """(sequence, source) of paired FASTQ files, record by record; see :mod:`spindrift.sources.fastq`.
 
-    Records are four lines whatever they hold: quality lines may start with any
-    character and empty sequences keep their place.
+    A pair whose files differ in their number of records raises an error.  With
+    ``concat=False`` the two slices are rows of their own.  ``number`` adds pair_id, the
+    pair's place in ``pairs``.
     """
-    packed, plain = [p for p in paths if p.endswith(".gz")], [p for p in paths if not p.endswith(".gz")]
-    schema, parts = "path string, rec_no long, seq string", []
-    if packed:
-        lines = spark.read.text(packed).select(F.col("_metadata.file_path").alias("path"), "value")
-        parts.append(lines.mapInPandas(_second_lines, schema))
-    if plain:
-        whole = spark.read.format("binaryFile").load(plain).select("path", F.split(F.decode("content", "UTF-8"), "\r?\n").alias("l"))
-        at = whole.select("path", F.explode(F.expr("transform(sequence(0, cast((size(l) - 2) / 4 as int)), i -> struct(cast(i as long) as rec_no, l[4 * i + 1] as seq))")).alias("r"))
-        parts.append(at.select(F.regexp_replace("path", "^file:/+", "file:///").alias("path"), "r.rec_no", "r.seq"))
-    return parts[0].unionByName(parts[1]) if len(parts) == 2 else parts[0]
+    rows = fastq_pairs(spark, pairs, r1, r2)
+    named = spark.createDataFrame([(i, p[0]) for i, p in enumerate(pairs)], "pair_id int, path string")
+    out = rows.join(F.broadcast(named.select("pair_id", F.regexp_extract("path", source_regex, 1).alias("source"))), "pair_id")  # one row a pair
+    more = ["pair_id"] if number else []
+    if concat:
+        return out.select(F.concat("s1", "s2").alias("sequence"), "source", *more)
+    return out.select(F.explode(F.array("s1", "s2")).alias("sequence"), "source", *more)
 
 
-def read_fastq_pairs(spark: SparkSession, pairs: list[tuple[str, str]], r1=(0, 32), r2=(0, 20), source_regex: str = r"([^/_.]+)[^/]*$", concat: bool = True) -> DataFrame:
-    """(sequence, source) of paired FASTQ files, joined by record number.
+def write_fastq_pairs(df: DataFrame, folder: str, r1=(0, 32), r2=(32, 52), column: str = "sequence") -> None:
+    """Slices of a column as FASTQ text under ``<folder>/R1`` and ``<folder>/R2``, a part of each for every part of ``df``.
 
-    A pair whose files differ in their number of records raises an error.  With
-    ``concat=False`` the two slices are rows of their own.
+    ``df`` reads a written table, so that both writes go through the rows in one order.
     """
-    if any(len(p) != 2 for p in pairs):
-        raise ValueError("FASTQ files come in pairs")
-    def norm(p: str) -> str:
-        return p if "://" in p else "file://" + p
-    named = spark.createDataFrame([(i, side, norm(p)) for i, pair in enumerate(pairs) for side, p in enumerate(pair, 1)], "pair_id long, side int, path string")
-    rec = fastq_records(spark, [norm(p) for pair in pairs for p in pair]).withColumn("path", F.regexp_replace("path", "^file:/+", "file:///"))
-    rec = rec.join(F.broadcast(named), "path")  # one row a file
-    one, two = (rec.where(F.col("side") == s).select("pair_id", "rec_no", F.substring("seq", a + 1, b - a).alias(f"s{s}"), F.col("path").alias(f"p{s}")) for s, (a, b) in ((1, r1), (2, r2)))
-    both = one.join(two, ["pair_id", "rec_no"], "full")
-    odd = F.raise_error(F.concat(F.lit("paired files differ in records: "), F.coalesce("p1", "p2"))).cast("string")
-    path = F.when(F.col("p1").isNull() | F.col("p2").isNull(), odd).otherwise(F.col("p1"))
-    out = both.select(F.regexp_extract(path, source_regex, 1).alias("source"), "s1", "s2")
-    if concat:
-        return out.select(F.concat("s1", "s2").alias("sequence"), "source")
-    return out.select(F.col("s1").alias("sequence"), "source").unionByName(out.select(F.col("s2").alias("sequence"), "source"))
+    for side, (a, b) in (("R1", r1), ("R2", r2)):
+        seq = F.substring(column, a + 1, b - a)
+        record = F.concat_ws("\n", F.concat(F.lit("@"), F.lit(side)), seq, F.lit("+"), F.repeat(F.lit("I"), F.length(seq)))
+        df.where(F.col(column).isNotNull()).select(record.alias("value")).write.mode("overwrite").text(f"{folder}/{side}")
 
 
 def read_table(spark: SparkSession, path: str, stage: str) -> DataFrame:
@@ -131,8 +106,11 @@ def read_barcodes(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_samples(spark: SparkSession, path: str, target_min: int = 2, injection_min: int = 2) -> DataFrame:
-    """Sample sheet TSV under its sheet headers or plain names, with defaults; rows without a primer go."""
-    df = spark.read.csv(path, sep="\t", header=True)
+    """Sample sheet under its sheet headers or plain names, with defaults; rows without a primer go.
+
+    A TSV, or a workbook whose sheet "Sample information" has its header in row 2.
+    """
+    df = read_sheet(spark, path, "Sample information", 2) if path.endswith(".xlsx") else spark.read.csv(path, sep="\t", header=True)
     df = df.toDF(*[SHEET.get(c.strip(), c.strip()) for c in df.columns])
     df = df.withColumns({c: F.trim(F.col(c)) if c in df.columns else F.lit(None).cast("string") for c in SHEET.values()}).where(F.coalesce("rtprimer", F.lit("")) != "")
     least = F.when(F.col("siteinfo").startswith("target"), target_min).when(F.col("siteinfo").startswith("injection"), injection_min).otherwise(1)
@@ -214,8 +192,11 @@ def read_lists(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_amplification(spark: SparkSession, path: str) -> DataFrame:
-    """A qPCR amplification sheet saved as TSV: well_id is the well's position; rows without a cycle go."""
-    df = spark.read.csv(path, sep="\t", header=True)
+    """A qPCR amplification sheet: well_id is the well's position; rows without a cycle go.
+
+    A TSV, or a workbook whose sheet "Amplification Data" has its header in the first row that reaches column 4.
+    """
+    df = read_sheet(spark, path, "Amplification Data", None, 4) if path.endswith(".xlsx") else spark.read.csv(path, sep="\t", header=True)
     df = df.toDF(*[AMPLIFICATION.get(c.strip(), c.strip()) for c in df.columns])
     return df.withColumns({"cycle": F.col("cycle").try_cast("int"), "rn": F.col("rn").try_cast("double"), "rn_delta": F.col("rn_delta").try_cast("double"), "well_id": F.col("well_pos")}).where("cycle is not null")
 
@@ -228,21 +209,86 @@ def read_matrix(spark: SparkSession, path: str, brain: str) -> DataFrame:
     return wide.unpivot(["vbc_read"], labels, "label", "value").where("value <> 0").select(F.lit(brain).alias("brain"), "vbc_read", "label", "value")
 
 
-def write_matrices(matrices: dict[str, DataFrame], folder: str, kinds=(("real", "rbcm"), ("spike", "sbcm"), ("normalized", "nbcm"))) -> list[str]:
-    """``<folder>/<brain>.<kind>.tsv`` for every brain; each brain has its own labels as columns, in natural order.
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) as Hadoop's objects: the same places that Spark's readers and writers see."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
 
-    Brains and labels are dimensions of the sample sheet, so they are read on the driver.
-    """
-    from spindrift.operators.matrix import matrix_wide
 
+def part_files(spark: SparkSession, folder: str) -> list[str]:
+    """The part files of a written folder, in order, as URIs."""
+    fs, at = hadoop_path(spark, folder)
+    found = [x.getPath().toUri().toString() for x in fs.listStatus(at) if x.getPath().getName().startswith("part-")]
+    return sorted("file://" + x.removeprefix("file:") if x.startswith("file:/") and not x.startswith("file://") else x for x in found)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file written by the driver."""
+    fs, at = hadoop_path(spark, path)
+    out = fs.create(at, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file's text; None if there is none."""
+    fs, at = hadoop_path(spark, path)
+    return spark.read.text(path, wholetext=True).first()[0] if fs.exists(at) else None
+
+
+def matrix_rows(matrices: dict[str, DataFrame], kinds=(("real", "rbcm"), ("spike", "sbcm"), ("normalized", "nbcm"))) -> DataFrame:
+    """(brain, kind, vbc_read, cells) of long matrices: one row a barcode, a map with at most one value a sample."""
+    parts = [matrices[k].select("brain", F.lit(suffix).alias("kind"), "vbc_read", "label", "value") for k, suffix in kinds]
+    long = parts[0]
+    for x in parts[1:]:
+        long = long.unionByName(x)
+    return long.groupBy("brain", "kind", "vbc_read").agg(F.map_from_entries(F.collect_list(F.struct("label", "value"))).alias("cells"))
+
+
+def _with_headers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(name, at, value): the lines in their order, each name's first one after its header."""
+    last, at = None, 0
+    for b in batches:
+        rows = []
+        for name, header, line in zip(*(b.column(i).to_pylist() for i in range(3))):
+            if name != last:
+                rows.append((name, at, header))
+                last, at = name, at + 1
+            rows.append((name, at, line))
+            at += 1
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), (pa.string(), pa.int64(), pa.string()))], names=["name", "at", "value"])
+
+
+def write_matrices(rows: DataFrame, folder: str) -> list[str]:
+    """``<folder>/<brain>.<kind>.tsv`` for every brain and kind of :func:`matrix_rows`, written in one job.
+
+    Each matrix has its own labels as columns, in natural order, 0 where a barcode has
+    no value; every part file starts with the header.  A matrix of any size is spread
+    over ranges of its barcodes.  All matrices are written beside the folder's own and
+    take their names at the end; a matrix that stood there goes.
+    """
+    spark = rows.sparkSession
+    cells = rows.select("brain", "kind", F.explode(F.map_keys("cells")).alias("label")).distinct()
+    labels = cells.groupBy("brain", "kind").agg(F.array_sort(F.collect_list(F.struct(natural_key(F.col("label")).alias("k"), "label"))).getField("label").alias("labels"))  # one label a sample
+    wide = rows.join(F.broadcast(labels), ["brain", "kind"])
+    line = F.concat_ws("\t", F.array(F.col("vbc_read")), F.transform("labels", lambda c: F.coalesce(F.try_element_at("cells", c), F.lit(0.0)).cast("string")))
+    lines = wide.select(F.concat_ws(".", "brain", "kind").alias("name"), F.concat_ws("\t", F.array(F.lit("vbc_read")), F.col("labels")).alias("header"), line.alias("line"), "vbc_read")
+    dealt = lines.repartitionByRange("name", "vbc_read").sortWithinPartitions("name", "vbc_read").select("name", "header", "line")
+    text = dealt.mapInArrow(_with_headers, "name string, at long, value string").sortWithinPartitions("name", "at")
+    fresh = f"{folder}/_new"
+    text.select("name", "value").write.mode("overwrite").partitionBy("name").text(fresh)
+    fs, at = hadoop_path(spark, fresh)
     paths = []
-    for kind, suffix in kinds:
-        long = matrices[kind]
-        for (brain,) in sorted(long.select("brain").distinct().collect()):
-            path = f"{folder}/{brain}.{suffix}.tsv"
-            matrix_wide(long.where(F.col("brain") == brain)).drop("brain").write.mode("overwrite").csv(path, sep="\t", header=True)
+    for x in fs.listStatus(at):  # a folder a matrix: the sheet's brains times kinds
+        if x.isDirectory() and x.getPath().getName().startswith("name="):
+            path = f"{folder}/{unquote(x.getPath().getName().removeprefix('name='))}.tsv"
+            _, to = hadoop_path(spark, path)
+            fs.delete(to, True)
+            fs.rename(x.getPath(), to)
             paths.append(path)
-    return paths
+    fs.delete(at, True)
+    return sorted(paths)
 
 
 def write_frames(frames: dict[str, DataFrame], folder: str) -> None:

@@ -1,3 +1,4 @@
+import json
 import os
 import random
 
@@ -138,3 +139,101 @@ def test_whole_run(spark, tmp_path):
     assert (normal.BC1, normal.BC2, normal.BC3) == ("12.0", "6.0", "2.0")
     with pytest.raises(SystemExit):
         main(["run", "--halt", "nowhere"])
+
+
+def planted_run(tmp_path, rows, minima=("", "", ""), ratios=("", "", ""), conf=""):
+    """Arguments of a run over reads of (barcode, tag, sample, molecules, reads a molecule)."""
+    rng = random.Random(4)
+    draw = lambda n: "".join(rng.choice("ACGT") for _ in range(n))
+    ssi = {k: draw(8) for k in (1, 2, 3)}
+    heads = ["Our Tube #", "Site information", "RT primers for MAPseq", "Brain", "Region", "Spike-in Ratio", "Read Count Minimum"]
+    sheet = [heads, *[[str(k), site, str(k), "b1", reg, ratios[k - 1], minima[k - 1]] for k, site, reg in ((1, "injection", "inj"), (2, "target", "ctx"), (3, "target", "thal"))]]
+    (tmp_path / "ssi.txt").write_text("".join(f"SSI{k}\t{s}\n" for k, s in ssi.items()))
+    (tmp_path / "samples.tsv").write_text("\n".join("\t".join(r) for r in sheet) + "\n")
+    reads = [s for vbc, tag, k, n, each in rows for _ in range(n) for s in [vbc + tag + draw(12) + ssi[k]] * each]
+    for side, (a, b) in (("1", (0, 32)), ("2", (32, 52))):
+        (tmp_path / f"run1_R{side}.fastq").write_text("".join(f"@r{i}\n{s[a:b]}\n+\n{'I' * (b - a)}\n" for i, s in enumerate(reads)))
+    (tmp_path / "run.conf").write_text(conf)
+    at = lambda name: str(tmp_path / name)
+    return ["-c", at("run.conf"), "-s", at("samples.tsv"), "-b", at("ssi.txt"), "-O", at("out"), at("run1_R1.fastq"), at("run1_R2.fastq")]
+
+
+REAL, OTHER, SPIKE = "ACGTTGCAAGCTTACGGATCCATGCAATGC", "TTGACCAGTAGGCATTACGCGATCTAGGCA", "GATTACAGGCTAACCGTTAGCTAA" + "CGTCAG"
+ROWS = [(REAL, "CT", 1, 12, 5), (REAL, "CT", 2, 4, 5), (REAL, "CT", 2, 3, 3), (REAL, "CT", 3, 4, 3), (OTHER, "CT", 3, 2, 3), (SPIKE, "TC", 1, 4, 5), (SPIKE, "TC", 2, 4, 5), (SPIKE, "TC", 3, 2, 5)]
+
+
+def normal(spark, tmp_path, kind="nbcm"):
+    found = spark.read.csv(str(tmp_path / "out" / "matrices" / f"b1.{kind}.tsv"), sep="\t", header=True)
+    return {r.vbc_read: {c: float(r[c]) for c in found.columns[1:]} for r in found.collect()}
+
+
+def test_a_sample_keeps_reads_from_its_own_minimum_on(spark, tmp_path):
+    main(["run", *planted_run(tmp_path, ROWS, minima=("", "4", ""))])
+    got = {(r.label, r.type, r.vbc_read): r.umi_count for r in spark.read.parquet(str(tmp_path / "out" / "vbctable.parquet")).collect()}
+    assert got == {("BC1", "real", REAL): 12, ("BC2", "real", REAL): 4, ("BC3", "real", REAL): 4, ("BC3", "real", OTHER): 2, ("BC1", "spike", SPIKE): 4, ("BC2", "spike", SPIKE): 4, ("BC3", "spike", SPIKE): 2}
+    assert normal(spark, tmp_path) == {REAL: {"BC1": 12.0, "BC2": 4.0, "BC3": 8.0}}
+    before = spark.read.csv(str(tmp_path / "out" / "spikeqc.prethresh.tsv"), sep="\t", header=True)
+    assert {(r.label, r.n_umi) for r in before.collect()} == {("BC1", "4"), ("BC2", "4"), ("BC3", "2")}
+
+
+def test_ratios_count_only_if_one_exceeds_1(spark, tmp_path):
+    args = planted_run(tmp_path, ROWS, ratios=("1", "0.5", "1"))
+    main(["run", *args])
+    assert normal(spark, tmp_path)[REAL] == {"BC1": 12.0, "BC2": 7.0, "BC3": 8.0}
+    sheet = tmp_path / "samples.tsv"
+    sheet.write_text(sheet.read_text().replace("thal\t1\t", "thal\t2\t"))  # what depends on the sheet is made anew, the reads aren't
+    stamp = os.stat(tmp_path / "out" / "reads.parquet" / "_SUCCESS").st_mtime_ns
+    main(["run", *args])
+    assert normal(spark, tmp_path)[REAL] == {"BC1": 12.0, "BC2": 3.5, "BC3": 16.0}
+    assert os.stat(tmp_path / "out" / "reads.parquet" / "_SUCCESS").st_mtime_ns == stamp
+
+
+def test_found_stages_changed_settings_force_and_numbers(spark, tmp_path):
+    args = planted_run(tmp_path, [*ROWS, ("A" * 30, "CT", 2, 2, 3)])
+    stages = ("reads", "aggregated", "filtered")
+    stamps = lambda: {s: os.stat(tmp_path / "out" / f"{s}.parquet" / "_SUCCESS").st_mtime_ns for s in stages}
+    changed = lambda a, b: {s for s in stages if a[s] != b[s]}
+    main(["filtered", *args])
+    first = stamps()
+    main(["run", "--halt", "filtered", *args])
+    assert changed(first, stamps()) == set()
+    (tmp_path / "run.conf").write_text("[fastq]\nmax_repeats = 20\n")
+    main(["filtered", *args])
+    second = stamps()
+    assert changed(first, second) == {"filtered"}
+    main(["aggregated", "-f", *args])
+    third = stamps()
+    assert changed(second, third) == {"aggregated"}
+    lines = (tmp_path / "run1_R1.fastq").read_text().splitlines(keepends=True)
+    for side in "12":
+        path = tmp_path / f"run1_R{side}.fastq"
+        path.write_text("".join(path.read_text().splitlines(keepends=True)[: len(lines) - 4 * 3]))
+    (tmp_path / "run.conf").write_text("[vbctable]\nmerge_samples = False\n")
+    main(["run", *args])
+    assert changed(third, stamps()) == set(stages)
+    stats = json.loads((tmp_path / "out" / "stats.json").read_text())
+    n = len(lines) // 4 - 3
+    assert stats["fastq"] == {"pairs_handled": 1, "reads_handled": n, "pair1_len": n, "n_repeat_A": 1, "n_repeat_C": 0, "n_repeat_G": 0, "n_repeat_T": 0}
+    assert stats["fastq_filter"] == {"num_initial": 36, "max_repeats": 7, "num_has_repeats": 1, "num_has_n": 0, "num_kept": 35}
+    assert stats["readtable"] == {"n_initial": 35, "n_badssi": 0, "n_tswitch": 0, "n_lones": 0, "n_badtype": 0, "n_full_sequences": 35, "n_final": 35}
+    assert stats["vbctable"] == {"n_vbcs": 7} and stats["matrices"] == {"brain_b1": {"n_vbcs_real": 1, "n_vbcs_spike": 1}}
+    (tmp_path / "t.md").write_text("{{ stats.fastq.reads_handled }} reads, {{ conf.project.project_id }}")
+    main(["report", "-O", str(tmp_path / "out"), "-t", str(tmp_path / "t.md"), "-o", str(tmp_path / "r.md")])
+    assert (tmp_path / "r.md").read_text() == f"{n} reads, M000"
+    (tmp_path / "run.conf").write_text("[vbctable]\nmerge_samples = True\n")
+    main(["vbctable", *args])
+    merged = spark.read.parquet(str(tmp_path / "out" / "vbctable.parquet")).select("label", "region", "ourtube").distinct().collect()
+    assert [tuple(r) for r in merged] == [("BC100", "100", "100")]
+
+
+def test_reads_of_other_samples_in_a_tube_go_while_reading(spark, tmp_path):
+    args = planted_run(tmp_path, [(REAL, "CT", 2, 3, 2), (REAL, "CT", 3, 1, 2)], conf="[fastq]\nfilter_by_sampleinfo_ssi = True\n")
+    for side in "12":
+        os.rename(tmp_path / f"run1_R{side}.fastq", tmp_path / f"M1-2_R{side}.fastq")
+    args = [a.replace("run1_R", "M1-2_R") for a in args]
+    main(["reads", *args])
+    assert spark.read.parquet(str(tmp_path / "out" / "reads.parquet")).count() == 6
+    (tmp_path / "run.conf").write_text("[fastq]\nfilter_by_non_dominant = True\n")
+    main(["reads", *args])
+    assert spark.read.parquet(str(tmp_path / "out" / "reads.parquet")).count() == 6
+    assert json.loads((tmp_path / "out" / "stats.json").read_text())["fastq"] == {"pairs_handled": 1, "pair1_len": 8, "reads_handled": 6}

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spindrift.llm.lines import LOWER, UPPER
-from spindrift.llm.words import WORD_BASE, Block, block_of, mix, span_hashes
+from spindrift.llm.words import _SPACE, WORD_BASE, Block, block_of, mix, span_hashes
 from spindrift.plans.scratch import Scratch
 
 #: What ends a piece.
@@ -35,13 +35,13 @@ _U = np.uint64
 
 
 def pieces_of(docs: DataFrame) -> DataFrame:
-    """(lang, piece, n): the distinct pieces that hold a word and how often each stands in the texts; words one space apart."""
+    """(lang, piece, n): the distinct pieces that hold a word and how often each stands in the texts; words one space apart, and a line end."""
     text = F.translate(F.coalesce(F.col("text").cast("string"), F.lit("")), UPPER, LOWER)
     cut = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.explode(F.split(text, ENDS)).alias("piece"))
     cut = cut.select("lang", F.btrim("piece", F.lit(" \t")).alias("piece")).where("piece <> ''")
     loose = F.col("piece").contains("  ") | F.col("piece").contains("\t")
     cut = cut.withColumn("piece", F.when(loose, F.regexp_replace("piece", "[ \t]+", " ")).otherwise(F.col("piece")))
-    return cut.groupBy("lang", "piece").agg(F.count(F.lit(1)).alias("n"))
+    return cut.select("lang", F.concat("piece", F.lit("\n")).alias("piece")).groupBy("lang", "piece").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _gram_hashes(words: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
@@ -57,6 +57,19 @@ def _slots(hashes: np.ndarray, langs: np.ndarray, bits: int) -> np.ndarray:
     return (mix(hashes ^ langs) >> _U(64 - bits)).astype(np.int64)
 
 
+def _block(pieces: pa.StringArray) -> Block:
+    """The words of pieces that each end with a line end, in the bytes as they stand."""
+    _, offsets, data = pieces.buffers()
+    at = np.frombuffer(offsets, dtype=np.int32)[pieces.offset : pieces.offset + len(pieces) + 1].astype(np.int64)
+    raw = np.frombuffer(data, dtype=np.uint8)[at[0] : at[-1]]
+    inside = np.zeros(len(raw) + 2, dtype=np.int8)
+    inside[1:-1] = ~_SPACE[raw]
+    edge = np.diff(inside)
+    starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    first = np.searchsorted(starts, at - at[0])
+    return Block(raw, starts, ends, first[:-1], first[1:])
+
+
 def _texts(block: Block, first: np.ndarray, last: np.ndarray) -> pa.Array:
     """The texts from word ``first`` to word ``last`` each."""
     lo, n = block.starts[first], block.ends[last] - block.starts[first]
@@ -80,46 +93,46 @@ def _level(size: int, bitmap, bits: int, most: int):
     At the first level a row without a gram has the words of each language.
     """
 
-    def grams(langs: list[str], texts: list[bytes], counts: list[int]) -> Iterator[pa.RecordBatch]:
-        block = block_of(texts)
+    def grams(batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(batches)
+        lang = table.column(0).combine_chunks().dictionary_encode()
+        which, weight = lang.indices.to_numpy(), table.column(2).to_numpy()
+        block = _block(table.column(1).combine_chunks())
         per = block.doc_to - block.doc_from
-        doc = np.repeat(np.arange(len(texts)), per)
+        doc = np.repeat(np.arange(len(per)), per)
         start = np.flatnonzero(np.arange(len(doc)) + size <= block.doc_to[doc])  # where so many words follow in the piece
-        name = _lang_hashes(langs)
-        lang = np.array([name[x] for x in langs], dtype=_U)[doc]
-        weight = np.array(counts, dtype=np.int64)
+        name = _lang_hashes(names := lang.dictionary.to_pylist())
+        mark = np.array([name[x] for x in names], dtype=_U)[which][doc]
         words = block.word_hashes()
         if size > 1:
-            seen = bitmap.value
-            part = _slots(_gram_hashes(words, np.arange(len(words) - size + 2), size - 1), lang[: max(len(words) - size + 2, 0)], bits)
+            seen, n = bitmap.value, max(len(words) - size + 2, 0)
+            part = _slots(_gram_hashes(words, np.arange(n), size - 1), mark[:n], bits)
             hit = (seen[part >> 6] >> (part & 63).astype(_U)) & _U(1) != 0
             start = start[hit[start] & hit[start + 1]]
-        own = _gram_hashes(words, start, size) ^ mix(lang[start])
+        own = _gram_hashes(words, start, size) ^ mix(mark[start])
         other = _gram_hashes(block.word_hashes(1), start, size)
         one, total = _summed(own, other, weight[doc[start]])
         at = start[one]
         for lo in range(0, len(at), 200_000):
             some = at[lo : lo + 200_000]
-            yield pa.RecordBatch.from_arrays([pa.array([langs[i] for i in doc[some]], pa.string()), _texts(block, some, some + size - 1), pa.array(total[lo : lo + 200_000])], names=["lang", "gram", "weight"])
+            its = pa.DictionaryArray.from_arrays(pa.array(which[doc[some]]), lang.dictionary).cast(pa.string())
+            yield pa.RecordBatch.from_arrays([its, _texts(block, some, some + size - 1), pa.array(total[lo : lo + 200_000])], names=["lang", "gram", "weight"])
         if size == 1:
-            held: dict[str, int] = {}
-            for x, n in zip(langs, (per * weight).tolist()):
-                held[x] = held.get(x, 0) + n
-            yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.nulls(len(held), pa.string()), pa.array(list(held.values()), pa.int64())], names=["lang", "gram", "weight"])
+            held = np.zeros(len(names), dtype=np.int64)
+            np.add.at(held, which, per * weight)
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.nulls(len(names), pa.string()), pa.array(held)], names=["lang", "gram", "weight"])
 
     def per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        langs, texts, counts, held = [], [], [], 0
+        held, bytes_held = [], 0
         for b in batches:
-            for x, t, n in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist(), b.column(2).to_pylist()):
-                langs.append(x)
-                texts.append(t)
-                counts.append(n)
-                held += len(t) + 1
-                if held >= most:
-                    yield from grams(langs, texts, counts)
-                    langs, texts, counts, held = [], [], [], 0
-        if texts:
-            yield from grams(langs, texts, counts)
+            if b.num_rows:
+                held.append(b)
+                bytes_held += b.column(1).nbytes
+            if bytes_held >= most:
+                yield from grams(held)
+                held, bytes_held = [], 0
+        if held:
+            yield from grams(held)
 
     return per_task
 

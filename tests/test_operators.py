@@ -72,7 +72,7 @@ def test_spread_and_diameter_equal_brute_force(spark):
         members.setdefault((g, c), []).append(s)
     cdf = spark.createDataFrame([(g, c, s) for (g, s), c in comp.items()], "grp string, comp string, seq string")
     edf = spark.createDataFrame(edges, "grp string, a string, b string, distance int")
-    for pivots in (1, 16):
+    for pivots in (3,):
         got = {(r.grp, r.comp): r.max_ham for r in spread.farthest_pairs(cdf, Scratch(spark, "t"), pivots).collect()}
         assert got == {k: max(ham(a, b) for a, b in combinations(v, 2)) for k, v in members.items()}
     got = {(r.grp, r.comp): r.diameter for r in spread.component_diameter(edf, cdf, 2).collect()}

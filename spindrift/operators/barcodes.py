@@ -5,6 +5,7 @@ Subjects (brains) are a grouping key throughout; nothing loops over them.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from itertools import combinations
 
 from pyspark.sql import DataFrame, Window
@@ -224,10 +225,22 @@ def edit_edges(seqs: DataFrame, max_distance: int = 3) -> DataFrame:
 
 
 def cluster(edges: DataFrame, scratch: Scratch) -> DataFrame:
-    """(grp, seq, comp): components of each group's edges; comp is the smallest sequence."""
-    node = lambda c: F.struct("grp", c)
-    parts = connected_components(edges.select(node("a").alias("a"), node("b").alias("b")).select(F.col("a").cast("struct<grp:string,seq:string>"), F.col("b").cast("struct<grp:string,seq:string>")), scratch)
-    return parts.select("node.grp", "node.seq", F.col("component.seq").alias("comp"))
+    """(grp, seq, comp): components of each group's edges; comp is the smallest sequence.
+
+    Sequences are numbered in their order first, so that the rounds move and compare
+    numbers, and the smallest number of a component is its smallest sequence.
+    """
+    ends = edges.select("grp", F.col("a").alias("seq")).unionByName(edges.select("grp", F.col("b").alias("seq"))).distinct()
+    nodes = scratch.keep(ends.repartitionByRange("grp", "seq").sortWithinPartitions("grp", "seq").withColumn("id", F.monotonically_increasing_id()), "nodes")
+
+    def number(df: DataFrame, column: str) -> DataFrame:
+        named = nodes.select(F.col("grp").alias("_g"), F.col("seq").alias("_s"), F.col("id").alias(f"_{column}"))
+        return df.join(named, F.col("grp").eqNullSafe(F.col("_g")) & (F.col(column) == F.col("_s"))).drop("_g", "_s")
+
+    pairs = number(number(edges.select("grp", "a", "b"), "a"), "b").select("_a", "_b")
+    parts = connected_components(pairs, scratch, "_a", "_b")
+    names = nodes.select(F.col("id").alias("component"), F.col("seq").alias("comp"))
+    return parts.join(nodes, F.col("node") == F.col("id")).join(names, "component").select("grp", "seq", "comp")
 
 
 def representatives(seqs: DataFrame, comps: DataFrame, by: str = "n") -> DataFrame:
@@ -243,14 +256,19 @@ def apply_collapse(df: DataFrame, comps: DataFrame, reps: DataFrame, column: str
     return out.withColumn(f"{column}_orig", F.col(column)).withColumn(column, F.coalesce("rep", column)).drop("_g", "_s", "rep")
 
 
-def align_collapse(df: DataFrame, column: str = "vbc_read", group: str | None = "brain", max_distance: int = 3, min_reads: int = 1, by: str = "n", metric: str = "hamming") -> DataFrame:
-    """The whole collapse; rows without a group pass through unchanged; ``group=None`` collapses globally."""
+def align_collapse(df: DataFrame, column: str = "vbc_read", group: str | None = "brain", max_distance: int = 3, min_reads: int = 1, by: str = "n", metric: str = "hamming", seen: Callable[[str, DataFrame], DataFrame] | None = None) -> DataFrame:
+    """The whole collapse; rows without a group pass through unchanged; ``group=None`` collapses globally.
+
+    ``seen`` is given each table on the way ("sequences", "edges", "components") before it
+    is written, and may return it with an observation attached.
+    """
     scratch = Scratch(df.sparkSession, "collapse")
     work = df if group else df.withColumn("_all", F.lit("all"))
     key = group or "_all"
     work = work.where(F.col("read_count") >= min_reads) if min_reads > 1 else work
-    seqs = scratch.keep(unique_sequences(work, column, key), "sequences")
-    comps = scratch.keep(cluster(scratch.keep(similarity_edges(seqs, max_distance, metric), "similar"), scratch), "clusters")
+    keep = lambda name, x: scratch.keep(seen(name, x) if seen else x, name)
+    seqs = keep("sequences", unique_sequences(work, column, key))
+    comps = keep("components", cluster(keep("edges", similarity_edges(seqs, max_distance, metric)), scratch))
     out = apply_collapse(work, comps, representatives(seqs, comps, by), column, key)
     return out if group else out.drop("_all")
 

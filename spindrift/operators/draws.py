@@ -81,7 +81,7 @@ def weighted_draws(library: DataFrame, draws: DataFrame, key: str, weight: str,
     in buckets of about ``per_bucket`` owners; the pool is never written out.
     """
     some = library.where(F.col(weight) > 0).groupBy(F.col(key).alias("value")).agg(F.sum(weight).cast("long").alias("n"))
-    owned = scratch.keep(ranks.running_sums(some, "value", "n", scratch, descending=False), "owners")
+    owned = scratch.keep(ranks.running_sums(some, [F.asc("value")], "n", scratch), "owners")
     size = owned.agg(F.sum("n").alias("_all"), F.count(F.lit(1)).alias("_rows")).withColumn("_width", F.greatest(F.lit(1), F.expr(f"_all * {per_bucket} div _rows")))
     size = F.broadcast(size)  # one row
     stands = owned.crossJoin(size).withColumn("_bucket", F.explode(F.expr("sequence(before div _width, (before + n - 1) div _width)")))

@@ -78,11 +78,11 @@ def spikein_qc(df: DataFrame) -> DataFrame:
 
 def cumulative(df: DataFrame, column: str) -> DataFrame:
     """Value counts from the most frequent down with running proportion; ties by value."""
-    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    order = Window.orderBy(F.desc("n"), column)
+    scratch = Scratch(df.sparkSession, "cumulative")
+    counts = scratch.keep(df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n")), "counts")
+    run = ranks.running_sums(counts, [F.desc("n"), F.asc(column)], "n", scratch)
     total = counts.agg(F.sum("n").alias("total"))
-    run = counts.withColumn("running", F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    return run.crossJoin(F.broadcast(total)).select(column, "n", (F.col("running") / F.col("total")).alias("proportion"))  # total: one row
+    return run.crossJoin(F.broadcast(total)).select(column, "n", ((F.col("before") + F.col("n")) / F.col("total")).alias("proportion"))  # total: one row
 
 
 def rank_top(df: DataFrame, group: str, value: str, tie: str, ranks: int) -> DataFrame:

@@ -53,18 +53,18 @@ def histogram(df: DataFrame, column: str) -> DataFrame:
     return df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def running_sums(df: DataFrame, value: str, n: str, scratch: Scratch, descending: bool = True) -> DataFrame:
-    """``df`` with ``before``: the sum of ``n`` over rows whose ``value``, unlike in all rows, comes earlier."""
-    placed = _sorted(df, [F.desc(value) if descending else F.asc(value)], scratch)
+def running_sums(df: DataFrame, order: list[Column], n: str, scratch: Scratch) -> DataFrame:
+    """``df`` with ``before``: the sum of ``n`` over the rows that come earlier in the order, which has no ties."""
+    placed = _sorted(df, order, scratch)
     offsets = F.broadcast(_before(placed.groupBy("_range").agg(F.sum(n).alias("_n")), "_n"))  # a row for each range
     within = Window.partitionBy("_range").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
     own = placed.withColumn("_in", F.coalesce(F.sum(n).over(within), F.lit(0)))
-    return own.join(offsets, "_range").select(*df.columns, (F.col("_before") + F.col("_in")).alias("before"))
+    return own.join(offsets, "_range").select(*[F.col(f"`{c}`") for c in df.columns], (F.col("_before") + F.col("_in")).alias("before"))
 
 
 def running_counts(df: DataFrame, column: str, scratch: Scratch, descending: bool = True) -> DataFrame:
     """(value, n, before): rows of each distinct value, and rows of all values that come earlier."""
-    return running_sums(histogram(df, column), "value", "n", scratch, descending)
+    return running_sums(histogram(df, column), [F.desc("value") if descending else F.asc("value")], "n", scratch)
 
 
 def value_at(df: DataFrame, column: str, fraction: float, scratch: Scratch, descending: bool = True) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spindrift.functions import seq
@@ -195,6 +195,7 @@ QUERIES = {
     "site_read_threshold": lambda s, d: B.site_threshold(readtable(s, d), 10, 20),
     "sample_read_threshold": lambda s, d: B.sample_threshold(readtable(s, d), _samples(s)),
     "similarity_edges": edges,
+    "edit_edges": lambda s, d: B.similarity_edges(B.unique_sequences(readtable(s, d), "umi"), 2, "levenshtein"),
     "components": lambda s, d: _clusters(s, d)[2],
     "representatives": reps,
     "collapse_reads": lambda s, d: B.align_collapse(readtable(s, d)).groupBy("brain", "vbc_read").agg(F.count(F.lit(1)).alias("n"), F.sum("read_count").alias("reads")),
@@ -244,7 +245,7 @@ QUERIES = {
     "blacklist_rates": lambda s, d: draws.blacklist_rates(readtable(s, d).where("type = 'real'"), (1, 5, 10, 30), 500, 4).withColumn("p_dupes", F.round("p_dupes", 6)),
     "freq_threshold": lambda s, d: M.freq_threshold(M.library_counts(kept_counts(s, d)), 0.1, "umi_count"),
     "unique_fraction": lambda s, d: M.unique_fraction(M.library_counts(kept_counts(s, d)), [10, 100, 1000]).withColumn("p_unique", F.round("p_unique", 6)),
-    "natural_sort_labels": lambda s, d: readtable(s, d).select("label").distinct().withColumn("position", F.row_number().over(Window.orderBy(seq.natural_key(F.col("label"))))),
+    "natural_sort_labels": lambda s, d: ranks.global_rank(readtable(s, d).select("label").distinct(), [seq.natural_key(F.col("label"))], Scratch(s, "labels"), name="position"),
     "gap_groups": lambda s, d: M.gap_groups(s.read.parquet(f"{d}/supplier.parquet").select("s_suppkey", "s_acctbal"), "s_acctbal", "s_suppkey", 500.0),
     "hamming1_neighbours": lambda s, d: readtable(s, d).select("vbc_read").distinct().select("vbc_read", F.explode(seq.neighbours(F.substring("vbc_read", 1, 4))).alias("near")),
     "cumulative_threshold": lambda s, d: M.cumulative_threshold(readtable(s, d), 0.8),
@@ -332,6 +333,7 @@ ORACLE_SQL: dict[str, str] = {
     "site_read_threshold": f"WITH {_RT} SELECT * FROM rt WHERE (site LIKE 'target%' AND read_count >= 10) OR (site LIKE 'injection%' AND read_count >= 20)",
     "sample_read_threshold": f"WITH {_RT} SELECT rt.* FROM rt JOIN (SELECT concat('BC', i) AS label, i % 7 AS m FROM range(12) t(i)) s ON rt.label = s.label WHERE read_count >= m",
     "similarity_edges": f"WITH {_ED} SELECT * FROM ed",
+    "edit_edges": f"WITH {_RT}, us AS (SELECT DISTINCT brain AS grp, umi AS seq FROM rt WHERE brain <> '') SELECT x.grp, x.seq AS a, y.seq AS b, CAST(levenshtein(x.seq, y.seq) AS INT) AS distance FROM us x JOIN us y ON x.grp = y.grp AND x.seq < y.seq WHERE levenshtein(x.seq, y.seq) <= 2",
     "components": f"WITH RECURSIVE {_CO} SELECT * FROM co",
     "representatives": f"WITH RECURSIVE {_CO}, {_RP} SELECT * FROM rp",
     "collapse_reads": f"WITH RECURSIVE {_CO}, {_RP} SELECT rt.brain, coalesce(rp.rep, rt.vbc_read) AS vbc_read, count(*) AS n, CAST(sum(read_count) AS BIGINT) AS reads FROM rt LEFT JOIN co ON rt.brain = co.grp AND rt.vbc_read = co.seq LEFT JOIN rp ON co.grp = rp.grp AND co.comp = rp.comp GROUP BY 1, 2",
@@ -381,7 +383,7 @@ ORACLE_SQL: dict[str, str] = {
     "rank_topn": f"WITH {_CT}, r AS (SELECT label, vbc_read, CAST(sum(read_count) AS BIGINT) AS reads FROM ct GROUP BY 1, 2) SELECT label, vbc_read, reads, CAST(row_number() OVER (PARTITION BY label ORDER BY reads DESC, vbc_read) AS INT) AS rank FROM r QUALIFY rank <= 5",
     "freq_threshold": f"WITH {_LIB} SELECT umi_count + 1 AS threshold FROM (SELECT umi_count, row_number() OVER (ORDER BY umi_count DESC) AS r, count(*) OVER () AS n FROM lib) WHERE r = CAST(floor(n * 0.1) AS BIGINT) + 1",
     "unique_fraction": f"WITH {_LIB}, p AS (SELECT umi_count / CAST(sum(umi_count) OVER () AS DOUBLE) AS p FROM lib) SELECT k, round(1 - sum(p * (1 - pow(1 - p, k - 1))), 6) AS p_unique FROM p, (VALUES (CAST(10 AS BIGINT)), (100), (1000)) t(k) GROUP BY k",
-    "natural_sort_labels": f"WITH {_RT} SELECT label, CAST(row_number() OVER (ORDER BY CAST(substr(label, 3) AS INT)) AS INT) AS position FROM (SELECT DISTINCT label FROM rt)",
+    "natural_sort_labels": f"WITH {_RT} SELECT label, row_number() OVER (ORDER BY CAST(substr(label, 3) AS INT)) AS position FROM (SELECT DISTINCT label FROM rt)",
     "gap_groups": "WITH RECURSIVE o AS (SELECT s_suppkey, s_acctbal, row_number() OVER (ORDER BY s_acctbal, s_suppkey) AS r FROM supplier), g(r, floor, group_id) AS (SELECT r, s_acctbal, 0 FROM o WHERE r = 1 UNION ALL SELECT o.r, CASE WHEN o.s_acctbal > g.floor + 500 THEN o.s_acctbal ELSE g.floor END, CASE WHEN o.s_acctbal > g.floor + 500 THEN g.group_id + 1 ELSE g.group_id END FROM g JOIN o ON o.r = g.r + 1) SELECT s_suppkey, s_acctbal, CAST(group_id AS INT) AS group_id FROM o JOIN g ON o.r = g.r",
     "hamming1_neighbours": f"WITH {_RT}, v AS (SELECT DISTINCT vbc_read, substr(vbc_read, 1, 4) AS w FROM rt) SELECT vbc_read, concat(substr(w, 1, i - 1), c, substr(w, i + 1)) AS near FROM v, range(1, 5) t(i), (VALUES ('A'), ('C'), ('G'), ('T')) b(c) WHERE substr(w, i, 1) <> c",
     "reverse_complement": f"WITH {_RT} SELECT DISTINCT vbc_read, translate(reverse(vbc_read), 'ACGT', 'TGCA') AS rc FROM rt",

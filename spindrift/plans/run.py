@@ -144,9 +144,20 @@ class Run:
         flags = {"n_badssi": ~known} | ({"n_tswitch": switched, "n_lones": lone} if use_lone else {}) | ({"n_badtype": bad} if by_libtag else {}) | {"n_full_sequences": kept, "n_final": kept}
         return watch.on(full, "/readtable", n_initial=_rows(), **{k: F.count_if(c) for k, c in flags.items()}).where(kept).drop("ssi", "spikeseq")
 
+    def _brains(self) -> list[str]:
+        return sorted(r[0] for r in self.samples.select("brain").where("brain <> ''").distinct().collect())  # the sheet's brains
+
     def collapsed(self, watch: Watch) -> DataFrame:
         co = self.cp["collapse"]
-        df = B.align_collapse(self.out["readtable"], max_distance=co.getint("max_mismatch"), min_reads=co.getint("min_reads"), metric=co["metric"])
+        numbers = {"sequences": ("n_unique_sequences", F.lit(True)), "edges": ("n_edges", F.lit(True)), "components": ("n_multi_components", F.col("seq") == F.col("comp"))}
+
+        def seen(name: str, df: DataFrame) -> DataFrame:
+            key, counted = numbers[name]
+            for b in self._brains():
+                df = watch.on(df, f"/collapse/brain_{b}", **{key: F.count_if((F.col("grp") == b) & counted)})
+            return df
+
+        df = B.align_collapse(self.out["readtable"], max_distance=co.getint("max_mismatch"), min_reads=co.getint("min_reads"), metric=co["metric"], seen=seen)
         watch.add("/collapse", "api_max_mismatch", co.getint("max_mismatch"))
         return watch.on(df, "/collapse", n_thresholded_sequences=_rows(), n_no_group=F.count_if(F.col("brain") == ""), n_remerged=F.count_if(F.col("vbc_read") != F.col("vbc_read_orig")))
 
@@ -185,9 +196,8 @@ class Run:
     def _make(self, step: str) -> dict:
         watch = Watch()
         if step == "matrices":
-            brains = sorted(r[0] for r in self.samples.select("brain").where("brain <> ''").distinct().collect())  # the sheet's brains
             rows = files.matrix_rows(self.matrices(watch))
-            for b in brains:
+            for b in self._brains():
                 mine = lambda kind: F.count_if((F.col("brain") == b) & (F.col("kind") == kind))  # noqa: B023, E731
                 rows = watch.on(rows, f"/matrices/brain_{b}", n_vbcs_real=mine("rbcm"), n_vbcs_spike=mine("sbcm"))
             files.write_matrices(rows, f"{self.folder}/matrices")

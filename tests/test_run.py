@@ -216,6 +216,7 @@ def test_found_stages_changed_settings_force_and_numbers(spark, tmp_path):
     assert stats["fastq"] == {"pairs_handled": 1, "reads_handled": n, "pair1_len": n, "n_repeat_A": 1, "n_repeat_C": 0, "n_repeat_G": 0, "n_repeat_T": 0}
     assert stats["fastq_filter"] == {"num_initial": 36, "max_repeats": 7, "num_has_repeats": 1, "num_has_n": 0, "num_kept": 35}
     assert stats["readtable"] == {"n_initial": 35, "n_badssi": 0, "n_tswitch": 0, "n_lones": 0, "n_badtype": 0, "n_full_sequences": 35, "n_final": 35}
+    assert stats["collapse"] == {"api_max_mismatch": 3, "n_thresholded_sequences": 35, "n_no_group": 0, "n_remerged": 0, "brain_b1": {"n_unique_sequences": 3, "n_edges": 0, "n_multi_components": 0}}
     assert stats["vbctable"] == {"n_vbcs": 7} and stats["matrices"] == {"brain_b1": {"n_vbcs_real": 1, "n_vbcs_spike": 1}}
     (tmp_path / "t.md").write_text("{{ stats.fastq.reads_handled }} reads, {{ conf.project.project_id }}")
     main(["report", "-O", str(tmp_path / "out"), "-t", str(tmp_path / "t.md"), "-o", str(tmp_path / "r.md")])

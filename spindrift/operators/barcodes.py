@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from itertools import combinations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spindrift.functions.seq import hamming, has_repeat, n_count, neighbours, starts_like
@@ -169,37 +169,65 @@ def unique_sequences(df: DataFrame, column: str = "vbc_read", group: str = "brai
     return df.where(F.col(group) != "").groupBy(F.col(group).alias("grp"), F.col(column).alias("seq")).agg(F.count(F.lit(1)).alias("n"), F.sum(parent).alias("weight"))
 
 
-#: A sequence of A, C, G and T only: each base as one of four bits, 15 bases a long; null for others.
-_ONE_HOT = "if(seq rlike '^[ACGT]+$', transform(sequence(0, int((length(seq) - 1) div 15)), i -> cast(conv(substring(translate(seq, 'ACGT', '1248'), i * 15 + 1, 15), 16, 10) as long)), null)"
+def _cells(seqs: DataFrame, blocks: int) -> DataFrame:
+    """(grp, len, c0, more, raw, ...) of non-null sequences: two bits a base, 31 bases a long at most.
+
+    ``c0`` is the first long and ``more`` the others, if any; a long holds a multiple of
+    ``blocks`` bases, so a base's place in its long tells its block.  Other letters are
+    coded as A; ``raw`` is then the sequence itself.
+    """
+    width = blocks * (31 // blocks)
+    other = F.col("seq").rlike("[^ACGT]")
+    digits = F.translate(F.when(other, F.regexp_replace("seq", "[^ACGT]", "A")).otherwise(F.col("seq")), "ACGT", "0123")
+    rows = seqs.where("seq is not null").select("*", F.length("seq").alias("len"), digits.alias("_d"), F.when(other, F.col("seq")).alias("raw"))
+    c0 = F.coalesce(F.conv(F.nullif(F.expr(f"left(_d, {width})"), F.lit("")), 4, 10).cast("long"), F.lit(0))
+    more = F.expr(f"if(len > {width}, transform(sequence(1, int((len - 1) div {width})), i -> cast(conv(substring(_d, i * {width} + 1, {width}), 4, 10) as long)), null)")
+    return rows.select("grp", "len", c0.cast("long").alias("c0"), more.alias("more"), "raw", *[c for c in ("id",) if c in seqs.columns])
+
+
+def _decoded(side: str, width: int) -> Column:
+    """The sequence of a row of :func:`_cells`."""
+    text = lambda c, n: f"translate(lpad(conv({c}, 10, 4), {n}, '0'), '0123', 'ACGT')"
+    n = f"int({side}.len)"
+    rest = f"if({side}.more is null, '', array_join(transform({side}.more, (c, i) -> {text('c', f'least({width}, {n} - (i + 1) * {width})')}), ''))"
+    return F.expr(f"coalesce({side}.raw, concat({text(f'{side}.c0', f'least({width}, {n})')}, {rest}))")
 
 
 def similarity_edges(seqs: DataFrame, max_distance: int = 3, metric: str = "hamming") -> DataFrame:
     """(grp, a, b, distance) for all pairs a < b of one group at 1..max_distance; null sequences are in none.
 
-    With ``hamming`` sequences of one length are compared.  Pigeonhole: of
-    ``max_distance + 2`` blocks of a sequence at least two are equal, so sequences
-    meet under the hashes of equal pairs of blocks; a pair counts under the first
-    pair of blocks whose hashes agree only, so hash collisions neither lose nor
-    repeat one.  The distance is a count of bits for plain ACGT.  With
-    ``levenshtein`` see :func:`edit_edges`.
+    With ``hamming`` sequences of one length are compared.  Pigeonhole: the places of a
+    sequence are dealt in turn to blocks, two more than ``max_distance`` and five at
+    least; so many of them are equal that sequences meet under the hashes of equal
+    blocks.  Dealt in turn, since whole stretches may be fixed, as the end of a spike is:
+    as a block it would keep nothing apart.  Codes of two bits a base travel, not
+    the sequences; a pair counts under its first equal blocks only.  If
+    ``seqs`` has an ``id`` in the sequences' order, ``a_id`` and ``b_id`` follow.
+    With ``levenshtein`` see :func:`edit_edges`.
     """
     if metric == "levenshtein":
         return edit_edges(seqs, max_distance)
-    k = max_distance + 2
-    cut = [F.expr(f"hash(substring(seq, int({i} * length(seq) div {k}) + 1, int({i + 1} * length(seq) div {k}) - int({i} * length(seq) div {k})))").alias(f"h{i}") for i in range(k)]
-    cells = seqs.where("seq is not null").select("grp", "seq", F.length("seq").alias("len"), F.expr(_ONE_HOT).alias("code"), *cut)
-    pairs = list(combinations(range(k), 2))
-    keys = F.array(*[F.struct(F.lit(n).alias("n"), F.xxhash64(F.lit(n), "len", f"h{i}", f"h{j}").alias("key")) for n, (i, j) in enumerate(pairs)])
-    keyed = cells.select("*", F.explode(keys).alias("k")).select("*", "k.n", "k.key").drop("k")
+    k = max(5, max_distance + 2)
+    width = k * (31 // k)
+    chosen = list(combinations(range(k), k - max_distance))
+    mask = lambda blocks: sum(3 << 2 * (at + b) for at in range(0, width, k) for b in blocks)
+    masks = [mask(blocks) for blocks in chosen]
+    keys = F.array(*[F.expr(f"xxhash64({n}, len, c0 & {m}L, transform(more, x -> x & {m}L))") for n, m in enumerate(masks)])
+    cells = _cells(seqs, k)
+    keyed = cells.select("*", F.posexplode(keys).alias("n", "key"))
     left, right = keyed.alias("l"), keyed.alias("r")  # one plan, so one exchange
-    first = None
-    for n, (i, j) in reversed(list(enumerate(pairs))):
-        same = (F.col(f"l.h{i}") == F.col(f"r.h{i}")) & (F.col(f"l.h{j}") == F.col(f"r.h{j}"))
-        first = F.when(same, n) if first is None else F.when(same, n).otherwise(first)
-    cond = [F.col("l.grp").eqNullSafe(F.col("r.grp")), F.col("l.key") == F.col("r.key"), F.col("l.n") == F.col("r.n"), F.col("l.len") == F.col("r.len"), F.col("l.seq") < F.col("r.seq"), F.col("l.n") == first]
-    agree = F.aggregate(F.zip_with("l.code", "r.code", lambda x, y: F.bit_count(x.bitwiseAND(y))), F.lit(0), lambda acc, x: acc + x)
-    distance = F.coalesce(F.col("l.len") - agree, hamming(F.col("l.seq"), F.col("r.seq")))
-    out = left.join(right, cond).select(F.col("l.grp").alias("grp"), F.col("l.seq").alias("a"), F.col("r.seq").alias("b"), distance.cast("int").alias("distance"))
+    apart = lambda x: f"bit_count(({x} | shiftrightunsigned({x}, 1)) & {sum(1 << 2 * i for i in range(31))}L)"
+    first = "(l.c0 ^ r.c0)"
+    least = F.expr(f"{apart(first)} <= {max_distance}")  # what the first longs tell
+    folded = f"({first} | coalesce(aggregate(zip_with(l.more, r.more, (x, y) -> x ^ y), 0L, (acc, x) -> acc | x), 0L))"
+    under = "case " + " ".join(f"when ({folded} & {m}L) = 0 then {n}" for n, m in enumerate(masks)) + " end"
+    order = F.expr("l.c0 < r.c0 or (l.c0 = r.c0 and struct(l.more, l.raw) < struct(r.more, r.raw))")
+    cond = [F.col("l.key") == F.col("r.key"), F.col("l.grp").eqNullSafe(F.col("r.grp")), F.col("l.n") == F.col("r.n"), F.col("l.len") == F.col("r.len"), least, order, F.expr(f"l.n = {under}")]
+    bits = F.expr(f"{apart(first)} + coalesce(aggregate(zip_with(l.more, r.more, (x, y) -> {apart('(x ^ y)')}), 0, (acc, x) -> acc + x), 0)")
+    x, y = _decoded("l", width), _decoded("r", width)
+    distance = F.when(F.expr("l.raw is null and r.raw is null"), bits).otherwise(hamming(x, y)).cast("int")
+    ids = [f("l.id", "r.id").alias(name) for f, name in ((F.least, "a_id"), (F.greatest, "b_id")) if "id" in seqs.columns]
+    out = left.hint("merge").join(right, cond).select(F.col("l.grp").alias("grp"), F.least(x, y).alias("a"), F.greatest(x, y).alias("b"), distance.alias("distance"), *ids)
     return out.where(F.col("distance").between(1, max_distance))
 
 
@@ -243,6 +271,37 @@ def cluster(edges: DataFrame, scratch: Scratch) -> DataFrame:
     return parts.join(nodes, F.col("node") == F.col("id")).join(names, "component").select("grp", "seq", "comp")
 
 
+def numbered(seqs: DataFrame) -> DataFrame:
+    """``seqs`` with ``id``, numbers in the order of (grp, seq); to be written before it is used."""
+    return seqs.repartitionByRange("grp", "seq").sortWithinPartitions("grp", "seq").withColumn("id", F.monotonically_increasing_id())
+
+
+def numbered_clusters(seqs: DataFrame, scratch: Scratch, max_distance: int = 3, seen: Callable[[str, DataFrame], DataFrame] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(sequences, edges, components) of :func:`numbered` sequences, all written; the last two have numbers in place of sequences.
+
+    Since numbers are in the sequences' order, what is made of these tables (sizes,
+    representatives, diameters) is the same as of sequences; ``grp`` is 0, for a number
+    tells its group.  :func:`with_sequences` puts the sequences back.
+    """
+    look = seen or (lambda name, x: x)
+    seqs = scratch.keep(look("sequences", numbered(seqs)), "sequences")  # looked at behind the range exchange, whose sample reads its input once more
+    edges = look("edges", similarity_edges(seqs, max_distance))
+    edges = scratch.keep(edges.select(F.lit(0).alias("grp"), F.col("a_id").alias("a"), F.col("b_id").alias("b"), "distance"), "edges")
+    parts = connected_components(edges, scratch, once=True).select(F.col("node").alias("seq"), F.col("component").alias("comp"))
+    if seen:  # which may ask for the groups
+        parts = seen("components", parts.join(seqs.select(F.col("id").alias("seq"), "grp"), "seq"))
+    return seqs, edges, scratch.keep(parts.select(F.lit(0).alias("grp"), "seq", "comp"), "components")
+
+
+def with_sequences(df: DataFrame, seqs: DataFrame, *columns: str) -> DataFrame:
+    """``df`` with sequences in place of the numbers in ``columns``, and with their group."""
+    out = df
+    for c in columns:
+        names = seqs.select(F.col("id").alias("_id"), F.col("seq").alias("_text"), *([F.col("grp").alias("_grp")] if c == columns[-1] else []))
+        out = out.join(names, F.col(c) == F.col("_id")).withColumn(c, F.col("_text")).drop("_id", "_text")
+    return out.withColumn("grp", F.col("_grp")).select(df.columns)
+
+
 def representatives(seqs: DataFrame, comps: DataFrame, by: str = "n") -> DataFrame:
     """(grp, comp, rep): each component's sequence with the largest ``by``, ties to the smallest sequence."""
     joined = seqs.join(comps, ["grp", "seq"])
@@ -251,7 +310,11 @@ def representatives(seqs: DataFrame, comps: DataFrame, by: str = "n") -> DataFra
 
 def apply_collapse(df: DataFrame, comps: DataFrame, reps: DataFrame, column: str = "vbc_read", group: str = "brain") -> DataFrame:
     """Replace each sequence by its representative; ``<column>_orig`` keeps what was read."""
-    to = comps.join(reps, ["grp", "comp"]).select(F.col("grp").alias("_g"), F.col("seq").alias("_s"), "rep")
+    return _replaced(df, comps.join(reps, ["grp", "comp"]), column, group)
+
+
+def _replaced(df: DataFrame, to: DataFrame, column: str, group: str) -> DataFrame:
+    to = to.select(F.col("grp").alias("_g"), F.col("seq").alias("_s"), "rep")
     out = df.join(to, (df[group] == F.col("_g")) & (df[column] == F.col("_s")), "left")
     return out.withColumn(f"{column}_orig", F.col(column)).withColumn(column, F.coalesce("rep", column)).drop("_g", "_s", "rep")
 
@@ -267,9 +330,16 @@ def align_collapse(df: DataFrame, column: str = "vbc_read", group: str | None =
     key = group or "_all"
     work = work.where(F.col("read_count") >= min_reads) if min_reads > 1 else work
     keep = lambda name, x: scratch.keep(seen(name, x) if seen else x, name)
-    seqs = keep("sequences", unique_sequences(work, column, key))
-    comps = keep("components", cluster(keep("edges", similarity_edges(seqs, max_distance, metric)), scratch))
-    out = apply_collapse(work, comps, representatives(seqs, comps, by), column, key)
+    seqs = unique_sequences(work, column, key)
+    if metric == "hamming":
+        seqs, _, parts = numbered_clusters(seqs, scratch, max_distance, seen)
+        reps = representatives(seqs.select(F.lit(0).alias("grp"), F.col("id").alias("seq"), by), parts, by)
+        to = parts.join(reps, ["grp", "comp"]).where("seq <> rep").select("grp", "seq", "rep")
+        out = _replaced(work, with_sequences(to, seqs, "seq", "rep"), column, key)
+    else:
+        seqs = keep("sequences", seqs)
+        comps = keep("components", cluster(keep("edges", similarity_edges(seqs, max_distance, metric)), scratch))
+        out = apply_collapse(work, comps, representatives(seqs, comps, by), column, key)
     return out if group else out.drop("_all")
 
 
@@ -284,7 +354,7 @@ def component_stats(seqs: DataFrame, comps: DataFrame, edges: DataFrame) -> Data
 
 def node_degree(edges: DataFrame) -> DataFrame:
     """(grp, node, degree)."""
-    ends = edges.select("grp", F.col("a").alias("node")).unionAll(edges.select("grp", F.col("b").alias("node")))
+    ends = edges.select("grp", F.explode(F.array("a", "b")).alias("node"))  # not a union, which would find the edges twice
     return ends.groupBy("grp", "node").agg(F.count(F.lit(1)).alias("degree"))
 
 

@@ -5,6 +5,10 @@ theirs.  A member whose distance to some pivot, plus the largest one to that piv
 no more than a distance found already, can't be in a farther pair and is left out.
 Rounds take some of the members that remain as pivots, until none do.  It holds for any
 distance, so for differing positions as for steps along the edges.
+
+Most components need no pivots: where each two members share an edge, the edges tell all
+distances, and where one member shares an edge with all others, none are more than two
+steps apart.  Counts of edges tell both.
 """
 
 from __future__ import annotations
@@ -47,27 +51,45 @@ def _farthest(rows: DataFrame, measure: Callable[[DataFrame, DataFrame], DataFra
         chosen = scratch.keep(chosen.drop("_n", "bound").withColumnRenamed("seq", "pivot"), "pivots")
 
 
+def _shapes(edges: DataFrame, comps: DataFrame) -> DataFrame:
+    """(grp, comp, n_seq, most_edges, n_edges, top_degree, farthest) of all components; ``edges`` (grp, a, b, distance) hold each pair once."""
+    ends = edges.select("grp", F.explode(F.array("a", "b")).alias("seq"), "distance")
+    degrees = ends.groupBy("grp", "seq").agg(F.count(F.lit(1)).alias("_n"), F.max("distance").alias("_d"))
+    out = comps.join(degrees, ["grp", "seq"], "left").groupBy(*KEY).agg(F.count(F.lit(1)).alias("n_seq"), F.coalesce(F.sum("_n"), F.lit(0)).alias("_ends"), F.max("_n").alias("top_degree"), F.max("_d").alias("farthest"))
+    return out.withColumn("n_edges", F.expr("_ends div 2")).withColumn("most_edges", F.expr("n_seq * (n_seq - 1) div 2")).drop("_ends")
+
+
 def _differing(a: str, code_a: str, b: str, code_b: str) -> Column:
     same = F.aggregate(F.zip_with(code_a, code_b, lambda x, y: F.bit_count(x.bitwiseAND(y))), F.lit(0), lambda acc, x: acc + x)
     return F.coalesce(F.length(a) - same, hamming(F.col(a), F.col(b))).cast("int")
 
 
 def farthest_pairs(comps: DataFrame, scratch: Scratch, pivots: int = 16) -> DataFrame:
-    """(grp, comp, max_ham): the largest number of differing positions of two sequences of a component, which have one length."""
+    """(grp, comp, max_ham): the largest number of differing positions of two sequences of a component, which have one length.
+
+    ``comps`` (grp, comp, seq) may have numbers for sequences, which then are its ``text``.
+    """
 
     def measure(rows: DataFrame, chosen: DataFrame) -> DataFrame:
-        both = rows.join(chosen.withColumnRenamed("code", "_code"), KEY)
-        return both.select(*KEY, "seq", "pivot", _differing("seq", "code", "pivot", "_code").alias("d"))
+        both = rows.join(chosen.withColumnsRenamed({"code": "_code", "text": "_text"}), KEY)
+        return both.select(*KEY, "seq", "pivot", _differing("text", "code", "_text", "_code").alias("d"))
 
-    rows = comps.select(*KEY, "seq", one_hot(F.col("seq")).alias("code"))
+    text = F.col("text" if "text" in comps.columns else "seq")
+    rows = comps.select(*KEY, "seq", text.alias("text"), one_hot(text).alias("code"))
     return _farthest(rows, measure, scratch, pivots).withColumnRenamed("most", "max_ham")
 
 
 def component_diameter(edges: DataFrame, comps: DataFrame, pivots: int = 16) -> DataFrame:
     """(grp, comp, diameter): the most steps along edges between two members of a component, by searches from all pivots of a round at once."""
     scratch = Scratch(comps.sparkSession, "diameter")
-    there, back = edges.select("grp", F.col("a").alias("seq"), F.col("b").alias("_to")), edges.select("grp", F.col("b").alias("seq"), F.col("a").alias("_to"))
-    steps = scratch.keep(there.unionByName(back).distinct(), "steps")
+    pairs = scratch.keep(edges.where("a <> b").select("grp", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+    shapes = scratch.keep(_shapes(pairs.withColumn("distance", F.lit(1)), comps), "shapes")
+    known = F.when(F.col("n_seq") == 1, 0).when(F.col("n_edges") == F.col("most_edges"), 1).when(F.col("top_degree") == F.col("n_seq") - 1, 2)
+    shapes = shapes.select(*KEY, known.cast("int").alias("diameter"))
+    rest = scratch.keep(comps.join(shapes.where("diameter is null").select(*KEY), KEY, "left_semi").select(*KEY, "seq"), "rest")
+    both = F.array(F.struct(F.col("a").alias("seq"), F.col("b").alias("_to")), F.struct(F.col("b").alias("seq"), F.col("a").alias("_to")))
+    steps = pairs.join(rest.select("grp", F.col("seq").alias("a")), ["grp", "a"], "left_semi").select("grp", F.explode(both).alias("_e")).select("grp", "_e.seq", "_e._to")
+    steps = scratch.keep(steps, "steps")
 
     def measure(rows: DataFrame, chosen: DataFrame) -> DataFrame:
         front = scratch.keep(chosen.select(*KEY, "pivot", F.col("pivot").alias("seq"), F.lit(0).alias("d")), "reached")
@@ -79,19 +101,21 @@ def component_diameter(edges: DataFrame, comps: DataFrame, pivots: int = 16) ->
             reached = reached.unionByName(front)
         return reached.join(rows.select(*KEY, "seq"), [*KEY, "seq"], "left_semi")
 
-    return _farthest(comps.select(*KEY, "seq"), measure, scratch, pivots).withColumnRenamed("most", "diameter")
+    far = _farthest(rest, measure, scratch, pivots).withColumnRenamed("most", "diameter")
+    return shapes.where("diameter is not null").unionByName(far)
 
 
-def component_spread(comps: DataFrame, edges: DataFrame, max_distance: int = 3) -> DataFrame:
+def component_spread(comps: DataFrame, edges: DataFrame, max_distance: int = 3, sequences: DataFrame | None = None) -> DataFrame:
     """(grp, comp, n_seq, max_ham, n_pairs, n_exceed, good_prop) of components of two sequences or more.
 
-    ``edges`` are all pairs within ``max_distance``, so n_exceed, the pairs beyond it, is
-    what is left of a component's n_pairs.
+    ``edges`` are all pairs within ``max_distance``, each once, so n_exceed, the pairs beyond it, is
+    what is left of a component's n_pairs.  If components and edges have numbers for
+    sequences, ``sequences`` (seq, text) are those.
     """
     scratch = Scratch(comps.sparkSession, "spread")
-    comps = scratch.keep(comps.select(*KEY, "seq"), "components")
-    sizes = comps.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n_seq")).where("n_seq > 1")
-    inside = edges.where(F.col("distance") <= max_distance).select("grp", F.col("a").alias("seq")).join(comps, ["grp", "seq"]).groupBy(*KEY).agg(F.count(F.lit(1)).alias("_edges"))
-    out = sizes.join(farthest_pairs(comps, scratch), KEY).join(inside, KEY, "left")
-    out = out.withColumn("n_pairs", F.expr("n_seq * (n_seq - 1) div 2")).withColumn("n_exceed", F.col("n_pairs") - F.coalesce("_edges", F.lit(0)))
+    shapes = scratch.keep(_shapes(edges.where(F.col("distance") <= max_distance), comps).where("n_seq > 1"), "shapes")
+    rest = comps.join(shapes.where("n_edges < most_edges").select(*KEY), KEY, "left_semi").select(*KEY, "seq")
+    rest = scratch.keep(rest if sequences is None else rest.join(sequences, "seq"), "rest")
+    out = shapes.join(farthest_pairs(rest, scratch), KEY, "left")
+    out = out.withColumn("max_ham", F.coalesce("max_ham", "farthest")).withColumn("n_pairs", F.col("most_edges")).withColumn("n_exceed", F.col("n_pairs") - F.col("n_edges"))
     return out.select(*KEY, "n_seq", "max_ham", "n_pairs", "n_exceed", (1 - F.col("n_exceed") / F.col("n_pairs")).alias("good_prop"))

@@ -8,7 +8,7 @@ under its own budget, and the union of what the blocks find is verified with the
 original vectors in double precision.
 
 The range join of a block deals vectors into slabs along the block's first
-coordinate (at quantiles, so a slab holds about ``slab_rows`` vectors) and meets
+coordinate (at quantiles; :func:`slabs_of` tells how many) and meets
 every two slabs that the radius can bridge in one task of bounded size.  A pair
 found in several blocks counts in the first only.  A task returns link counts and
 a spanning forest, never the pairs, so tight groups stay linear in the output.
@@ -132,6 +132,16 @@ class Forest:
                 self.parent[max(a, b)] = min(a, b)
 
 
+def slabs_of(n: int, slab_rows: int = 4096, at_once: int = 8, most_rows: int = 32768) -> int:
+    """Into how many slabs a block deals ``n`` vectors.
+
+    A vector travels once for each slab that it can meet, so there are no more than
+    ``at_once`` slabs until one would outgrow a task's memory: a slab has ``slab_rows`` vectors
+    at least and about ``most_rows`` at most.
+    """
+    return max(1, -(-n // max(min(slab_rows, most_rows), min(-(-n // at_once), most_rows))))
+
+
 def embedding_links(vectors: DataFrame, scratch: Scratch, min_cos: float = 0.9, blocks: int = 4, slab_rows: int = 4096) -> tuple[DataFrame, DataFrame]:
     """(id, n) link counts and (a, b) a spanning forest for distinct usable vectors (id, embedding, copies).
 
@@ -152,7 +162,7 @@ def embedding_links(vectors: DataFrame, scratch: Scratch, min_cos: float = 0.9,
     n = at.groupBy("d", "k").agg(F.count(F.lit(1)).alias("n")).collect()
     cuts = {}
     for row in n:
-        slabs = max(1, -(-row["n"] // slab_rows))
+        slabs = slabs_of(row["n"], slab_rows)
         here = at.where((F.col("d") == row["d"]) & (F.col("k") == row["k"]))
         q = here.select(F.percentile_approx("x", [i / slabs for i in range(1, slabs)], max(10_000, 10 * slabs))).first()[0] if slabs > 1 else []
         cuts[row["d"], row["k"]] = np.array(sorted(set(q)), dtype=np.float64)

@@ -238,14 +238,52 @@ def edit_edges(seqs: DataFrame, max_distance: int = 3) -> DataFrame:
     equal length) has one that no edit touches: it stands in the longer one, shifted
     by at most ``max_distance``.  Segments and the longer sequence's substrings
     meet in an equi-join; each distinct pair is verified once.
+
+    Up to two edits, sequences of one length need no such search: they differ in at most
+    two places, or one deletion and one insertion lead from one to the other, and then
+    they have a string in common that each becomes by one deletion.
+    """
+    d = max_distance
+    if d > 2:
+        return _segment_edges(seqs, d)
+    alike = similarity_edges(seqs.select("grp", "seq"), d).select("grp", "a", "b", "distance")
+    lengths = seqs.where("seq is not null").select("grp", F.length("seq").alias("len")).distinct()
+    out = alike.unionByName(_segment_edges(seqs, d, lengths))
+    if d < 2:
+        return out
+    cut = seqs.where("length(seq) > 0").select("grp", "seq", F.explode(F.expr("array_distinct(transform(sequence(1, length(seq)), i -> concat(left(seq, i - 1), substring(seq, i + 1))))")).alias("w"))
+    met = cut.alias("l").hint("merge").join(cut.alias("r"), [F.col("l.w") == F.col("r.w"), F.col("l.grp").eqNullSafe(F.col("r.grp")), F.col("l.seq") < F.col("r.seq")])
+    met = met.select(F.col("l.grp").alias("grp"), F.col("l.seq").alias("a"), F.col("r.seq").alias("b")).where(_more_than_two())
+    return out.unionByName(met.distinct().withColumn("distance", F.lit(2)))
+
+
+def _more_than_two() -> Column:
+    """Whether sequences a and b of one length differ in over two places; one deletion each leaves them equal.
+
+    Such sequences are the same but for a stretch, in which one is the other moved by a
+    place.  So it is enough to count differing places; plain sequences of up to 31
+    bases by their bits.
     """
+    code = lambda c: F.conv(F.translate(c, "ACGT", "0123"), 4, 10).cast("long")
+    plain = (F.length("a") <= 31) & ~F.col("a").rlike("[^ACGT]") & ~F.col("b").rlike("[^ACGT]")
+    x = code("a").bitwiseXOR(code("b"))
+    bits = F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(sum(1 << 2 * i for i in range(31)))))
+    return F.when(plain, bits).otherwise(hamming(F.col("a"), F.col("b"))) > 2
+
+
+def _segment_edges(seqs: DataFrame, max_distance: int, lengths: DataFrame | None = None) -> DataFrame:
+    """The search by segments; with ``lengths`` (grp, len), those that occur, only of sequences of different ones."""
     d, k = max_distance, max_distance + 1
     some = seqs.where("seq is not null").select("grp", "seq", F.length("seq").alias("len"))
     start = lambda size, i: f"int(({i}) * ({size}) div {k})"
     own = some.select("grp", F.col("seq").alias("s"), F.col("len").alias("n"), F.posexplode(F.expr(f"transform(sequence(0, {d}), i -> substring(seq, {start('len', 'i')} + 1, {start('len', 'i + 1')} - {start('len', 'i')}))")).alias("i", "x"))
     # one small expression over the places to try, not one for each of them
-    tries = F.broadcast(seqs.sparkSession.createDataFrame([(less, i, shift) for less in range(d + 1) for i in range(k) for shift in range(-d, d + 1)], "less int, i int, shift int"))  # (d + 1)^2 (2 d + 1) rows
-    placed = some.crossJoin(tries).withColumn("n", F.col("len") - F.col("less")).where("n >= 0").withColumn("_at", F.expr(f"{start('n', 'i')} + shift")).where("_at >= 0")
+    tries = F.broadcast(seqs.sparkSession.createDataFrame([(less, i, shift) for less in range(lengths is not None, d + 1) for i in range(k) for shift in range(-d, d + 1)], "less int, i int, shift int"))  # (d + 1)^2 (2 d + 1) rows
+    pairs = some.crossJoin(tries).withColumn("n", F.col("len") - F.col("less")).where("n >= 0")
+    if lengths is not None:
+        there = lengths.select(F.col("grp").alias("_g"), F.col("len").alias("_n"))
+        pairs = pairs.join(F.broadcast(there), F.col("grp").eqNullSafe(F.col("_g")) & (F.col("n") == F.col("_n")), "left_semi")  # a few lengths a group
+    placed = pairs.withColumn("_at", F.expr(f"{start('n', 'i')} + shift")).where("_at >= 0")
     other = placed.select("grp", F.col("seq").alias("t"), F.col("len").alias("m"), "n", "i", F.expr(f"substring(seq, _at + 1, {start('n', 'i + 1')} - {start('n', 'i')})").alias("x")).distinct()
     met = own.alias("l").join(other.alias("r"), [F.col("l.grp").eqNullSafe(F.col("r.grp")), F.col("l.n") == F.col("r.n"), F.col("l.i") == F.col("r.i"), F.col("l.x") == F.col("r.x"), F.expr("l.n < r.m or l.s < r.t")])
     out = met.select(F.col("l.grp").alias("grp"), F.least("s", "t").alias("a"), F.greatest("s", "t").alias("b")).distinct()

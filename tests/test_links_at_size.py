@@ -1,9 +1,10 @@
 """Work that the barcode links and clusters must not do twice, and what they must find."""
 
-from itertools import combinations
+from itertools import combinations, product
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from spindrift.operators import barcodes as B
 from spindrift.operators import matrix as M
@@ -16,6 +17,15 @@ def _joins(df):
     return df._jdf.queryExecution().executedPlan().toString().count("SortMergeJoin")
 
 
+def _edit(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row, last = [i] + [0] * len(b), row
+        for j, y in enumerate(b, 1):
+            row[j] = min(last[j] + 1, row[j - 1] + 1, last[j - 1] + (x != y))
+    return row[-1]
+
+
 def test_edges_are_found_once_for_both_directions(spark):
     seqs = spark.createDataFrame([("g", "ACGT"), ("g", "ACGA")], "grp string, seq string")
     edges = B.similarity_edges(seqs)
@@ -48,6 +58,23 @@ def test_similar_pairs_equal_brute_force_at_any_length_and_letters(spark, length
     assert all(r.a_id < r.b_id for r in rows)
 
 
+@pytest.mark.parametrize("distance", [1, 2])
+def test_near_pairs_by_edits_equal_brute_force(spark, distance):
+    rng = random.Random(distance)
+    seqs = {"".join(x) for n in (0, 1, 2) for x in product("AC", repeat=n)} | {"".join(rng.choice("ACGT") for _ in range(rng.choice((5, 5, 5, 6, 7)))) for _ in range(150)} | {"ACNGT", "CNGTA", "NGTAC"}
+    want = {(a, b): d for a, b in combinations(sorted(seqs), 2) if (d := _edit(a, b)) <= distance}
+    rows = B.similarity_edges(spark.createDataFrame([("g", s) for s in seqs], "grp string, seq string"), distance, "levenshtein").collect()
+    assert {(r.a, r.b): r.distance for r in rows} == want and len(rows) == len(want)
+
+
+def test_edit_pairs_of_one_length_need_no_segments(spark):
+    """Segments of four bases meet with a share of all pairs; strings one deletion away hardly do."""
+    rng = random.Random(5)
+    seqs = spark.createDataFrame([("g", "".join(rng.choice("ACGT") for _ in range(12))) for _ in range(40)], "grp string, seq string")
+    lengths = seqs.select("grp", F.length("seq").alias("len")).distinct()
+    assert B._segment_edges(seqs, 2, lengths).count() == 0
+
+
 def test_stars_settle_at_once(spark):
     scratch = Scratch(spark, "t")
     edges = spark.createDataFrame([(5 * i, 5 * i + j) for i in range(20) for j in range(1, 5)], "a long, b long")

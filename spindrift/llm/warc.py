@@ -34,9 +34,8 @@ CRLF = "\r\n"
 INDEX = "url_key string, ts string, page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long, archive string, offset long"
 
 
-def base32_sha1(text: Column) -> Column:
-    """Bare upper-case base32 of a SHA-1: eight groups of 20 bits, four letters each."""
-    digest = F.sha1(text.cast("binary"))
+def base32(digest: Column) -> Column:
+    """Bare upper-case base32 of a SHA-1 in hex: eight groups of 20 bits, four letters each."""
     groups = []
     for i in range(8):
         bits = F.conv(F.substring(digest, 5 * i + 1, 5), 16, 10).cast("int")
@@ -57,14 +56,15 @@ def plan_records(pages: DataFrame, scratch: Scratch, min_bytes: int = 0) -> Data
 
     Payloads shorter than ``min_bytes`` are always responses.  A null html is an
     empty payload.  If rows share the largest page_id, all of them are responses;
-    a null page_id is smaller than any other.
+    a null page_id is smaller than any other.  Pages meet by the hex digest, which is
+    never null: of base32 the join would test that first, and hash a page for each letter.
     """
     html = F.coalesce("html", F.lit(""))
-    p = pages.select("page_id", "url", html.alias("html"), F.octet_length(html).cast("long").alias("payload_bytes"), base32_sha1(html).alias("payload_digest"))
-    top = scratch.keep(p.groupBy("payload_digest", "payload_bytes").agg(F.max("page_id").alias("top")).withColumnsRenamed({"payload_digest": "_d", "payload_bytes": "_b"}), "responses")
-    p = p.join(top.hint("merge"), (F.col("payload_digest") == F.col("_d")) & (F.col("payload_bytes") == F.col("_b")))
+    p = pages.select("page_id", "url", html.alias("html"), F.octet_length(html).cast("long").alias("payload_bytes"), F.sha1(html.cast("binary")).alias("_sha1"))
+    top = scratch.keep(p.groupBy("_sha1", "payload_bytes").agg(F.max("page_id").alias("top")).withColumnsRenamed({"_sha1": "_d", "payload_bytes": "_b"}), "responses")
+    p = p.join(top.hint("merge"), (F.col("_sha1") == F.col("_d")) & (F.col("payload_bytes") == F.col("_b")))
     first = F.col("page_id").eqNullSafe(F.col("top")) | (F.col("payload_bytes") < min_bytes)
-    return p.select("page_id", "url", "html", "payload_bytes", "payload_digest", F.when(first, "response").otherwise("revisit").alias("record_type"), F.when(~first, F.col("top")).alias("refers_to"))
+    return p.select("page_id", "url", "html", "payload_bytes", base32(F.col("_sha1")).alias("payload_digest"), F.when(first, "response").otherwise("revisit").alias("record_type"), F.when(~first, F.col("top")).alias("refers_to"))
 
 
 def _header(value: Column) -> Column:

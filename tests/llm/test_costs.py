@@ -9,3 +9,8 @@ def test_a_page_is_hashed_once(spark):
     records = warc.plan_records(pages, Scratch(spark, "t"))
     assert records._jdf.queryExecution().optimizedPlan().toString().count("sha1(") == 1
     assert [(r.page_id, r.payload_digest, r.refers_to) for r in records.orderBy("page_id").collect()] == [(1, "CH3K3DWFFIUYJK5K7V6DWULFAN4FYIDS", 2), (2, "CH3K3DWFFIUYJK5K7V6DWULFAN4FYIDS", None), (3, "3I42H3S6NNFQ2MSVX7XZKYAYSCX5QBYJ", None)]
+
+
+def test_fingerprint_classes_never_pass_through_the_driver(spark):
+    docs = spark.createDataFrame([(i, f"some words of text {i}") for i in range(20)], "doc_id long, text string")
+    assert "BroadcastHashJoin" not in simhash.simhash_components(docs)._jdf.queryExecution().executedPlan().toString()

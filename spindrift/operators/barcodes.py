@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spindrift.functions.seq import hamming, has_repeat, n_count, neighbours, starts_like
+from spindrift.operators import plain
 from spindrift.operators.components import connected_components
 from spindrift.plans.scratch import Scratch
 
@@ -340,9 +341,50 @@ def with_sequences(df: DataFrame, seqs: DataFrame, *columns: str) -> DataFrame:
     return out.withColumn("grp", F.col("_grp")).select(df.columns)
 
 
+def clusters(counts: DataFrame, scratch: Scratch, max_distance: int = 3, seen: Callable[[str, DataFrame], DataFrame] | None = None) -> plain.Clusters:
+    """Similar sequences of each non-empty group of ``counts`` (see ``plain.counted``), which are written.
+
+    Plain sequences are numbers by themselves.  If one of them is not, all are numbered
+    in their order (:func:`numbered_clusters`).
+    """
+    some = counts.where("grp <> ''")
+    if some.where("raw is not null").isEmpty():
+        rows = some.where("seq is not null").drop("raw")
+        return plain.plain_clusters(seen("sequences", rows) if seen else rows, scratch, max_distance, seen)
+    texts = some.select("grp", F.coalesce("raw", plain.text("seq")).alias("seq"), "n", "weight")
+    seqs, edges, parts = numbered_clusters(texts, scratch, max_distance, seen)
+    numbers = seqs.select(F.lit(0).alias("grp"), F.col("id").alias("seq"), "n", "weight")
+    return plain.Clusters(numbers, edges, parts, lambda df, *columns: with_sequences(df, seqs, *columns), None)
+
+
+def collapsed_counts(df: DataFrame, column: str = "vbc_read", group: str = "brain", parent: str = "read_count", max_distance: int = 3) -> DataFrame:
+    """(group, column, n, reads): rows and summed reads after :func:`align_collapse`, by what the column then holds.
+
+    Equal rows are counted first, and a component's counts, its sequence with most rows
+    among them, are added up where they meet.
+    """
+    scratch = Scratch(df.sparkSession, "collapsed")
+    counts = scratch.keep(plain.counted(df, column, group, parent), "counts")
+    found = clusters(counts, scratch, max_distance)
+    if found.sequence is None:
+        to = _collapse_to(found, "n")
+        named = counts.select(F.col("grp").alias(group), F.coalesce("raw", plain.text("seq")).alias(column), "n", "weight")
+        return _replaced(named, to, column, group).groupBy(group, column).agg(F.sum("n").alias("n"), F.sum("weight").alias("reads"))
+    met = counts.join(found.components, ["grp", "seq"], "left").select("grp", F.coalesce("comp", "seq").alias("comp"), "seq", "n", "weight")
+    met = met.repartition("grp", "comp")  # sorted once, for what is added up there
+    out = met.groupBy("grp", "comp").agg(F.min_by("seq", F.struct(-F.col("n"), "seq")).alias("rep"), F.sum("n").alias("n"), F.sum("weight").alias("reads"))
+    return out.select(F.col("grp").alias(group), plain.text("rep").alias(column), "n", "reads")
+
+
+def _collapse_to(found: plain.Clusters, by: str) -> DataFrame:
+    """(grp, seq, rep) of the sequences that are not their component's representative."""
+    reps = representatives(found.sequences.select("grp", "seq", by), found.components, by)
+    return found.names(found.components.join(reps, ["grp", "comp"]).where("seq <> rep").select("grp", "seq", "rep"), "seq", "rep")
+
+
 def representatives(seqs: DataFrame, comps: DataFrame, by: str = "n") -> DataFrame:
     """(grp, comp, rep): each component's sequence with the largest ``by``, ties to the smallest sequence."""
-    joined = seqs.join(comps, ["grp", "seq"])
+    joined = seqs.join(comps, ["grp", "seq"]).select("grp", "comp", "seq", by).repartition("grp", "comp")  # so that rows are sorted once
     return joined.groupBy("grp", "comp").agg(F.min_by("seq", F.struct(-F.col(by), "seq")).alias("rep"))
 
 
@@ -368,14 +410,11 @@ def align_collapse(df: DataFrame, column: str = "vbc_read", group: str | None =
     key = group or "_all"
     work = work.where(F.col("read_count") >= min_reads) if min_reads > 1 else work
     keep = lambda name, x: scratch.keep(seen(name, x) if seen else x, name)
-    seqs = unique_sequences(work, column, key)
     if metric == "hamming":
-        seqs, _, parts = numbered_clusters(seqs, scratch, max_distance, seen)
-        reps = representatives(seqs.select(F.lit(0).alias("grp"), F.col("id").alias("seq"), by), parts, by)
-        to = parts.join(reps, ["grp", "comp"]).where("seq <> rep").select("grp", "seq", "rep")
-        out = _replaced(work, with_sequences(to, seqs, "seq", "rep"), column, key)
+        counts = scratch.keep(plain.counted(work.where(F.col(key) != ""), column, key), "counts")
+        out = _replaced(work, _collapse_to(clusters(counts, scratch, max_distance, seen), by), column, key)
     else:
-        seqs = keep("sequences", seqs)
+        seqs = keep("sequences", unique_sequences(work, column, key))
         comps = keep("components", cluster(keep("edges", similarity_edges(seqs, max_distance, metric)), scratch))
         out = apply_collapse(work, comps, representatives(seqs, comps, by), column, key)
     return out if group else out.drop("_all")
@@ -581,9 +620,10 @@ def without_singletons(comps: DataFrame) -> DataFrame:
     return comps.join(many, ["grp", "comp"], "left_semi")
 
 
-def top_components(comps: DataFrame, n: int = 10) -> DataFrame:
-    """(grp, comp, size) of the ``n`` largest components; ties by group and name."""
+def top_components(comps: DataFrame, n: int = 10, names: Callable[..., DataFrame] | None = None) -> DataFrame:
+    """(grp, comp, size) of the ``n`` largest components; ties by group and name, which ``names`` puts in place of numbers."""
     sizes = comps.groupBy("grp", "comp").agg(F.count(F.lit(1)).alias("size"))
+    sizes = names(sizes, "comp") if names else sizes
     return sizes.orderBy(F.desc("size"), "grp", "comp").limit(n)
 
 

@@ -105,17 +105,21 @@ def component_diameter(edges: DataFrame, comps: DataFrame, pivots: int = 16) ->
     return shapes.where("diameter is not null").unionByName(far)
 
 
-def component_spread(comps: DataFrame, edges: DataFrame, max_distance: int = 3, sequences: DataFrame | None = None) -> DataFrame:
+def component_spread(comps: DataFrame, edges: DataFrame, max_distance: int = 3, sequences: DataFrame | Column | None = None) -> DataFrame:
     """(grp, comp, n_seq, max_ham, n_pairs, n_exceed, good_prop) of components of two sequences or more.
 
     ``edges`` are all pairs within ``max_distance``, each once, so n_exceed, the pairs beyond it, is
     what is left of a component's n_pairs.  If components and edges have numbers for
-    sequences, ``sequences`` (seq, text) are those.
+    sequences, ``sequences`` (seq, text) are those, or an expression that makes them of ``seq``.
     """
     scratch = Scratch(comps.sparkSession, "spread")
     shapes = scratch.keep(_shapes(edges.where(F.col("distance") <= max_distance), comps).where("n_seq > 1"), "shapes")
     rest = comps.join(shapes.where("n_edges < most_edges").select(*KEY), KEY, "left_semi").select(*KEY, "seq")
-    rest = scratch.keep(rest if sequences is None else rest.join(sequences, "seq"), "rest")
+    if isinstance(sequences, Column):
+        rest = rest.withColumn("text", sequences)
+    elif sequences is not None:
+        rest = rest.join(sequences, "seq")
+    rest = scratch.keep(rest, "rest")
     out = shapes.join(farthest_pairs(rest, scratch), KEY, "left")
     out = out.withColumn("max_ham", F.coalesce("max_ham", "farthest")).withColumn("n_pairs", F.col("most_edges")).withColumn("n_exceed", F.col("n_pairs") - F.col("n_edges"))
     return out.select(*KEY, "n_seq", "max_ham", "n_pairs", "n_exceed", (1 - F.col("n_exceed") / F.col("n_pairs")).alias("good_prop"))

@@ -12,6 +12,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Bytes of input, as Spark estimates them for a plan, that one task of :func:`dealt` is meant for.
+TASK_BYTES = 4 << 20
 
 #: Scratch folders by path, deleted when the driver ends.
 _open: dict[str, Scratch] = {}
@@ -45,6 +47,18 @@ def _delete_open() -> None:
             return
 
 
+def dealt(df: DataFrame, *columns: str) -> DataFrame:
+    """``df`` dealt out by ``columns``, whose groups then stand whole in one task each, to a number of tasks that grows with it.
+
+    For groups of few rows: summing up before rows are dealt out only fills the tasks that
+    read them, and a fixed number of tasks behind would hold more the larger the input is.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size >= 1 << 50:  # no estimate: of a table it then is the largest long
+        return df.repartition(*columns)
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, -(-size // TASK_BYTES)), *columns)
+
+
 class Scratch:
     """A folder of intermediate tables belonging to one query."""
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from spindrift.functions.seq import natural_key
 from spindrift.operators import ranks
 from spindrift.operators.barcodes import CONTROL_SITES, barcode_levels, passing
-from spindrift.plans.scratch import Scratch
+from spindrift.plans.scratch import Scratch, dealt
 
 
 def label_order(df: DataFrame, column: str = "label") -> list[str]:
@@ -18,7 +18,8 @@ def label_order(df: DataFrame, column: str = "label") -> list[str]:
 
 def matrix_long(df: DataFrame, kind: str = "real", value: str = "umi_count") -> DataFrame:
     """(brain, vbc_read, label, value) of one type; a barcode twice in a sample is an error."""
-    out = df.where(F.col("type") == kind).groupBy("brain", "vbc_read", "label").agg(F.count(F.lit(1)).alias("_n"), F.first(value).cast("double").alias("value"))
+    rows = df.where(F.col("type") == kind).select("brain", "vbc_read", "label", value)
+    out = dealt(rows, "brain", "vbc_read").groupBy("brain", "vbc_read", "label").agg(F.count(F.lit(1)).alias("_n"), F.first(value).cast("double").alias("value"))
     twice = F.raise_error(F.concat(F.lit("duplicate entry for "), "vbc_read", F.lit(" in "), "label"))
     return out.select("brain", "vbc_read", "label", F.when(F.col("_n") > 1, twice.cast("double")).otherwise(F.col("value")).alias("value"))
 

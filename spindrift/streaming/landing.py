@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from spindrift.plans.scratch import dealt
+
 _RUN = re.compile(r"run=(\d+)-(\d+)")
 
 
@@ -85,7 +87,7 @@ class LandedCounts:
 
     def counted(self, rows: DataFrame) -> DataFrame:
         n = F.sum(self.count) if self.count else F.count(F.lit(1))
-        return rows.na.drop(subset=self.keys).groupBy(*self.keys).agg(n.cast("long").alias("read_count"))
+        return dealt(rows.na.drop(subset=self.keys), *self.keys).groupBy(*self.keys).agg(n.cast("long").alias("read_count"))
 
     def add(self, batch: DataFrame, batch_id: int) -> None:
         """Count a micro-batch; the same id again changes nothing."""
@@ -104,7 +106,7 @@ class LandedCounts:
             if at is None:
                 break
             full = table[at : at + self.fan_in]
-            merged = self._load(full).groupBy(*self.keys).agg(F.sum("read_count").alias("read_count"))
+            merged = dealt(self._load(full), *self.keys).groupBy(*self.keys).agg(F.sum("read_count").alias("read_count"))
             self._write(merged, Run(full[0].first, full[-1].last))
         for r in self._written():
             if r not in table:
@@ -121,7 +123,7 @@ class LandedCounts:
         """(keys, read_count) over all runs; ``schema`` is that of the landed rows, for a table that nothing has landed in."""
         runs = self.runs()
         if runs:
-            return self._load(runs).groupBy(*self.keys).agg(F.sum("read_count").alias("read_count"))
+            return dealt(self._load(runs), *self.keys).groupBy(*self.keys).agg(F.sum("read_count").alias("read_count"))
         if schema is None:
             raise FileNotFoundError(f"nothing has landed in {self.folder}")
         return self.counted(self.spark.createDataFrame([], schema))

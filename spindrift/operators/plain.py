@@ -31,6 +31,19 @@ def text(number: Column | str) -> Column:
     return F.translate(F.substr(F.conv(F.col(number) if isinstance(number, str) else number, 10, 4), F.lit(2)), "0123", "ACGT")
 
 
+def numbered(df: DataFrame, column: str = "vbc_read") -> DataFrame:
+    """``df`` with ``seq`` and ``raw`` in place of ``column``: its number, or the sequence itself if it has none.
+
+    Digits are read up to the first other letter, so a number with all places tells that
+    the sequence is plain, and no pattern is looked for besides.
+    """
+    digits = F.translate(F.col(column), "ACGT0123", "0123NNNN")
+    rows = df.withColumn("seq", F.when(F.length(column) <= LONGEST, F.conv(F.concat(F.lit("1"), digits), 4, 10).cast("long")))
+    plain = F.expr(f"shiftright(seq, 2 * length(`{column}`)) = 1")
+    rows = rows.withColumns({"seq": F.when(plain, F.col("seq")), "raw": F.when(F.coalesce(plain, F.lit(False)), None).otherwise(F.col(column))})
+    return rows.drop(column)
+
+
 def counted(df: DataFrame, column: str = "vbc_read", group: str = "brain", parent: str = "read_count") -> DataFrame:
     """(grp, seq, raw, n, weight): distinct sequences of each group with their rows and summed reads; ``raw`` is a sequence that has no number."""
     rows = df.select(F.col(group).alias("grp"), code(F.col(column)).alias("seq"), F.col(column).alias("_s"), F.col(parent).alias("_w"))
@@ -38,6 +51,17 @@ def counted(df: DataFrame, column: str = "vbc_read", group: str = "brain", paren
     return rows.groupBy("grp", "seq", "raw").agg(F.count(F.lit(1)).alias("n"), F.sum("_w").alias("weight"))
 
 
+def block_masks(blocks: int, max_distance: int) -> list[int]:
+    """The bits of every ``blocks - max_distance`` of so many blocks, to which places are dealt in turn; numbers that differ in ``max_distance`` places agree under one of them."""
+    chosen = combinations(range(blocks), blocks - max_distance)
+    return [sum(3 << 2 * at for at in range(LONGEST) if at % blocks in some) for some in chosen]
+
+
+def places(differ: str) -> Column:
+    """How many bases differ, by the differing bits of two numbers of one length."""
+    return F.expr(f"bit_count(({differ} | shiftrightunsigned({differ}, 1)) & {sum(1 << 2 * i for i in range(LONGEST))}L)")
+
+
 def plain_edges(seqs: DataFrame, max_distance: int = 3) -> DataFrame:
     """(grp, a, b, distance) for all pairs a < b of one group and length that differ in 1..max_distance places; ``seqs`` (grp, seq) are distinct.
 
@@ -45,14 +69,12 @@ def plain_edges(seqs: DataFrame, max_distance: int = 3) -> DataFrame:
     carries the number and which blocks it is looked up by; the hash that rows are dealt
     and sorted by is made of these two and doesn't travel.
     """
-    k = max(5, max_distance + 2)
-    chosen = list(combinations(range(k), k - max_distance))
-    masks = [sum(3 << 2 * at for at in range(LONGEST) if at % k in blocks) for blocks in chosen]
+    masks = block_masks(max(5, max_distance + 2), max_distance)
     rows = seqs.select("seq", F.explode(F.expr(f"sequence(0, {len(masks) - 1})")).alias("n"), "grp")
     listed = ", ".join(f"{m}L" for m in masks)
     key = lambda side: F.expr(f"xxhash64({side}.n, {side}.grp, {side}.seq & get(array({listed}), {side}.n))")
     differ = "(l.seq ^ r.seq)"
-    apart = F.expr(f"bit_count(({differ} | shiftrightunsigned({differ}, 1)) & {sum(1 << 2 * i for i in range(LONGEST))}L)")
+    apart = places(differ)
     under = "case " + " ".join(f"when ({differ} & {m}L) = 0 then {n}" for n, m in enumerate(masks)) + " end"
     # not equations, which would be sorted by; numbers of one length have their first bit in common
     same = F.expr(f"l.n <= r.n and l.n >= r.n and l.grp <= r.grp and l.grp >= r.grp and {differ} < l.seq")
